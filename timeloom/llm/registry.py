@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import quality
+from . import quality, simhash, templates, winnow
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_mcd_quality": quality.op1_mcd_quality,
+        "op3_winnowing": winnow.op3_winnowing,
+        "op5_simhash_trie": simhash.op5_simhash_trie,
+        "op9_line_templates": templates.op9_line_templates,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_line_templates": templates.OP9_SQL}
