@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import quality, simhash, templates, winnow
+from . import bpe, quality, simhash, templates, winnow
 
 
 def queries() -> dict[str, Callable]:
@@ -12,6 +12,7 @@ def queries() -> dict[str, Callable]:
         "op1_mcd_quality": quality.op1_mcd_quality,
         "op3_winnowing": winnow.op3_winnowing,
         "op5_simhash_trie": simhash.op5_simhash_trie,
+        "op6_byte_bpe": bpe.op6_byte_bpe,
         "op9_line_templates": templates.op9_line_templates,
     }
 

@@ -26,7 +26,8 @@ from pyspark.sql import types as T
 
 from timeloom.operators.components import connected_components
 
-from .common import durable, small_join, table
+from .common import BROADCAST_ROWS, durable, row_identity, small_join, table
+from .winnow import _mix, gram_hashes, grouped_texts, word_hashes
 
 #: Distinct fingerprints that one subtree of the frontier should hold about.
 SUBTREE = 1 << 15
@@ -96,19 +97,17 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[max(x, y)] = min(x, y)
 
 
-def trie_links(values: np.ndarray, starts: list[tuple[int, int, int, int, int, int]], budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest of the pairs within ``budget`` bits, as (member, root) values.
+def trie_pairs(values: np.ndarray, starts: list[tuple[int, int, int, int, int, int]], budget: int, bits: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Batches of index pairs (i, j) of ``values`` that differ in 1 to ``budget`` bits.
 
-    ``values`` is sorted and distinct in each range; ``starts`` lists node pairs (lo, hi, lo, hi, depth,
-    differing bits) over it. Memory is bounded by CHUNK times the depth of the trie.
+    ``values`` has ``bits`` bits and is sorted and distinct in each range; ``starts`` lists node pairs (lo, hi,
+    lo, hi, depth, differing bits) over it. Memory is bounded by CHUNK times the depth of the trie.
     """
-    n = len(values)
-    parent = np.arange(n)
     zeros: dict[int, np.ndarray] = {}
 
     def middle(lo: np.ndarray, hi: np.ndarray, depth: int) -> np.ndarray:
         if depth not in zeros:
-            bit = (values >> np.uint64(63 - depth)) & np.uint64(1)
+            bit = (values >> np.uint64(bits - 1 - depth)) & np.uint64(1)
             zeros[depth] = np.concatenate(([0], np.cumsum(bit == 0)))
         z = zeros[depth]
         return lo + z[hi] - z[lo]
@@ -120,15 +119,15 @@ def trie_links(values: np.ndarray, starts: list[tuple[int, int, int, int, int, i
             half = len(al) // 2
             stack += [(depth, al[s], ah[s], bl[s], bh[s], diff[s]) for s in (slice(half), slice(half, None))]
             continue
-        small = ((ah - al) * (bh - bl) <= LEAVES) | (depth >= 64)
+        small = ((ah - al) * (bh - bl) <= LEAVES) | (depth >= bits)
         if small.any():
             sizes_b = (bh - bl)[small]
             sizes = (ah - al)[small] * sizes_b
             pair = np.repeat(np.arange(len(sizes)), sizes)
             k = np.arange(len(pair)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             i, j = al[small][pair] + k // sizes_b[pair], bl[small][pair] + k % sizes_b[pair]
-            near = (i != j) & (np.bitwise_count(values[i] ^ values[j]) <= budget)
-            _unite(parent, i[near], j[near])
+            near = ((al != bl)[small][pair] | (i < j)) & (np.bitwise_count(values[i] ^ values[j]) <= budget)
+            yield i[near], j[near]
             al, ah, bl, bh, diff = (x[~small] for x in (al, ah, bl, bh, diff))
         if not len(al):
             continue
@@ -142,8 +141,15 @@ def trie_links(values: np.ndarray, starts: list[tuple[int, int, int, int, int, i
         merged = [np.concatenate(x) for x in zip(*kept, strict=True)]
         if len(merged[0]):
             stack.append((depth + 1, *merged))
-    root = _roots(parent, np.arange(n))
-    member = root != np.arange(n)
+
+
+def trie_links(values: np.ndarray, starts: list[tuple[int, int, int, int, int, int]], budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the pairs within ``budget`` bits, as (member, root) values."""
+    parent = np.arange(len(values))
+    for i, j in trie_pairs(values, starts, budget):
+        _unite(parent, i, j)
+    root = _roots(parent, np.arange(len(values)))
+    member = root != np.arange(len(values))
     return values[member], values[root[member]]
 
 
@@ -200,6 +206,109 @@ def simhash_components(rows: DataFrame, budget: int = 4) -> DataFrame:
     return small_join(rows, named, ["fp"])
 
 
+# ------------------------------------------------------------------- near duplicates by word-shingle similarity
+#: Long fingerprints: words of 64 bits, and the first 32-bit halves that serve as bands of the trie join. Texts
+#: whose 5-word shingle sets have similarity J differ in a share arccos(2J / (1 + J)) / pi of the bits, 0.152 at
+#: J = 0.8. Ten bands with a budget of 3 bits find such a pair with probability 0.95, at J = 0.85 with 0.995.
+LONG_WORDS, BANDS, BAND_BUDGET, BLOCKS = 8, 10, 3, 4
+#: Differing bits of 512 up to which a found pair is linked: similarity 0.8, plus 1.3 standard errors of the estimate.
+LONG_BUDGET = 88
+
+_TOKEN = np.ones(256, bool)
+_TOKEN[[32, 9, 10, 11, 12, 13]] = False
+_SEEDS = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, LONG_WORDS, dtype=np.uint64)
+
+
+def long_fingerprint(h: np.ndarray, k: int = 5) -> bytes:
+    """512 bits from the set of k-word shingles, given a text's word hashes; all zero without words."""
+    if not len(h):
+        return bytes(8 * LONG_WORDS)
+    grams = np.unique(gram_hashes(h, min(k, len(h))))
+    counts = np.zeros(64 * LONG_WORDS, np.int64)
+    for i in range(0, len(grams), 4096):
+        mixed = _mix(grams[i : i + 4096, None] ^ _SEEDS[None, :])
+        counts += np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > len(grams), bitorder="little").tobytes()
+
+
+def _long_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for _, data, offsets in grouped_texts(batch.column(3)):
+            h, firsts = word_hashes(data, offsets, _TOKEN)
+            out += [long_fingerprint(h[firsts[i] : firsts[i + 1]]) for i in range(len(offsets) - 1)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], names=["row_a", "row_b", "did", "fp"])
+
+
+def _band_links(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Spanning forest of the linked members of one block group, as (a, b) ids."""
+    ids = pdf["fid"].to_numpy(np.int64)
+    fps = np.frombuffer(b"".join(pdf["fp"]), np.uint64).reshape(-1, LONG_WORDS)
+    band = int(pdf["band"].iloc[0])
+    part = (fps[:, band // 2] >> np.uint64(32 * (band % 2))) & np.uint64(0xFFFFFFFF)
+    order = np.argsort(part, kind="stable")
+    ids, fps, part = ids[order], fps[order], part[order]
+    values, first = np.unique(part, return_index=True)
+    last = np.append(first[1:], len(part))
+    parent = np.arange(len(ids))
+
+    def link(i: int, others: np.ndarray) -> None:
+        others = others[_roots(parent, others) != _roots(parent, np.array([i]))]
+        near = others[np.bitwise_count(fps[others] ^ fps[i]).sum(axis=1) <= LONG_BUDGET]
+        _unite(parent, np.full(len(near), i), near)
+
+    for v in np.flatnonzero(last - first > 1):  # members with one band value
+        for i in range(first[v], last[v] - 1):
+            link(i, np.arange(i + 1, last[v]))
+    for a, b in trie_pairs(values, [(0, len(values), 0, len(values), 0, 0)], BAND_BUDGET, 32):
+        single = (last[a] - first[a] == 1) & (last[b] - first[b] == 1)
+        i, j = first[a[single]], first[b[single]]
+        near = np.bitwise_count(fps[i] ^ fps[j]).sum(axis=1) <= LONG_BUDGET
+        _unite(parent, i[near], j[near])
+        for x, y in zip(a[~single].tolist(), b[~single].tolist(), strict=True):
+            x, y = sorted((x, y), key=lambda v: last[v] - first[v])
+            for i in range(first[x], last[x]):
+                link(i, np.arange(first[y], last[y]))
+    root = _roots(parent, np.arange(len(ids)))
+    member = root != np.arange(len(ids))
+    return pd.DataFrame({"a": ids[member], "b": ids[root[member]]})
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest doc_id; all columns unchanged.
+
+    Near copies share five-word shingles with similarity 0.8 or more, as estimated by 512-bit SimHash; groups
+    are connected through such links. Candidates come from trie self-joins over 32-bit bands of the
+    fingerprint; as three differing bits leave one of four blocks of a band equal, members are dealt by
+    (band, block, value of the block), and a trie joins each group. Equal fingerprints are one member.
+    """
+    named = docs.withColumns(dict(zip(("row_a", "row_b"), row_identity("doc_id", "text", "lang", "source"), strict=True)))
+    last = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("did")
+    rows = durable(
+        named.select("row_a", "row_b", last, F.col("text").cast("binary").alias("text"))
+        .mapInArrow(_long_fingerprints, "row_a bigint, row_b bigint, did bigint, fp binary").withColumn("fid", F.xxhash64("fp"))
+    )
+    members = rows.groupBy("fid").agg(F.first("fp").alias("fp"))  # equal ids have equal fingerprints
+    size = 32 // BLOCKS
+    blocks = [
+        F.struct(F.lit(b).alias("band"), F.lit(k).alias("block"), F.substring("fp", 1 + 4 * b + k * size // 8, size // 8).alias("value"))
+        for b in range(BANDS) for k in range(BLOCKS)
+    ]
+    dealt = members.select("fid", "fp", F.explode(F.array(*blocks)).alias("g")).select("fid", "fp", "g.*")
+    links = durable(dealt.groupBy("band", "block", "value").applyInPandas(_band_links, "a bigint, b bigint").distinct())
+    groups = connected_components(links, "a", "b")
+    grouped = rows.join(groups, rows["fid"] == groups["node"], "left").select("row_a", "row_b", "did", F.coalesce("component", "fid").alias("component"))
+    by_row = grouped.groupBy("component", "row_a", "row_b").agg(F.min("did").alias("did"), F.count("*").alias("n"))
+    best = by_row.groupBy("component").agg(F.min(F.struct("did", "row_a", "row_b")).alias("best"))
+    judged = durable(by_row.join(best, "component").withColumn("stays", F.struct("did", "row_a", "row_b") == F.col("best")).select("row_a", "row_b", "stays", "n"))
+    lost = judged.filter(~F.col("stays")).select("row_a", "row_b")
+    n_lost, most = judged.agg(F.count_if(~F.col("stays")), F.max(F.when(F.col("stays"), F.col("n")))).first()
+    kept = named.join(F.broadcast(lost) if n_lost <= BROADCAST_ROWS else lost.hint("shuffle_hash"), ["row_a", "row_b"], "left_anti")
+    if (most or 0) > 1:  # wholly equal rows
+        kept = kept.dropDuplicates(["row_a", "row_b"])
+    return kept.select(*docs.columns)
+
+
 def op5_simhash_trie(spark, sf_dir: str) -> DataFrame:
     """Contract query: fingerprint and component of every document."""
     rows = durable(with_fingerprints(table(spark, sf_dir, "documents")).select("row.doc_id", "fp"))

@@ -49,10 +49,13 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, first word number of each text and the total) of texts lying end to end."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray = _IS_WORD) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, first word number of each text and the total) of texts lying end to end.
+
+    A-Z count as a-z; ``letters`` tells for each byte of the lower-cased text whether it belongs to a word.
+    """
     data = _LOWER[data]
-    is_word = _IS_WORD[data]
+    is_word = letters[data]
     start = is_word.copy()
     start[1:] &= ~is_word[:-1]
     edges = offsets[:-1][offsets[:-1] < offsets[1:]]
