@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import bpe, quality, simhash, templates, winnow
+from . import bpe, counts, fixity, pseudonyms, quality, secrets, shards, simhash, templates, winnow
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_mcd_quality": quality.op1_mcd_quality,
+        "op2_merkle_fixity": fixity.op2_merkle_fixity,
         "op3_winnowing": winnow.op3_winnowing,
+        "op4_sampled_splitters": shards.op4_sampled_splitters,
         "op5_simhash_trie": simhash.op5_simhash_trie,
         "op6_byte_bpe": bpe.op6_byte_bpe,
+        "op7_secret_novelty": secrets.op7_secret_novelty,
+        "op8_prefix_counts": counts.op8_prefix_counts,
         "op9_line_templates": templates.op9_line_templates,
+        "op10_feistel_pseudonyms": pseudonyms.op10_feistel_pseudonyms,
     }
 
 
