@@ -93,8 +93,14 @@ def split_and_shift(clips: DataFrame, keys: list[str], start: str, end: str, bou
     return clips.withColumn("_p", F.explode(F.coalesce(parts, whole))).select(*others, F.col("_p.s").alias(start), F.col("_p.e").alias(end), F.col("_p.part").alias("part"))
 
 
-def dominated(df: DataFrame, keys: list[str], row: str, start: str, end: str, score: str) -> DataFrame:
-    """Rows strictly inside another of their key with an equal or better score are dropped."""
-    other = df.select(*keys, F.col(row).alias("_r"), F.col(start).alias("_s"), F.col(end).alias("_e"), F.col(score).alias("_v"))
-    lost = df.join(other, keys).filter((F.col("_s") <= F.col(start)) & (F.col(end) <= F.col("_e")) & (F.col("_e") - F.col("_s") > F.col(end) - F.col(start)) & (F.col("_v") >= F.col(score)))
-    return df.join(lost.select(row).distinct(), row, "left_anti")
+def dominated(df: DataFrame, keys: list[str], row: str, start: str, end: str, score: str, bucket: int) -> DataFrame:
+    """Rows strictly inside another of their key with an equal or better score are dropped.
+
+    An outer interval is dealt to the buckets it covers, an inner one only to the bucket of its start.
+    """
+    reach = F.sequence(F.floor(F.col(start) / bucket), F.floor(F.col(end) / bucket))
+    other = df.select(*keys, F.col(start).alias("_s"), F.col(end).alias("_e"), F.col(score).alias("_v"), F.explode(reach).alias("_bucket"))
+    inner = df.withColumn("_bucket", F.floor(F.col(start) / bucket))
+    inside = (other["_s"] <= F.col(start)) & (F.col(end) <= other["_e"]) & (other["_e"] - other["_s"] > F.col(end) - F.col(start)) & (other["_v"] >= F.col(score))
+    same = [inner[c].eqNullSafe(other[c]) for c in [*keys, "_bucket"]]
+    return inner.join(other, [*same, inside], "left_anti").drop("_bucket")
