@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from . import registry, rows, texts, timeline  # noqa: F401  the modules register their queries
+
 
 def queries() -> dict[str, Callable]:
-    return {}
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(registry.SQL)
