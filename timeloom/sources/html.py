@@ -9,11 +9,18 @@ from html.parser import HTMLParser
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
+from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
 
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote td th figcaption pre".split())
 HIDDEN = frozenset("head style script noscript template".split())
 BOLD, ITALIC, UNDERLINE = frozenset(("b", "strong")), frozenset(("i", "em")), frozenset(("u", "ins"))
 
+_INT, _TEXT, _TEXTS = IntegerType(), StringType(), ArrayType(StringType())
+
+
+def _row(**fields: DataType) -> StructType:
+    return StructType([StructField(k, v) for k, v in fields.items()])
+
 
 class _Reader(HTMLParser):
     """Collects blocks with their styled parts and links; text in hidden elements is passed over."""
@@ -94,21 +101,21 @@ def read_page(source: str | None) -> tuple[list[dict], list[dict]]:
     return reader.blocks, reader.links
 
 
-@udtf(returnType="block_no int, tag string, text string, list_type string, bold array<string>, italic array<string>, underline array<string>")
+@udtf(returnType=_row(block_no=_INT, tag=_TEXT, text=_TEXT, list_type=_TEXT, bold=_TEXTS, italic=_TEXTS, underline=_TEXTS))
 class HtmlBlocks:
     def eval(self, source: str):
         for i, b in enumerate(read_page(source)[0]):
             yield i, b["tag"], b["text"], b["list_type"], b["bold"], b["italic"], b["underline"]
 
 
-@udtf(returnType="link_no int, href string, text string, block_no int")
+@udtf(returnType=_row(link_no=_INT, href=_TEXT, text=_TEXT, block_no=_INT))
 class HtmlLinks:
     def eval(self, source: str):
         for i, x in enumerate(read_page(source)[1]):
             yield i, x["href"], x["text"], x["block"]
 
 
-@udtf(returnType="title string, author string, published string")
+@udtf(returnType=_row(title=_TEXT, author=_TEXT, published=_TEXT))
 class HtmlArticle:
     """Title, author and date: linked data first, then meta elements, then the title element."""
 
