@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
+#: Rows that a fold hands back at once.
+BATCH = 10_000
+
 
 def lead_bounded(df: DataFrame, keys: list[str], start: str, longest) -> DataFrame:
     """``duration``: up to the next strictly later start of the key, ``longest`` at most."""
@@ -78,13 +83,29 @@ def spread_tokens(df: DataFrame, tokens: str, start: str, end: str) -> DataFrame
 
 # ----------------------------------------------------------------- folds: state that depends on what was kept
 def fold(df: DataFrame, keys: list[str], order: list[str], schema: str, step: Callable[[Iterator[dict]], Iterator[dict]]) -> DataFrame:
-    """Runs a generator over each key's rows in order. A key's rows are one recording, never the whole table."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(order, kind="stable").to_dict("records")
-        return pd.DataFrame(list(step(iter(rows))), columns=[c.split()[0] for c in schema.split(", ")])
+    """Runs a generator over each key's rows in order.
 
-    return df.groupBy(*keys).applyInPandas(run, schema)
+    Rows are dealt by key and sorted by Spark, and stream through the generator, so a task holds one batch and
+    the generator's own state, however long a key's run of rows is.
+    """
+    names = [c.split()[0] for c in schema.split(", ")]
+    rows = df.select(*dict.fromkeys([*keys, *order, *df.columns])).repartition(*keys).sortWithinPartitions(*keys, *order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = to_arrow_schema(result)
+        flow = (r for batch in batches for r in batch.to_pylist())
+        out: list[dict] = []
+        for _, group in groupby(flow, key=lambda r: tuple(r[k] for k in keys)):
+            for r in step(group):
+                out.append(r)
+                if len(out) >= BATCH:
+                    yield pa.RecordBatch.from_pylist([{n: x[n] for n in names} for x in out], kinds)
+                    out = []
+        if out:
+            yield pa.RecordBatch.from_pylist([{n: x[n] for n in names} for x in out], kinds)
+
+    result = df.sparkSession.createDataFrame([], schema).schema
+    return rows.mapInArrow(run, result)
 
 
 def throttle(df: DataFrame, keys: list[str], at: str, order: list[str], least: float, schema: str) -> DataFrame:
@@ -195,9 +216,9 @@ def plan_chunks(df: DataFrame, keys: list[str], start: str, end: str, order: lis
                     continue
                 if sum(r[start] < p and r[end] > begin for r in clips) > most:
                     earlier = [q for q in points if begin < q < p]
-                    close = earlier[-1] if earlier else p
+                    close = float(earlier[-1] if earlier else p)
                     break
-            yield key | {"chunk": no, start: begin, end: close, "n": sum(r[start] < close and r[end] > begin for r in clips)}
+            yield key | {"chunk": no, start: float(begin), end: float(close), "n": sum(r[start] < close and r[end] > begin for r in clips)}
             begin, no = close, no + 1
 
     return fold(df, keys, order, schema, step)

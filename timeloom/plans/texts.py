@@ -10,3 +10,157 @@ from timeloom.operators import align
 from timeloom.sources import html
 
 from .registry import query, read
+
+_TURN = """t AS (SELECT conv_id, turn, text, regexp_extract_all(trim(regexp_replace(lower(strip_accents(coalesce(text, ''))), '[^a-z0-9]+', ' ', 'g')), '[a-z0-9]+') AS tok FROM conversations),
+p AS (SELECT *, lag(turn) OVER w AS prev_turn, lag(tok) OVER w AS prev_tok FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn))"""
+
+
+def _turns(spark, sf_dir):
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    t = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text").withColumn("tok", text.tokenize(F.col("text")))
+    return t.withColumns({"prev_turn": F.lag("turn").over(w), "prev_tok": F.lag("tok").over(w), "prev_text": F.lag("text").over(w)})
+
+
+@query(f"""WITH {_TURN} SELECT conv_id, turn, len(tok)::BIGINT AS n_tokens, len(list_distinct(tok))::BIGINT AS n_distinct, tok[1] AS first_token FROM t""")
+def tokenize(spark, sf_dir):
+    """Tokens of each turn."""
+    return _turns(spark, sf_dir).select("conv_id", "turn", F.size("tok").cast("long").alias("n_tokens"), F.size(F.array_distinct("tok")).cast("long").alias("n_distinct"), F.get("tok", F.lit(0)).alias("first_token"))
+
+
+@query(f"""WITH {_TURN}, d AS (SELECT *, list_distinct(tok) AS a, list_distinct(prev_tok) AS b FROM p WHERE prev_turn IS NOT NULL)
+SELECT conv_id, turn, CASE WHEN least(len(a), len(b)) > 0 THEN round(len(list_intersect(a, b)) / least(len(a), len(b)), 9) ELSE 0.0 END::DOUBLE AS set_overlap,
+ CASE WHEN least(len(tok), len(prev_tok)) > 0 THEN round(least(len(tok), len(prev_tok)) / greatest(len(tok), len(prev_tok)), 9) ELSE 0.0 END::DOUBLE AS length_ratio FROM d""")
+def token_overlap(spark, sf_dir):
+    """Set overlap and length ratio of consecutive turns."""
+    t = _turns(spark, sf_dir).filter("prev_turn IS NOT NULL")
+    return t.select("conv_id", "turn", F.round(text.set_overlap(F.col("tok"), F.col("prev_tok")), 9).alias("set_overlap"), F.round(text.length_ratio(F.col("tok"), F.col("prev_tok")), 9).alias("length_ratio"))
+
+
+@query(f"""WITH {_TURN}, a AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(tok) AS w FROM p WHERE prev_turn IS NOT NULL) GROUP BY ALL),
+b AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(prev_tok) AS w FROM p WHERE prev_turn IS NOT NULL) GROUP BY ALL)
+SELECT p.conv_id, p.turn, coalesce(sum(least(a.n, b.n)), 0)::BIGINT AS common FROM p LEFT JOIN a USING (conv_id, turn) LEFT JOIN b ON b.conv_id = a.conv_id AND b.turn = a.turn AND b.w = a.w WHERE prev_turn IS NOT NULL GROUP BY ALL""")
+def token_overlap_stats(spark, sf_dir):
+    """Common tokens of consecutive turns, repeats counted."""
+    t = _turns(spark, sf_dir).filter("prev_turn IS NOT NULL")
+    return t.select("conv_id", "turn", text.multiset_overlap(F.col("tok"), F.col("prev_tok")).cast("long").alias("common"))
+
+
+@query(f"""WITH {_TURN} SELECT a.conv_id, a.turn, b.turn AS other, len(list_intersect(list_distinct(a.tok), list_distinct(b.tok)))::BIGINT AS common FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn BETWEEN a.turn - 8 AND a.turn - 1
+WHERE len(list_intersect(list_distinct(a.tok), list_distinct(b.tok))) >= 4""")
+def repetition_lookback(spark, sf_dir):
+    """Turns that share four or more tokens with one of the eight before."""
+    t = _turns(spark, sf_dir).select("conv_id", "turn", "tok").withColumn("own", F.col("turn"))
+    pairs = align.lookback_pairs(t, ["conv_id"], "turn", 8, ["own", "tok"])
+    return pairs.select("conv_id", "turn", F.col("prev_own").alias("other"), text.overlap(F.col("tok"), F.col("prev_tok")).cast("long").alias("common")).filter("common >= 4")
+
+
+@query()
+def repetition_links(spark, sf_dir):
+    """Turns that repeat a long run of an earlier one."""
+    return align.repetition_links(read(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), ["conv_id"], "turn", "text")
+
+
+@query()
+def weighted_score(spark, sf_dir):
+    """Weighted match score of consecutive turns and its parts."""
+    t = _turns(spark, sf_dir).filter("prev_turn IS NOT NULL")
+    return t.select("conv_id", "turn", align.score_pairs("text", "prev_text").alias("s")).select("conv_id", "turn", "s.*")
+
+
+@query()
+def token_align(spark, sf_dir):
+    """Token alignment of consecutive turns, one row per step."""
+    t = _turns(spark, sf_dir).filter("prev_turn IS NOT NULL").select("conv_id", "turn", align.token_steps("text", "prev_text").alias("s"))
+    return t.select("conv_id", "turn", F.posexplode("s").alias("step_no", "s")).select("conv_id", "turn", "step_no", "s.*")
+
+
+@query()
+def align_rows(spark, sf_dir):
+    """User turns of each conversation aligned to the sentences of its assistant turns."""
+    c = read(spark, sf_dir, "conversations")
+    rows = c.filter("role = 'user'").select("conv_id", "turn", "text")
+    refs = c.filter("role <> 'user'").select("conv_id", F.posexplode(F.split("text", r"(?<=[.?!])\s+")).alias("part", "text"), "turn").select("conv_id", (F.col("turn") * 1000 + F.col("part")).alias("ref_no"), "text")
+    return align.align_sessions(rows, refs, "conv_id", "turn", "ref_no")
+
+
+@query("""SELECT doc_id, len(regexp_extract_all(text, '[0-9]+(?:[.,][0-9]+)*'))::BIGINT AS n_numbers, len(regexp_extract_all(text, '[$€£] ?[0-9]+(?:[.,][0-9]+)*'))::BIGINT AS n_money FROM documents""")
+def extract_numbers(spark, sf_dir):
+    """Numbers and amounts of money in each document."""
+    count = lambda p: F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(p), F.lit(0))).cast("long")
+    return read(spark, sf_dir, "documents").select("doc_id", count(extract.PATTERNS["number"]).alias("n_numbers"), count(r"[$€£] ?[0-9]+(?:[.,][0-9]+)*").alias("n_money"))
+
+
+@query()
+def extract_mentions(spark, sf_dir):
+    """All kinds of mentions of each document, one row per value."""
+    kinds = ("percent", "money", "duration", "ranking", "iso_date", "year", "timecode", "hashtag", "url", "speed", "weight")
+    d = read(spark, sf_dir, "documents").filter(F.col("text").rlike("[0-9#]"))
+    found = F.array(*[F.struct(F.lit(k).alias("kind"), extract.extract(F.col("text"), k).alias("v")) for k in kinds])
+    return d.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.kind", F.posexplode("f.v").alias("value_no", "value"))
+
+
+@query(r"""WITH c AS (SELECT doc_id, len(regexp_replace(coalesce(text, ''), '[^A-Za-zÀ-ɏ]', '', 'g')) AS latin, len(regexp_replace(coalesce(text, ''), '[^Ѐ-ӿ]', '', 'g')) AS cyrillic, len(regexp_replace(coalesce(text, ''), '[^Ͱ-Ͽ]', '', 'g')) AS greek,
+ len(regexp_replace(coalesce(text, ''), '[^֐-׿]', '', 'g')) AS hebrew, len(regexp_replace(coalesce(text, ''), '[^؀-ۿ]', '', 'g')) AS arabic FROM documents)
+SELECT doc_id, CASE WHEN latin + cyrillic + greek + hebrew + arabic > 0 THEN round(latin / (latin + cyrillic + greek + hebrew + arabic), 9) ELSE 0.0 END::DOUBLE AS latin, latin::BIGINT AS n_latin FROM c""")
+def script_ratio(spark, sf_dir):
+    """Share of Latin letters."""
+    return read(spark, sf_dir, "documents").select("doc_id", F.round(text.script_ratio(F.col("text"), "latin"), 9).alias("latin"), text.script_count(F.col("text"), "latin").cast("long").alias("n_latin"))
+
+
+#: Fixed marker words and accents of the language guess.
+MARKERS = {"en": ["the", "and", "of", "to", "is"], "fr": ["le", "la", "les", "des", "et"], "de": ["der", "die", "das", "und", "ist"], "es": ["el", "los", "las", "que", "y"]}
+ACCENTS = {"en": "", "fr": "éèêàçù", "de": "äöüß", "es": "ñóí"}
+
+
+@query()
+def language_guess(spark, sf_dir):
+    """Language by marker words and accents beside the stated one."""
+    return read(spark, sf_dir, "documents").select("doc_id", "lang", text.guess_language(F.col("text"), MARKERS, ACCENTS, "fr").alias("guess"))
+
+
+@query(r"""WITH h AS (SELECT page_id, url, regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1)), '^(www|m)\.', '') AS host, regexp_extract(url, '^[a-zA-Z]+://[^/?#]+([^?#]*)', 1) AS path FROM pages)
+SELECT page_id, host, host || regexp_replace(path, '/+$', '') AS canonical, CASE WHEN regexp_matches(path, '/[0-9]{4}/|/[^/]*-[^/]*-[^/]+|/[0-9]+/?$') THEN 'article' WHEN regexp_matches(path, '^/?$') THEN 'site' ELSE 'page' END AS category FROM h""")
+def url_canonical(spark, sf_dir):
+    """Host, canonical form and class of page addresses."""
+    u = F.col("url")
+    return read(spark, sf_dir, "pages").select("page_id", urls.host(u).alias("host"), urls.canonical(u).alias("canonical"), urls.category(u).alias("category"))
+
+
+@query("""SELECT page_id, len(regexp_extract_all(html, '<a [^>]*href="[^"]+"'))::BIGINT AS n_links, regexp_extract(html, '<title[^>]*>([^<]*)</title>', 1) AS title FROM pages""")
+def html_anchors(spark, sf_dir):
+    """Anchors and title of a page by patterns."""
+    return read(spark, sf_dir, "pages").select("page_id", F.size(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit('<a [^>]*href="[^"]+"'), F.lit(0))).cast("long").alias("n_links"), F.regexp_extract("html", "<title[^>]*>([^<]*)</title>", 1).alias("title"))
+
+
+@query()
+def html_blocks(spark, sf_dir):
+    """Text blocks of pages with their styled parts."""
+    return html.html_blocks(read(spark, sf_dir, "pages"), ["page_id"])
+
+
+@query()
+def html_links(spark, sf_dir):
+    """Anchors of pages with text and place."""
+    return html.html_links(read(spark, sf_dir, "pages"), ["page_id"])
+
+
+@query()
+def html_titles(spark, sf_dir):
+    """Headings of pages, the first of equal ones."""
+    return html.html_titles(read(spark, sf_dir, "pages"), ["page_id"])
+
+
+@query()
+def html_article(spark, sf_dir):
+    """Title, author and date of pages."""
+    return html.html_article(read(spark, sf_dir, "pages"), ["page_id"])
+
+
+@query()
+def set_cover_stitch(spark, sf_dir):
+    """For each assistant turn the user turns before it that cover its tokens, picked from the last backwards."""
+    c = read(spark, sf_dir, "conversations")
+    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.collect_list(F.when(F.col("role") == "user", F.struct("turn", "text"))).over(w)
+    t = c.select("conv_id", "turn", "role", "text", earlier.alias("earlier")).filter("role <> 'user'")
+    return t.select("conv_id", "turn", align.cover("text", "earlier").alias("c")).select("conv_id", "turn", "c.picked", "c.covered")

@@ -40,15 +40,15 @@ def _sessions(ev: DataFrame) -> DataFrame:
 
 
 @query(_S + f""", b AS (SELECT user_id, session, 'speech' AS kind, s, t, n FROM g UNION ALL SELECT user_id, session, 'silence', a, b, 0 FROM q WHERE b - a >= {8 * HOUR})
-SELECT user_id, kind, s AS start, t AS "end", n, row_number() OVER (PARTITION BY user_id ORDER BY session, kind) AS row_no FROM b""")
+SELECT user_id, kind, s AS start, t AS "end", n, row_number() OVER (PARTITION BY user_id ORDER BY session, kind)::INT AS row_no FROM b""")
 def sessionize_gap_rows(spark, sf_dir):
     """Sessions by pauses, with the pauses as rows of their own."""
     return sessions.session_rows(_sessions(events(spark, sf_dir)), ["user_id"], "us", "us", 8 * HOUR).select("user_id", "kind", "start", "end", "n", "row_no")
 
 
 @query(_S + f""", r AS (SELECT user_id, sum(b - a) AS removed_us, count(*) AS n_gaps FROM q WHERE b - a >= {8 * HOUR} GROUP BY user_id)
-SELECT g.user_id, count(*) AS n_sessions, coalesce(any_value(n_gaps), 0) AS n_gaps, sum(t - s) AS busy_us, coalesce(any_value(removed_us), 0) AS removed_us,
-  max(t) - coalesce(any_value(removed_us), 0) AS compact_end FROM g LEFT JOIN r USING (user_id) GROUP BY g.user_id""")
+SELECT g.user_id, count(*) AS n_sessions, coalesce(any_value(n_gaps), 0) AS n_gaps, sum(t - s)::BIGINT AS busy_us, coalesce(any_value(removed_us), 0)::BIGINT AS removed_us,
+  (max(t) - coalesce(any_value(removed_us), 0))::BIGINT AS compact_end FROM g LEFT JOIN r USING (user_id) GROUP BY g.user_id""")
 def kept_time(spark, sf_dir):
     """Sessions, pauses and the end of each user's timeline once the pauses are taken out."""
     rows = sessions.session_rows(_sessions(events(spark, sf_dir)), ["user_id"], "us", "us", 8 * HOUR)
@@ -113,7 +113,7 @@ def interval_clip(spark, sf_dir):
     return intervals.clip(ev, "start", "end", F.col("first") + 48 * HOUR, F.col("first") + 240 * HOUR, "in_point").drop("first")
 
 
-@query(_CUTS + """SELECT v.event_id, any_value(s) - coalesce(sum(least(s, ct) - cs), 0) AS collapsed FROM v LEFT JOIN c ON c.user_id = v.user_id AND cs < s GROUP BY v.event_id""")
+@query(_CUTS + """SELECT v.event_id, (any_value(s) - coalesce(sum(least(s, ct) - cs), 0))::BIGINT AS collapsed FROM v LEFT JOIN c ON c.user_id = v.user_id AND cs < s GROUP BY v.event_id""")
 def interval_collapse(spark, sf_dir):
     """Events on the clock without the hours after errors."""
     ev = events(spark, sf_dir)
@@ -132,7 +132,7 @@ def interval_overlap_join(spark, sf_dir):
 
 
 @query(f"""WITH {_L}, t AS (SELECT *, coalesce(sum(e - s) OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY s, e, l_linenumber, l_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS tl FROM l)
-SELECT a.l_orderkey, a.l_linenumber AS l_line, b.l_linenumber AS r_line, a.tl + greatest(a.s, b.s) - a.s AS tl_start, a.tl + least(a.e, b.e) - a.s AS tl_end
+SELECT a.l_orderkey, a.l_linenumber AS l_line, b.l_linenumber AS r_line, (a.tl + greatest(a.s, b.s) - a.s)::BIGINT AS tl_start, (a.tl + least(a.e, b.e) - a.s)::BIGINT AS tl_end
 FROM t a JOIN l b ON a.l_orderkey = b.l_orderkey AND a.s < b.e AND a.e > b.s WHERE a.l_returnflag = 'R' AND b.l_returnflag = 'A' AND a.e > a.s AND b.e > b.s""")
 def interval_intersect_remap(spark, sf_dir):
     """Overlaps moved to the clock on which the returned items of an order follow each other."""
