@@ -19,6 +19,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,22 +30,24 @@ from pyspark.sql import types as T
 
 from .common import table
 
-#: Chunks and pieces that a worker remembers; beyond, the caches start anew.
+#: Chunks and pieces that a worker remembers; beyond, they keep their first quarter.
 CHUNKS, PIECES = 400_000, 400_000
 #: Texts encoded together, and pieces in one recursive query.
 GROUP_CHARS, QUERY_PIECES = 4_000_000, 50_000
-#: Positions in a piece fit below this factor in the combined order of rank and position.
-POSITIONS = 1 << 40
+#: Pieces above this many bytes are contracted by ENCODE_LONG; positions in shorter ones fit below POSITIONS in
+#: the combined order of rank and position.
+LONG, POSITIONS = 128, 128
 
 ENCODE = f"""
 WITH RECURSIVE s AS (
   SELECT w, pos, tok, 0 AS step FROM base
   UNION ALL
   SELECT w, pos, tok, step FROM (
-    SELECT p.w, p.pos, CASE WHEN p.pos = h.pos THEN h.merged ELSE p.tok END AS tok, p.step + 1 AS step, p.before, h.pos AS at_pos
+    SELECT p.w, p.pos, CASE WHEN p.pos = h.best % {POSITIONS} THEN h.best // {POSITIONS} ELSE p.tok END AS tok,
+           p.step + 1 AS step, p.before, h.best % {POSITIONS} AS at_pos
     FROM (SELECT *, CASE WHEN lag(w) OVER () = w THEN lag(pos) OVER () END AS before FROM s) p
     JOIN (
-      SELECT w, min(m.merged::HUGEINT * {POSITIONS} + pos) % {POSITIONS} AS pos, min(m.merged) AS merged
+      SELECT w, min(m.merged * {POSITIONS} + pos) AS best
       FROM (SELECT w, pos, tok, CASE WHEN lead(w) OVER () = w THEN lead(tok) OVER () END AS next FROM s) q
       JOIN merges m ON m.a = q.tok AND m.b = q.next
       GROUP BY w) h USING (w))
@@ -57,7 +60,7 @@ GROUP BY w
 #: The same rule for long pieces, where one contraction a round would take too many rounds: a round contracts
 #: all occurrences of the smallest rank from the left, unless the new token could form a pair of a smaller
 #: rank (``risky``); then only the leftmost. A query ends after ROUNDS rounds and the next one goes on.
-LONG, ROUNDS = 128, 200
+ROUNDS = 200
 ENCODE_LONG = f"""
 WITH RECURSIVE s AS (
   SELECT w, pos, tok, 0 AS step FROM base
@@ -119,7 +122,7 @@ class Coder:
         raw = [p.encode() for p in pieces]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
         w = np.repeat(np.arange(len(raw), dtype=np.int32), lengths)
-        pos = np.arange(len(w)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        pos = (np.arange(len(w)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
         base = pa.table({"w": w, "pos": pos, "tok": self.bytes_to_id[np.frombuffer(b"".join(raw), np.uint8)]})
         if long:
             steps = ROUNDS
@@ -134,13 +137,13 @@ class Coder:
         split = [self.pieces_of(c) for c in chunks]
         fresh = {p for s in split for p in s if p not in self.pieces}
         if len(self.pieces) + len(fresh) > PIECES:
-            self.pieces.clear()
-            fresh = {p for s in split for p in s}
+            self.pieces = dict(islice(self.pieces.items(), PIECES // 4))  # the earliest are the commonest
+            fresh = {p for s in split for p in s if p not in self.pieces}
         merged: dict[bool, list[str]] = {False: [], True: []}
         for p in fresh:
             raw = p.encode()
             if (n := self.ranks.get(raw)) is None:
-                merged[len(raw) > LONG].append(p)
+                merged[len(raw) >= LONG].append(p)
             else:
                 self.pieces[p] = (str(n), raw)
         for long, todo in merged.items():
@@ -162,8 +165,8 @@ class Coder:
         wanted = set().union(*cuts)
         fresh = [c for c in wanted if c not in self.chunks]
         if len(self.chunks) + len(fresh) > CHUNKS:
-            self.chunks = {"": ("", b"")}
-            fresh = [c for c in wanted if c]
+            self.chunks = dict(islice(self.chunks.items(), CHUNKS // 4))
+            fresh = [c for c in wanted if c not in self.chunks]
         for i in range(0, len(fresh), QUERY_PIECES):
             self._learn(fresh[i : i + QUERY_PIECES])
         out = []

@@ -38,7 +38,7 @@ def token_overlap(spark, sf_dir):
 
 @query(f"""WITH {_TURN}, a AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(tok) AS w FROM p WHERE prev_turn IS NOT NULL) GROUP BY ALL),
 b AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(prev_tok) AS w FROM p WHERE prev_turn IS NOT NULL) GROUP BY ALL)
-SELECT p.conv_id, p.turn, coalesce(sum(least(a.n, b.n)), 0)::BIGINT AS common FROM p LEFT JOIN a USING (conv_id, turn) LEFT JOIN b ON b.conv_id = a.conv_id AND b.turn = a.turn AND b.w = a.w WHERE prev_turn IS NOT NULL GROUP BY ALL""")
+SELECT p.conv_id, p.turn, coalesce(sum(CASE WHEN b.n IS NOT NULL THEN least(a.n, b.n) END), 0)::BIGINT AS common FROM p LEFT JOIN a USING (conv_id, turn) LEFT JOIN b ON b.conv_id = a.conv_id AND b.turn = a.turn AND b.w = a.w WHERE prev_turn IS NOT NULL GROUP BY ALL""")
 def token_overlap_stats(spark, sf_dir):
     """Common tokens of consecutive turns, repeats counted."""
     t = _turns(spark, sf_dir).filter("prev_turn IS NOT NULL")
