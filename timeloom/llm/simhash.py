@@ -31,8 +31,9 @@ from .winnow import _mix, gram_hashes, grouped_texts, word_hashes
 
 #: Distinct fingerprints that one subtree of the frontier should hold about.
 SUBTREE = 1 << 15
-#: Node pairs handled at once in a task, and the product of node sizes at which leaves are compared.
-CHUNK, LEAVES = 1 << 17, 64
+#: Node pairs handled at once in a task, leaf pairs compared at once, and the product of node sizes at which
+#: leaves are compared.
+CHUNK, COMPARED, LEAVES = 1 << 17, 1 << 21, 64
 
 
 # -------------------------------------------------------------------------------------------- fingerprints
@@ -97,7 +98,7 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[max(x, y)] = min(x, y)
 
 
-def trie_pairs(values: np.ndarray, starts: list[tuple[int, int, int, int, int, int]], budget: int, bits: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def trie_pairs(values: np.ndarray, starts: list[tuple[int, int, int, int, int, int]], budget: int, bits: int = 64, leaves: int = LEAVES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Batches of index pairs (i, j) of ``values`` that differ in 1 to ``budget`` bits.
 
     ``values`` has ``bits`` bits and is sorted and distinct in each range; ``starts`` lists node pairs (lo, hi,
@@ -119,15 +120,17 @@ def trie_pairs(values: np.ndarray, starts: list[tuple[int, int, int, int, int, i
             half = len(al) // 2
             stack += [(depth, al[s], ah[s], bl[s], bh[s], diff[s]) for s in (slice(half), slice(half, None))]
             continue
-        small = ((ah - al) * (bh - bl) <= LEAVES) | (depth >= bits)
+        small = ((ah - al) * (bh - bl) <= leaves) | (depth >= bits)
         if small.any():
-            sizes_b = (bh - bl)[small]
+            lo_a, lo_b, sizes_b = al[small], bl[small], (bh - bl)[small]
             sizes = (ah - al)[small] * sizes_b
-            pair = np.repeat(np.arange(len(sizes)), sizes)
-            k = np.arange(len(pair)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            i, j = al[small][pair] + k // sizes_b[pair], bl[small][pair] + k % sizes_b[pair]
-            near = ((al != bl)[small][pair] | (i < j)) & (np.bitwise_count(values[i] ^ values[j]) <= budget)
-            yield i[near], j[near]
+            cut = np.flatnonzero(np.diff(np.cumsum(sizes) // COMPARED)) + 1
+            for part in np.split(np.arange(len(sizes)), cut):
+                pair = np.repeat(part, sizes[part])
+                k = np.arange(len(pair)) - np.repeat(np.cumsum(sizes[part]) - sizes[part], sizes[part])
+                i, j = lo_a[pair] + k // sizes_b[pair], lo_b[pair] + k % sizes_b[pair]
+                near = ((lo_a != lo_b)[pair] | (i < j)) & (np.bitwise_count(values[i] ^ values[j]) <= budget)
+                yield i[near], j[near]
             al, ah, bl, bh, diff = (x[~small] for x in (al, ah, bl, bh, diff))
         if not len(al):
             continue
@@ -240,11 +243,8 @@ def _long_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], names=["row_a", "row_b", "did", "fp"])
 
 
-def _band_links(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Spanning forest of the linked members of one block group, as (a, b) ids."""
-    ids = pdf["fid"].to_numpy(np.int64)
-    fps = np.frombuffer(b"".join(pdf["fp"]), np.uint64).reshape(-1, LONG_WORDS)
-    band = int(pdf["band"].iloc[0])
+def band_links(ids: np.ndarray, fps: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the linked members of one block group, as two arrays of ids."""
     part = (fps[:, band // 2] >> np.uint64(32 * (band % 2))) & np.uint64(0xFFFFFFFF)
     order = np.argsort(part, kind="stable")
     ids, fps, part = ids[order], fps[order], part[order]
@@ -260,7 +260,7 @@ def _band_links(pdf: pd.DataFrame) -> pd.DataFrame:
     for v in np.flatnonzero(last - first > 1):  # members with one band value
         for i in range(first[v], last[v] - 1):
             link(i, np.arange(i + 1, last[v]))
-    for a, b in trie_pairs(values, [(0, len(values), 0, len(values), 0, 0)], BAND_BUDGET, 32):
+    for a, b in trie_pairs(values, [(0, len(values), 0, len(values), 0, 0)], BAND_BUDGET, 32, 1 << 14):
         single = (last[a] - first[a] == 1) & (last[b] - first[b] == 1)
         i, j = first[a[single]], first[b[single]]
         near = np.bitwise_count(fps[i] ^ fps[j]).sum(axis=1) <= LONG_BUDGET
@@ -271,7 +271,32 @@ def _band_links(pdf: pd.DataFrame) -> pd.DataFrame:
                 link(i, np.arange(first[y], last[y]))
     root = _roots(parent, np.arange(len(ids)))
     member = root != np.arange(len(ids))
-    return pd.DataFrame({"a": ids[member], "b": ids[root[member]]})
+    return ids[member], ids[root[member]]
+
+
+def _grouped_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of every block group of a partition sorted by group; a group may reach over several batches."""
+    held: list[tuple[int, np.ndarray, np.ndarray]] = []
+
+    def links() -> tuple[np.ndarray, np.ndarray]:
+        ids, fps = (np.concatenate([h[k] for h in held]) for k in (1, 2))
+        return band_links(ids, fps, held[0][0] >> 16) if len(ids) > 1 else (ids[:0], ids[:0])
+
+    for batch in batches:
+        groups, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        fps = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(-1, LONG_WORDS)
+        found = []
+        for at in np.split(np.arange(len(ids)), np.flatnonzero(np.diff(groups)) + 1):
+            if not len(at):
+                continue
+            if held and held[0][0] != groups[at[0]]:
+                found.append(links())
+                held.clear()
+            held.append((int(groups[at[0]]), ids[at], fps[at]))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["a", "b"])
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in links()], names=["a", "b"])
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
@@ -280,7 +305,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     Near copies share five-word shingles with similarity 0.8 or more, as estimated by 512-bit SimHash; groups
     are connected through such links. Candidates come from trie self-joins over 32-bit bands of the
     fingerprint; as three differing bits leave one of four blocks of a band equal, members are dealt by
-    (band, block, value of the block), and a trie joins each group. Equal fingerprints are one member.
+    band, block and value of the block, and a trie joins each group. Equal fingerprints are one member.
     """
     named = docs.withColumns(dict(zip(("row_a", "row_b"), row_identity("doc_id", "text", "lang", "source"), strict=True)))
     last = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("did")
@@ -291,11 +316,11 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     members = rows.groupBy("fid").agg(F.first("fp").alias("fp"))  # equal ids have equal fingerprints
     size = 32 // BLOCKS
     blocks = [
-        F.struct(F.lit(b).alias("band"), F.lit(k).alias("block"), F.substring("fp", 1 + 4 * b + k * size // 8, size // 8).alias("value"))
+        F.lit((b << 16) + (k << 8)) + F.conv(F.hex(F.substring("fp", 1 + 4 * b + k * size // 8, size // 8)), 16, 10).cast("int")
         for b in range(BANDS) for k in range(BLOCKS)
     ]
-    dealt = members.select("fid", "fp", F.explode(F.array(*blocks)).alias("g")).select("fid", "fp", "g.*")
-    links = durable(dealt.groupBy("band", "block", "value").applyInPandas(_band_links, "a bigint, b bigint").distinct())
+    dealt = members.select(F.explode(F.array(*blocks)).alias("group"), "fid", "fp")
+    links = durable(dealt.repartition("group").sortWithinPartitions("group").mapInArrow(_grouped_links, "a bigint, b bigint").distinct())
     groups = connected_components(links, "a", "b")
     grouped = rows.join(groups, rows["fid"] == groups["node"], "left").select("row_a", "row_b", "did", F.coalesce("component", "fid").alias("component"))
     by_row = grouped.groupBy("component", "row_a", "row_b").agg(F.min("did").alias("did"), F.count("*").alias("n"))
