@@ -161,3 +161,27 @@ def test_entry_has_the_queries():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_edit_timeline_of_a_recording(spark):
+    from timeloom.plans import alignment as plan
+
+    said = ["welcome to this short film about the old town.", "we will walk along the river and", "we will walk along the river and see the bridge today.", "hmm right", "thank you all for watching it."]
+    words, at = [], 0.0
+    for line in said:
+        at += 0.6
+        for w in line.split():
+            words.append((1, len(words), w, round(at, 3), round(at + 0.3, 3)))
+            at += 0.32
+    words = spark.createDataFrame(words, "session bigint, word_no int, word string, start double, end double")
+    script = ["Welcome to this short film about the old town.", "We will walk along the river and see the bridge today.", "Never said at all anywhere.", "Thank you all for watching it."]
+    refs = spark.createDataFrame([(1, i, x) for i, x in enumerate(script)], "session bigint, ref_no bigint, text string")
+    rows = plan.matched_rows(plan.repeated_takes(plan.working_rows(words)), refs).cache()
+    got = [(r["kind"], r["take"], r["ref_start"], r["ref_end"]) for r in rows.orderBy("row_no").collect()]
+    pause = ("silence", None, None, None)
+    assert got == [("speech", None, 0, 0), pause, ("speech", "PRE_REPEAT_ELIMINATED", None, None), pause, ("speech", "LAST_TAKE_KEEP", 1, 1), pause, ("speech", None, None, None), pause, ("speech", None, 3, 3)]
+    edit = plan.edit_timeline(plan.word_timeline(rows, words, refs), rows).orderBy("row_no", "step_no").collect()
+    assert len(edit) == 9 + 11 + 6 and all(e["kind"] == "MATCH" for e in edit)
+    assert all(a["edit_end"] <= b["edit_start"] + 1e-6 for a, b in zip(edit, edit[1:], strict=False))
+    assert abs(edit[-1]["edit_end"] - sum(n * 0.32 - 0.02 for n in (9, 11, 6))) < 1e-6
+    assert [r["text"] for r in plan.leftovers(rows, refs).collect()] == [script[2]]
