@@ -275,6 +275,48 @@ def test_near_duplicates(spark, docs, rows):
     assert sorted(out) == [4 * g for g in range(25)]
 
 
+def plain_survivors(data):
+    sets = []
+    for _, text in data:
+        w = words(text.lower())
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    near = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    parent = list(range(len(data)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(data)):
+        for j in range(i):
+            if near(sets[i], sets[j]):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    return [d[0] for i, d in enumerate(data) if find(i) == i]
+
+
+@pytest.mark.parametrize("hot", [8, 1])
+def test_near_duplicates_are_exact(spark, monkeypatch, hot):
+    """Pairs on both sides of similarity 0.8, at it, and a passage that many texts share."""
+    monkeypatch.setattr(simhash, "HOT", hot)
+    monkeypatch.setattr(simhash, "SAMPLE", 1)
+    r = random.Random(14)
+    passage = " ".join(r.choice(VOCABULARY) for _ in range(30))
+    data = [(0, ""), (1, " \n"), (2, "one two"), (3, "One two"), (4, "one two three")]
+    for g in range(120):
+        base = [r.choice(VOCABULARY) for _ in range(r.randrange(40, 200))] + (passage.split() if g % 2 else [])
+        data.append((len(data), " ".join(base)))
+        for _ in range(r.randrange(1, 4)):
+            n = int((len(base) - 4) * r.choice([0.7, 0.76, 0.79, 0.8, 0.81, 0.84]) + 0.5) + 4  # a part of the text: similarity is its share
+            data.append((len(data), " ".join(base[:n])))
+        w = list(base)
+        for _ in range(len(base) // 45):
+            w[r.randrange(len(w))] = "changed"
+        data.append((len(data), " ".join(w)))
+    out = simhash.drop_near_duplicates(spark.createDataFrame([(*d, "en", "s") for d in data], "doc_id bigint, text string, lang string, source string"))
+    assert sorted(x[0] for x in out.select("doc_id").collect()) == plain_survivors(data)
+
+
 # ---------------------------------------------------------------------------------------------------- bpe
 P = pytest.importorskip("public_tokenizers")
 

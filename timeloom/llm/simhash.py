@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from timeloom.operators.components import connected_components
 
 from .common import BROADCAST_ROWS, durable, row_identity, small_join, table
-from .winnow import _mix, gram_hashes, grouped_texts, word_hashes
+from .winnow import gram_hashes, grouped_texts, word_hashes
 
 #: Distinct fingerprints that one subtree of the frontier should hold about.
 SUBTREE = 1 << 15
@@ -210,118 +210,191 @@ def simhash_components(rows: DataFrame, budget: int = 4) -> DataFrame:
 
 
 # ------------------------------------------------------------------- near duplicates by word-shingle similarity
-#: Long fingerprints: words of 64 bits, and the first 32-bit halves that serve as bands of the trie join. Texts
-#: whose 5-word shingle sets have similarity J differ in a share arccos(2J / (1 + J)) / pi of the bits, 0.152 at
-#: J = 0.8. Ten bands with a budget of 3 bits find such a pair with probability 0.95, at J = 0.85 with 0.995.
-LONG_WORDS, BANDS, BAND_BUDGET, BLOCKS = 8, 10, 3, 4
-#: Differing bits of 512 up to which a found pair is linked: similarity 0.8, plus 1.3 standard errors of the estimate.
-LONG_BUDGET = 88
+#: Words of a shingle, and the similarity of shingle sets (a fraction) from which two texts are near copies.
+SHINGLE, SIMILAR = 5, (4, 5)
+#: Common shingles: one in SAMPLE rows is counted, shingles of HOT rows of it or more stand last in the order
+#: of prefixes. Any order gives the same links; this one keeps common passages out of the prefixes.
+SAMPLE, HOT = 16, 8
 
 _TOKEN = np.ones(256, bool)
 _TOKEN[[32, 9, 10, 11, 12, 13]] = False
-_SEEDS = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, LONG_WORDS, dtype=np.uint64)
 
 
-def long_fingerprint(h: np.ndarray, k: int = 5) -> bytes:
-    """512 bits from the set of k-word shingles, given a text's word hashes; all zero without words."""
-    if not len(h):
-        return bytes(8 * LONG_WORDS)
-    grams = np.unique(gram_hashes(h, min(k, len(h))))
-    counts = np.zeros(64 * LONG_WORDS, np.int64)
-    for i in range(0, len(grams), 4096):
-        mixed = _mix(grams[i : i + 4096, None] ^ _SEEDS[None, :])
-        counts += np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(counts * 2 > len(grams), bitorder="little").tobytes()
+def _shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
+    """Sorted 64-bit hashes of the distinct shingles of each text; fewer words give the whole sequence."""
+    for _, data, offsets in grouped_texts(column):
+        h, firsts = word_hashes(data, offsets, _TOKEN)
+        for i in range(len(offsets) - 1):
+            words = h[firsts[i] : firsts[i + 1]]
+            yield np.unique(gram_hashes(words, min(SHINGLE, len(words)))) if len(words) else words
 
 
-def _long_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for _, data, offsets in grouped_texts(batch.column(3)):
-            h, firsts = word_hashes(data, offsets, _TOKEN)
-            out += [long_fingerprint(h[firsts[i] : firsts[i + 1]]) for i in range(len(offsets) - 1)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], names=["row_a", "row_b", "did", "fp"])
-
-
-def band_links(ids: np.ndarray, fps: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest of the linked members of one block group, as two arrays of ids."""
-    part = (fps[:, band // 2] >> np.uint64(32 * (band % 2))) & np.uint64(0xFFFFFFFF)
-    order = np.argsort(part, kind="stable")
-    ids, fps, part = ids[order], fps[order], part[order]
-    values, first = np.unique(part, return_index=True)
-    last = np.append(first[1:], len(part))
-    parent = np.arange(len(ids))
-
-    def link(i: int, others: np.ndarray) -> None:
-        others = others[_roots(parent, others) != _roots(parent, np.array([i]))]
-        near = others[np.bitwise_count(fps[others] ^ fps[i]).sum(axis=1) <= LONG_BUDGET]
-        _unite(parent, np.full(len(near), i), near)
-
-    for v in np.flatnonzero(last - first > 1):  # members with one band value
-        for i in range(first[v], last[v] - 1):
-            link(i, np.arange(i + 1, last[v]))
-    for a, b in trie_pairs(values, [(0, len(values), 0, len(values), 0, 0)], BAND_BUDGET, 32, 1 << 14):
-        single = (last[a] - first[a] == 1) & (last[b] - first[b] == 1)
-        i, j = first[a[single]], first[b[single]]
-        near = np.bitwise_count(fps[i] ^ fps[j]).sum(axis=1) <= LONG_BUDGET
-        _unite(parent, i[near], j[near])
-        for x, y in zip(a[~single].tolist(), b[~single].tolist(), strict=True):
-            x, y = sorted((x, y), key=lambda v: last[v] - first[v])
-            for i in range(first[x], last[x]):
-                link(i, np.arange(first[y], last[y]))
-    root = _roots(parent, np.arange(len(ids)))
-    member = root != np.arange(len(ids))
-    return ids[member], ids[root[member]]
-
-
-def _grouped_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of every block group of a partition sorted by group; a group may reach over several batches."""
-    held: list[tuple[int, np.ndarray, np.ndarray]] = []
-
-    def links() -> tuple[np.ndarray, np.ndarray]:
-        ids, fps = (np.concatenate([h[k] for h in held]) for k in (1, 2))
-        return band_links(ids, fps, held[0][0] >> 16) if len(ids) > 1 else (ids[:0], ids[:0])
+def _longs(arrays: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in arrays]))).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.uint64), *arrays]).view(np.int64)))
+
 
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        groups, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        fps = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(-1, LONG_WORDS)
-        found = []
-        for at in np.split(np.arange(len(ids)), np.flatnonzero(np.diff(groups)) + 1):
-            if not len(at):
+        for s in _shingle_sets(batch.column(0)):
+            yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], names=["token"])
+
+
+def _prefixes(hot: np.ndarray):
+    """Rows with the hash and size of their shingle set and its prefix: a set that shares the part SIMILAR of
+    the union of both shares a member of both prefixes, in any fixed order of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        for batch in batches:
+            fids, sizes, firsts = [], [], []
+            for s in _shingle_sets(batch.column(3)):
+                common = np.isin(s, hot) if len(hot) else np.zeros(len(s), bool)
+                fids.append(xxh64_intdigest(s.tobytes(), 5))
+                sizes.append(len(s))
+                firsts.append(np.concatenate((s[~common], s[common]))[: len(s) + 1 + -len(s) * SIMILAR[0] // SIMILAR[1]])
+            columns = [pa.array(np.array(fids, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), _longs(firsts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["row_a", "row_b", "did", "fid", "n", "prefix"])
+
+    return run
+
+
+def _by_token(work):
+    """Calls ``work`` with the columns of whole groups of a partition sorted by token, its first column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            if held and held[0][0] != groups[at[0]]:
-                found.append(links())
-                held.clear()
-            held.append((int(groups[at[0]]), ids[at], fps[at]))
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["a", "b"])
+            columns = [c.to_numpy() for c in batch.columns]
+            held = columns if held is None else [np.concatenate(x) for x in zip(held, columns, strict=True)]
+            cut = int(np.argmax(held[0] == held[0][-1]))
+            if cut:
+                yield from work(*[c[:cut] for c in held])
+                held = [c[cut:] for c in held]
+        if held is not None:
+            yield from work(*held)
+
+    return run
+
+
+def _groups(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+    return first, np.diff(np.append(first, len(token)))
+
+
+def _shared(token, fid, n, pos) -> Iterator[pa.RecordBatch]:
+    """Only tokens of two or more members; rows with equal sets are one member."""
+    new = np.concatenate(([True], (token[1:] != token[:-1]) | (fid[1:] != fid[:-1])))
+    token, fid, n, pos = (c[new] for c in (token, fid, n, pos))
+    sizes = _groups(token)[1]
+    take = np.repeat(sizes, sizes) > 1
+    yield pa.RecordBatch.from_arrays([pa.array(c[take]) for c in (token, fid, n, pos)], names=["token", "fid", "n", "pos"])
+
+
+def _possible(n: np.ndarray, pos: np.ndarray, i, j) -> np.ndarray:
+    """Whether sets whose first joint shingle stands at these places can be similar enough."""
+    most = np.minimum(n[i] - pos[i], n[j] - pos[j]).astype(np.int64)
+    return most * (SIMILAR[0] + SIMILAR[1]) >= (n[i].astype(np.int64) + n[j]) * SIMILAR[0]
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    out = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], names=["a", "b"])
+
+
+def _star_pairs(token, fid, n, pos) -> Iterator[pa.RecordBatch]:
+    """The first member of each token with the others."""
+    first, sizes = _groups(token)
+    hub, other = np.repeat(first, sizes), np.arange(len(token))
+    ok = (hub != other) & _possible(n, pos, hub, other)
+    yield _pairs(fid[hub[ok]], fid[other[ok]])
+
+
+def _cross_pairs(token, fid, n, pos, component) -> Iterator[pa.RecordBatch]:
+    """All pairs of members of a token that aren't connected yet."""
+    left, right, held = [], [], 0
+    for start, size in zip(*_groups(token), strict=True):
+        end = start + size
+        if (component[start:end] == component[start]).all():
+            continue
+        for i in range(start, end - 1):
+            j = np.arange(i + 1, end)
+            j = j[(component[j] != component[i]) & _possible(n, pos, i, j)]
+            left.append(np.full(len(j), fid[i]))
+            right.append(fid[j])
+            held += len(j)
+            if held > COMPARED:
+                yield _pairs(np.concatenate(left), np.concatenate(right))
+                left, right, held = [], [], 0
     if held:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in links()], names=["a", "b"])
+        yield _pairs(np.concatenate(left), np.concatenate(right))
+
+
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (a, fid, text) sorted by a, the text of a itself first, the pairs whose similarity, counted shingle by
+    shingle, reaches SIMILAR."""
+    hub = None
+    for batch in batches:
+        found = []
+        for a, b, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _shingle_sets(batch.column(2)), strict=True):
+            if a == b:
+                hub = x
+            else:
+                joint = len(np.intersect1d(hub, x, assume_unique=True))
+                if joint * SIMILAR[1] >= (len(hub) + len(x) - joint) * SIMILAR[0]:
+                    found.append((a, b))
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def similar_links(named: DataFrame, rows: DataFrame) -> DataFrame:
+    """(a, b): pairs of ``fid`` of similar shingle sets, enough of them to connect all that are connected.
+
+    ``rows`` are the prefix rows of ``named``. Candidates share a shingle of both prefixes, so no similar pair is
+    missed, and each is verified. First every shingle proposes its smallest member with the others, which
+    connects dense groups by few pairs; then all pairs of members that are still apart are proposed.
+    """
+    postings = rows.select("fid", "n", F.posexplode("prefix").alias("pos", "token")).select("token", "fid", "n", "pos")
+    dealt = lambda df: df.repartition("token").sortWithinPartitions("token", "fid")
+    shared = durable(dealt(postings).mapInArrow(_by_token(_shared), "token bigint, fid bigint, n int, pos int"))
+    places = rows.groupBy("fid").agg(F.min(F.struct("row_a", "row_b")).alias("place"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        meet = pairs.select("a", F.explode(F.array("a", "b")).alias("fid")).groupBy("fid").agg(F.collect_set("a").alias("at"))
+        meet = durable(meet.join(places, "fid").select("place.row_a", "place.row_b", "fid", "at"))
+        texts = named.select("row_a", "row_b", F.col("text").cast("binary").alias("text"))
+        met = texts.join(F.broadcast(meet) if meet.count() <= BROADCAST_ROWS else meet.hint("shuffle_hash"), ["row_a", "row_b"])
+        met = met.select(F.explode("at").alias("a"), "fid", "text").repartition("a").sortWithinPartitions("a", F.col("fid") != F.col("a"))
+        return durable(met.mapInArrow(_similar, "a bigint, b bigint"))
+
+    stars = durable(shared.mapInArrow(_by_token(_star_pairs), "a bigint, b bigint").distinct())
+    links = verified(stars)
+    known = durable(connected_components(links, "a", "b").withColumnRenamed("node", "fid"))
+    apart = small_join(shared, known, ["fid"], "left").select("token", "fid", "n", "pos", F.coalesce("component", "fid").alias("component"))
+    cross = dealt(apart).mapInArrow(_by_token(_cross_pairs), "a bigint, b bigint").distinct()
+    cross = durable(cross.join(stars, ["a", "b"], "left_anti"))
+    return links.unionByName(verified(cross))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each group of near copies, the one with the smallest doc_id; all columns unchanged.
 
-    Near copies share five-word shingles with similarity 0.8 or more, as estimated by 512-bit SimHash; groups
-    are connected through such links. Candidates come from trie self-joins over 32-bit bands of the
-    fingerprint; as three differing bits leave one of four blocks of a band equal, members are dealt by
-    band, block and value of the block, and a trie joins each group. Equal fingerprints are one member.
+    Near copies share five-word shingles with similarity 0.8 or more, counted exactly (shingles are compared by
+    64-bit hashes); groups are connected through such links. Equal shingle sets are one member, texts without
+    words too.
     """
     named = docs.withColumns(dict(zip(("row_a", "row_b"), row_identity("doc_id", "text", "lang", "source"), strict=True)))
+    sample = named.filter(F.pmod("row_b", F.lit(SAMPLE)) == 0).select(F.col("text").cast("binary").alias("text")).mapInArrow(_sampled, "token bigint")
+    hot = sample.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= HOT).orderBy(F.desc("n"), "token").limit(BROADCAST_ROWS)
+    hot = np.sort(np.array([r[0] for r in hot.select("token").collect()], np.int64).view(np.uint64))
     last = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("did")
     rows = durable(
         named.select("row_a", "row_b", last, F.col("text").cast("binary").alias("text"))
-        .mapInArrow(_long_fingerprints, "row_a bigint, row_b bigint, did bigint, fp binary").withColumn("fid", F.xxhash64("fp"))
+        .mapInArrow(_prefixes(hot), "row_a bigint, row_b bigint, did bigint, fid bigint, n int, prefix array<bigint>")
     )
-    members = rows.groupBy("fid").agg(F.first("fp").alias("fp"))  # equal ids have equal fingerprints
-    size = 32 // BLOCKS
-    blocks = [
-        F.lit((b << 16) + (k << 8)) + F.conv(F.hex(F.substring("fp", 1 + 4 * b + k * size // 8, size // 8)), 16, 10).cast("int")
-        for b in range(BANDS) for k in range(BLOCKS)
-    ]
-    dealt = members.select(F.explode(F.array(*blocks)).alias("group"), "fid", "fp")
-    links = durable(dealt.repartition("group").sortWithinPartitions("group").mapInArrow(_grouped_links, "a bigint, b bigint").distinct())
-    groups = connected_components(links, "a", "b")
+    groups = connected_components(similar_links(named, rows), "a", "b")
     grouped = rows.join(groups, rows["fid"] == groups["node"], "left").select("row_a", "row_b", "did", F.coalesce("component", "fid").alias("component"))
     by_row = grouped.groupBy("component", "row_a", "row_b").agg(F.min("did").alias("did"), F.count("*").alias("n"))
     best = by_row.groupBy("component").agg(F.min(F.struct("did", "row_a", "row_b")).alias("best"))
