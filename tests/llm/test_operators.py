@@ -361,6 +361,25 @@ def test_secrets(docs, rows, empty):
     assert secrets.scan_secrets(empty).count() == 0
 
 
+def test_novel_keys_of_any_length():
+    r = random.Random(21)
+    around = "the credential of the service is %s and lies beside it for the next run"
+    low, up = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    alphabets = {"hex": "0123456789ABCDEF", "base64": low + up + "0123456789+/", "small": low + "0123456789", "letters": low + up}
+    for name, letters in alphabets.items():
+        for n in (16, 24, 32, 40, 48, 64, 128, 172, 256, 344, 512, 1024):
+            hits = 0
+            for _ in range(20):
+                text = around % "".join(r.choice(letters) for _ in range(n))
+                hits += [(s, e) for s, _, e in secrets.novel_spans(text, [])] == [(around.index("%"), around.index("%") + n)]
+            assert hits >= (17 if n < 24 else 19), (name, n, hits)
+    for known in ("getUserAccountBalanceForCustomer", "photosynthesis_and_chlorophyll", "antidisestablishmentarianism", "/usr/local/share/applications", "a1b2" * 20, "config_value_12_" * 9, "-" * 70):
+        assert secrets.novel_spans(around % known, []) == []
+    key = ["".join(r.choice(alphabets["base64"]) for _ in range(64)) for _ in range(12)]
+    text = "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(key) + "\n-----END RSA PRIVATE KEY-----\n"
+    assert [text[s:e] for s, _, e in secrets.novel_spans(text, [])] == key
+
+
 # ------------------------------------------------------------------------------------------------- counts
 def test_token_counts(docs, rows, empty):
     from tokenizers import Tokenizer

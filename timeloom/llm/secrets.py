@@ -3,8 +3,9 @@
 Base spans come from three patterns. Beyond them, every run of key-like characters that stands near a
 sensitive word is a candidate. Its marginal cost is measured as the bytes that zstandard needs for it with a
 raw dictionary made of common identifiers and of the text around it: names, words and repeated strings
-compress well against that dictionary, random keys do not. Candidates whose marginal bytes per character
-reach the threshold are reported as kind ``novel``.
+compress well against that dictionary, random keys do not. Candidates that cost nearly as much as a random
+order of their own characters are reported as kind ``novel``, whatever their length and alphabet. A sensitive
+word also counts for the key lines that follow one another below it.
 
 Defined results: null counts as the empty text; base spans are never changed; a candidate that overlaps a
 base span is not reported again; repeated rows are scanned alike; other columns are ignored.
@@ -13,6 +14,7 @@ base span is not reported again; repeated rows are scanned alike; other columns
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 
@@ -33,14 +35,20 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so this equals dropping shorter runs
 _NEEDLES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-#: Candidates: runs of key characters of this length at least, holding two digits and a letter.
+#: Candidates: runs of key characters of this length at least, holding a letter.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Sensitive words, and the characters around a candidate in which one must stand.
 SENSITIVE = re.compile("|".join(_WORD.values()))
 CONTEXT, AROUND = 48, 256
-#: Marginal compressed bytes per character from which a candidate counts as incompressible. So short a string
-#: is stored as literals: random keys cost a whole byte each, strings made of known parts far less.
+#: Share of the cost of its characters in random order from which a candidate counts as incompressible. A short
+#: random key is stored as literals, a byte each; a longer one or one of few symbols is coded in less, and so is
+#: its random order. Strings made of known parts cost far less than theirs.
 NOVELTY = 0.9
+#: Short words outside the dictionary are literals too. Strings of fewer than two digits are words when this share
+#: of their letter pairs is known from the identifiers and the text around.
+KNOWN_PAIRS = 0.75
+#: White space between lines of one key.
+LINE_BREAK = re.compile(r"[ \t]*\r?\n[ \t]*")
 #: Identifier dictionary of the compressor: common names of code and configuration, separated by spaces.
 IDENTIFIERS = (
     "abstract access_token address api_key apiVersion application argument array assert async attribute authorization await "
@@ -84,20 +92,47 @@ def marginal_bytes(candidate: bytes, around: bytes) -> int:
     return max(0, len(coder.compress(candidate)) - len(coder.compress(b"")))
 
 
+def _letter_pairs(text: str) -> list[str]:
+    return re.findall("(?=([a-z]{2}))", text.lower())
+
+
+_PAIRS = frozenset(_letter_pairs(IDENTIFIERS.decode().replace("abcdefghijklmnopqrstuvwxyz", "")))
+
+
+def _is_words(value: str, around: str) -> bool:
+    pairs = _letter_pairs(value)
+    known = _PAIRS.union(_letter_pairs(around))
+    return sum(p in known for p in pairs) >= KNOWN_PAIRS * len(pairs)
+
+
+def incompressible(value: str, around: str) -> bool:
+    """Whether the value costs about as much as its characters in random order."""
+    primer = around.encode()
+    cost = marginal_bytes(value.encode(), primer)
+    if cost >= NOVELTY * len(value):
+        return True
+    shuffled = list(value)
+    random.Random(value).shuffle(shuffled)
+    return cost >= NOVELTY * marginal_bytes("".join(shuffled).encode(), primer)
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Candidates in a sensitive context whose marginal bytes per character reach the threshold."""
+    """Candidates in a sensitive context that are incompressible."""
     out, at = [], 0
+    block, sensitive = -1, False  # end of the candidate before, and whether a sensitive word stands at it or at a line above
     for m in CANDIDATE.finditer(text):
         s, e = m.span()
+        sensitive = sensitive and LINE_BREAK.fullmatch(text, block, s) is not None
+        sensitive = sensitive or SENSITIVE.search(text, max(0, s - CONTEXT), min(len(text), e + CONTEXT)) is not None
+        block = e
         while at < len(base) and max(x[2] for x in base[at : at + 1]) <= s:
             at += 1
-        if any(b[0] < e and b[2] > s for b in base[at : at + 8]):
+        if not sensitive or any(b[0] < e and b[2] > s for b in base[at : at + 8]):
             continue
-        value = m[0]
-        if len(re.findall("[0-9]", value)) < 2 or not re.search("[A-Za-z]", value) or not SENSITIVE.search(text, max(0, s - CONTEXT), min(len(text), e + CONTEXT)):
+        value, around = m[0], text[max(0, s - AROUND) : s] + " " + text[e : e + AROUND]
+        if not re.search("[A-Za-z]", value) or len(re.findall("[0-9]", value)) < 2 and _is_words(value, around):
             continue
-        around = (text[max(0, s - AROUND) : s] + " " + text[e : e + AROUND]).encode()
-        if marginal_bytes(value.encode(), around) >= NOVELTY * len(value):
+        if incompressible(value, around):
             out.append((s, 3, e))
     return out
 
