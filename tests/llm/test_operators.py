@@ -108,6 +108,14 @@ def test_quality_filter(spark, docs, rows, empty):
     assert out == {g[0] for g in good}
 
 
+def test_moderate_symbol_shares(spark):
+    """Words set apart by pipes go; one symbol in a short clean text does not matter."""
+    good = [(i, prose(60 + i % 50, 900 + i), "en", "s0") for i in range(150)] + [(200, prose(25, 5) + " &", "en", "s0")]
+    pipes = [(1000 + i, " | ".join(prose(60 + i, 700 + i).split()), "en", "s0") for i in range(12)]
+    out = {r[0] for r in quality.quality_filter(spark.createDataFrame(good + pipes, "doc_id bigint, text string, lang string, source string")).select("doc_id").collect()}
+    assert out == {g[0] for g in good}
+
+
 # ------------------------------------------------------------------------------------------------- fixity
 def test_merkle_audit(spark):
     pages = [(i if i % 9 else None, f"http://h/{i}", f"<p>{i * 7}</p>" * (i % 5)) for i in range(300)] + [(1, None, None), (1, None, None)]
