@@ -395,19 +395,49 @@ def test_token_counts(docs, rows, empty):
     path = P.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
     count = lambda t: len(library.encode(t or "", add_special_tokens=False))
-    got = counts.count_tokens(docs, path, with_prefixes=True)
-    assert bag((r["row"]["doc_id"], r["n_tokens"], r["n_bytes"]) for r in got.collect()) == bag((r[0], count(r[1]), len((r[1] or "").encode())) for r in rows)
-    fit = counts.fit_to_budget(got, 20).filter("row.doc_id < 20").select("row.doc_id", "fit_end", "n_tokens").collect()
-    by_id = {r[0]: r[1] for r in rows}
-    for r in fit:
-        assert count(by_id[r["doc_id"]].lower()[: r["fit_end"]]) <= 20
+    got = counts.count_tokens(docs, path, limit=20, with_prefixes=True)
+    fit = counts.fit_to_budget(got, 7).cache()
+    for r in fit.collect():
+        text = next(x[1] for x in rows if x[0] == r["row"]["doc_id"] and len((x[1] or "").encode()) == r["n_bytes"]) or ""
+        assert (r["n_tokens"], r["over_limit"]) == (count(text), count(text) > 20)
+        if len(text) < 600:
+            every = [count(text[:i]) for i in range(len(text) + 1)]
+            assert r["prefix_tokens"] == every
+            assert (r["fit_chars"], r["fit_end"]) == tuple(max(i for i, n in enumerate(every) if n <= b) for b in (20, 7))
+    assert fit.count() == len(rows)
     assert counts.count_tokens(empty, path).count() == 0
+
+
+def test_every_prefix():
+    """Tables of odd texts, prefix by prefix, against the library; budgets inside long pieces; long words."""
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    count = lambda t: len(library.encode(t, add_special_tokens=False))
     counter = counts.PrefixCounter(path)
-    for w in ("internationalisation", "zzzqqq", "éclairé", "日本語", "a"):
-        assert counter.prefix_counts(w) == [count(w[:i]) for i in range(len(w) + 1)]
     r = random.Random(7)
-    for t in ["".join(r.choice("ab \n\x1c'S1é²日.,!<|>ΣİΑ") for _ in range(30)) for _ in range(300)] + ["a<|endoftext|>b <|startoftext|>", "<|endoftext|"]:
-        assert counter.count(t) == count(t)
+    odd = ["".join(r.choice(letters) for _ in range(r.randrange(0, 40))) for letters in ("ab \n\x1c'S1é²日.,!<|>ΣİΑ", "abcdefghij 'relvsmtd", "e\u0301a\u0302\u0323 \u1112\u1161\u11ab\u0130'x", "\u3000\t\xa0a'rell!' ") for _ in range(40)]
+    odd += ["internationalisation", "a<|endoftext|>b <|startoftext|>", "<|endoftext|", "\u0130x <|endoftext|> hello", "!!<|endoftext|><|endoftext|>?", "x\t<|endoftext|>", "\n", ""]
+    for text, found in zip(odd, counter.tables(odd), strict=True):
+        assert found.tolist() == [count(text[:i]) for i in range(len(text) + 1)], text
+    for text in ["x" * 30_000, "日本" * 20_000, "e\u0301" * 9_000, "".join(r.choice("etaoinsr") for _ in range(30_000))]:
+        found = counter.table(text)
+        assert len(found) == len(text) + 1 and found[-1] == count(text)
+        end = int(np.flatnonzero(found <= 100)[-1])
+        assert count(text[:end]) <= 100 < count(text[: end + 1])
+
+
+def test_tokens_apart():
+    """The backward walk over merges against contracting both texts together."""
+    counter = counts.PrefixCounter(P.path("word_bpe_49k.json"))
+    r = random.Random(5)
+    tokens = [i for i, t in counter.token.items() if i in counter.parts and not t.endswith(counts.END) and counter.fits(-1, i)]
+    ends = [i for i, t in counter.token.items() if i in counter.parts and t.endswith(counts.END) and counter.fits(-1, i)]
+    for _ in range(3000):
+        a, b = r.choice(tokens[:3000]), r.choice(ends[:3000])
+        x, y = counter.token[a], counter.token[b].removesuffix(counts.END)
+        assert counter.apart(a, b) == (counter.merged([*x, *y[:-1], y[-1] + counts.END]) == [x, counter.token[b]])
 
 
 # ---------------------------------------------------------------------------------------------- templates

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,20 @@ def small_join(left: DataFrame, right: DataFrame, on, how: str = "inner", rows:
     return left.join(F.broadcast(right) if rows <= BROADCAST_ROWS else right, on, how)
 
 
+def text_groups(column: pa.Array, chars: int) -> Iterator[list[str]]:
+    """The texts of an Arrow column in groups of at most ``chars`` characters, or one text; null is empty."""
+    group, size = [], 0
+    for value in column:
+        text = value.as_py() or ""
+        if group and size + len(text) > chars:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
+
+
 def row_identity(*columns: str) -> list[Column]:
     """Two 64-bit hashes naming a row by the given columns; nulls differ from every value."""
     parts = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
