@@ -4,12 +4,19 @@ A text is cut at its spaces and line ends into chunks that split into the same p
 texts with other white space are split whole. Pieces not met before in this worker go to DuckDB as rows
 (piece, position, token). A recursive query joins neighbouring tokens with the merge table and contracts, in
 each piece, the leftmost pair of the smallest rank, until no pair merges. Ordered aggregation then gives the
-ids of each piece and, through the vocabulary, the bytes that these ids decode to. Pieces that are tokens
-themselves take their id directly. Answers are remembered in a cache of bounded size.
+ids of each piece and, through the vocabulary, the bytes that these ids decode to; a piece that is a token
+itself enters the query as that token. Answers are remembered in caches of bounded size.
+
+Long pieces (words without end, texts without spaces) are contracted in overlapping windows. Tokens that stand
+side by side in the encoding of any text stand so wherever their joint text is encoded, and a row of tokens in
+which all neighbours stand so is the encoding of the whole; so two windows may be joined behind a token that
+both hold at the same place. Where they share none, a window is laid that starts at an accepted token, and
+reaches further back until it begins with that token or with the piece. A query never keeps more than about
+QUERY_ROWS rows, whatever the pieces.
 
 The ids are those of the public library for the same ranks and pattern without special tokens. Defined
-results: null counts as the empty text, with no ids; repeated rows are encoded alike; other columns are
-ignored by the query and kept by the operator.
+results: null counts as the empty text, with no ids; repeated rows are encoded alike; pieces may have any
+length; other columns are ignored by the query and kept by the operator in a struct.
 """
 
 from __future__ import annotations
@@ -17,73 +24,48 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import table, text_groups
 
-#: Chunks and pieces that a worker remembers; beyond, they keep their first quarter.
-CHUNKS, PIECES = 400_000, 400_000
-#: Texts encoded together, and pieces in one recursive query.
-GROUP_CHARS, QUERY_PIECES = 4_000_000, 50_000
-#: Pieces above this many bytes are contracted by ENCODE_LONG; positions in shorter ones fit below POSITIONS in
-#: the combined order of rank and position.
-LONG, POSITIONS = 128, 128
+#: Chunks and pieces that a worker remembers in the younger of two generations, and the length from which they
+#: are forgotten after use.
+CHUNKS, PIECES, CACHED_CHARS = 150_000, 150_000, 200
+#: Texts encoded together, and rows that one recursive query may keep (a piece keeps about half its length squared).
+GROUP_CHARS, QUERY_ROWS = 4_000_000, 3_000_000
+#: Pieces from LONG bytes on are contracted in windows of LONG - 1 bytes, STRIDE bytes apart.
+LONG, STRIDE = 128, 64
 
-ENCODE = f"""
+#: Contracts the pieces of ``base`` for {rounds} rounds; rank and position share one number of {kind}.
+CONTRACT = """
 WITH RECURSIVE s AS (
   SELECT w, pos, tok, 0 AS step FROM base
   UNION ALL
   SELECT w, pos, tok, step FROM (
-    SELECT p.w, p.pos, CASE WHEN p.pos = h.best % {POSITIONS} THEN h.best // {POSITIONS} ELSE p.tok END AS tok,
-           p.step + 1 AS step, p.before, h.best % {POSITIONS} AS at_pos
+    SELECT p.w, p.pos, CASE WHEN p.pos = h.best % {positions} THEN (h.best // {positions})::INTEGER ELSE p.tok END AS tok,
+           p.step + 1 AS step, p.before, h.best % {positions} AS at_pos
     FROM (SELECT *, CASE WHEN lag(w) OVER () = w THEN lag(pos) OVER () END AS before FROM s) p
     JOIN (
-      SELECT w, min(m.merged * {POSITIONS} + pos) AS best
-      FROM (SELECT w, pos, tok, CASE WHEN lead(w) OVER () = w THEN lead(tok) OVER () END AS next FROM s) q
+      SELECT w, min(m.merged::{kind} * {positions} + pos) AS best
+      FROM (SELECT w, pos, tok, CASE WHEN lead(w) OVER () = w THEN lead(tok) OVER () END AS next FROM s WHERE step < {rounds}) q
       JOIN merges m ON m.a = q.tok AND m.b = q.next
       GROUP BY w) h USING (w))
-  WHERE before IS NULL OR before <> at_pos)
-SELECT w, string_agg(tok::VARCHAR, ',' ORDER BY pos) AS ids, string_agg(v.hex, '' ORDER BY pos) AS hex
-FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w, step) JOIN vocabulary v ON v.id = tok
-GROUP BY w
-"""
-
-#: The same rule for long pieces, where one contraction a round would take too many rounds: a round contracts
-#: all occurrences of the smallest rank from the left, unless the new token could form a pair of a smaller
-#: rank (``risky``); then only the leftmost. A query ends after ROUNDS rounds and the next one goes on.
-ROUNDS = 200
-ENCODE_LONG = f"""
-WITH RECURSIVE s AS (
-  SELECT w, pos, tok, 0 AS step FROM base
-  UNION ALL
-  SELECT w, pos, CASE WHEN take THEN best ELSE tok END AS tok, step + 1 AS step FROM (
-    SELECT *, lag(take, 1, false) OVER (PARTITION BY w ORDER BY pos) AS eaten FROM (
-      SELECT *, hit AND CASE WHEN risky THEN pos = min(CASE WHEN hit THEN pos END) OVER (PARTITION BY w)
-                             ELSE (n - coalesce(missed, 0)) % 2 = 1 END AS take
-      FROM (
-        SELECT *, max(CASE WHEN NOT hit THEN n END) OVER (PARTITION BY w ORDER BY pos) AS missed FROM (
-          SELECT q.*, coalesce(merged = best, false) AS hit, k.id IS NOT NULL AS risky FROM (
-            SELECT p.*, m.merged, min(m.merged) OVER (PARTITION BY p.w) AS best
-            FROM (SELECT *, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS next,
-                         row_number() OVER (PARTITION BY w ORDER BY pos) AS n FROM s WHERE step < {ROUNDS}) p
-            LEFT JOIN merges m ON m.a = p.tok AND m.b = p.next) q
-          LEFT JOIN risky k ON k.id = q.best
-          WHERE best IS NOT NULL))))
-  WHERE NOT eaten)
-SELECT w, pos, tok, step FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w, step)
+  WHERE before IS NULL OR before <> at_pos),
+done AS (SELECT w, pos, tok, step FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w, step))
 """
+#: Ids and decoded bytes of contracted pieces, in order.
 DECODE = """
 SELECT w, string_agg(tok::VARCHAR, ',' ORDER BY pos) AS ids, string_agg(v.hex, '' ORDER BY pos) AS hex
-FROM base JOIN vocabulary v ON v.id = tok GROUP BY w
+FROM {source} JOIN vocabulary v ON v.id = tok GROUP BY w
 """
 
 
@@ -100,16 +82,29 @@ class Coder:
         self.pieces_of = regex.compile(pattern).findall
         #: White space other than single spaces and line ends inside the text.
         self.irregular = re.compile(r"[^\S\n ]|\s\s|[\x1c-\x1f\x85]").search
+        self.size = {n: len(t) for t, n in self.ranks.items()}
         self.bytes_to_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.chunks: dict[str, tuple[str, bytes]] = {"": ("", b"")}
-        self.pieces: dict[str, tuple[str, bytes]] = {}
+        self.chunks: list[dict[str, tuple[str, bytes]]] = [{"": ("", b"")}, {}]
+        self.pieces: list[dict[bytes, tuple[str, bytes]]] = [{}, {}]
         splits = [(self.ranks[t[:i]], self.ranks[t[i:]], n) for t, n in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1; SET memory_limit = '300MB'; SET temp_directory = ''; SET preserve_insertion_order = true")
         self.db.register("splits", pa.table(dict(zip(("a", "b", "merged"), (pa.array(x, pa.int32()) for x in zip(*splits, strict=True)), strict=True))))
         self.db.register("tokens", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]}))
         self.db.execute("CREATE TABLE merges AS FROM splits; CREATE TABLE vocabulary AS FROM tokens")
-        self.db.execute("CREATE TABLE risky AS SELECT DISTINCT greatest(a, b) AS id FROM merges WHERE merged < greatest(a, b)")
+
+    # ------------------------------------------------------------------------------------------- contraction
+    def _base(self, pieces: list[bytes]) -> pa.Table:
+        """Rows of the pieces in order: their bytes, or the one token that a piece is."""
+        whole = [self.ranks.get(p, -1) for p in pieces]
+        lengths = np.array([1 if n >= 0 else len(p) for p, n in zip(pieces, whole, strict=True)], np.int64)
+        w = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths)
+        starts = np.cumsum(lengths) - lengths
+        pos = (np.arange(len(w)) - np.repeat(starts, lengths)).astype(np.int32)
+        tok = self.bytes_to_id[np.frombuffer(b"".join([p if n < 0 else b"\0" for p, n in zip(pieces, whole, strict=True)]), np.uint8)]
+        single = np.array(whole, np.int64) >= 0
+        tok[starts[single]] = np.array(whole, np.int32)[single]
+        return pa.table({"w": w, "pos": pos, "tok": tok})
 
     def _query(self, base: pa.Table, sql: str) -> pa.Table:
         self.db.register("base", base)
@@ -117,40 +112,107 @@ class Coder:
         self.db.unregister("base")
         return out
 
-    def _contract(self, pieces: list[str], long: bool) -> None:
-        """Encodes and decodes pieces that are not single tokens."""
-        raw = [p.encode() for p in pieces]
-        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
-        w = np.repeat(np.arange(len(raw), dtype=np.int32), lengths)
-        pos = (np.arange(len(w)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
-        base = pa.table({"w": w, "pos": pos, "tok": self.bytes_to_id[np.frombuffer(b"".join(raw), np.uint8)]})
-        if long:
-            steps = ROUNDS
-            while steps == ROUNDS:
-                base = self._query(base, ENCODE_LONG)
-                steps = pc.max(base["step"]).as_py()
-        out = self._query(base, DECODE if long else ENCODE)
+    def _short(self, pieces: list[bytes]) -> None:
+        """Encodes and decodes pieces of fewer than LONG bytes in one query."""
+        out = self._query(self._base(pieces), CONTRACT.format(positions=LONG, kind="INTEGER", rounds=LONG) + DECODE.format(source="done"))
+        known = self.pieces[0]
         for i, ids, text in zip(out["w"].to_pylist(), out["ids"].to_pylist(), out["hex"].to_pylist(), strict=True):
-            self.pieces[pieces[i]] = (ids, bytes.fromhex(text))
-
-    def _learn(self, chunks: list[str]) -> None:
-        split = [self.pieces_of(c) for c in chunks]
-        fresh = {p for s in split for p in s if p not in self.pieces}
-        if len(self.pieces) + len(fresh) > PIECES:
-            self.pieces = dict(islice(self.pieces.items(), PIECES // 4))  # the earliest are the commonest
-            fresh = {p for s in split for p in s if p not in self.pieces}
-        merged: dict[bool, list[str]] = {False: [], True: []}
-        for p in fresh:
-            raw = p.encode()
-            if (n := self.ranks.get(raw)) is None:
-                merged[len(raw) >= LONG].append(p)
+            known[pieces[i]] = (ids, bytes.fromhex(text))
+
+    def _tokens(self, raw: bytes) -> list[int]:
+        """The ids of one window."""
+        if len(raw) < LONG:
+            if raw not in self.pieces[0]:
+                self._short([raw])
+            return list(map(int, self.pieces[0][raw][0].split(",")))
+        positions = 1 << len(raw).bit_length()
+        rounds = max(1, QUERY_ROWS // len(raw))
+        base, step = self._base([raw]), rounds
+        sql = CONTRACT.format(positions=positions, kind="BIGINT", rounds=rounds) + "SELECT * FROM done ORDER BY pos"
+        while step == rounds:  # what rounds leave goes on in the next query
+            out = self._query(base, sql)
+            step = out["step"][0].as_py()
+            base = out.select(["w", "pos", "tok"])
+        return base["tok"].to_pylist()
+
+    def _joined(self, raw: bytes) -> list[int]:
+        """The ids of a long piece, joined from those of its windows."""
+        width = LONG - 1
+        ids = self._tokens(raw[:width])
+        ends = list(accumulate(self.size[t] for t in ids))
+        start = 0
+        while ends[-1] < len(raw):
+            start += STRIDE
+            new = self._tokens(raw[start : start + width])
+            new_ends = list(accumulate((self.size[t] for t in new), initial=start))
+            i = bisect_left(ends, start)  # tokens from i + 1 on begin at ends[i], in the overlap
+            held = {(ends[k], ids[k + 1]): k + 1 for k in range(i, len(ids) - 1)}
+            k, j = next(((held[key], j) for j, key in enumerate(zip(new_ends, new, strict=False)) if key in held), (0, -1))
+            back = STRIDE
+            while j < 0:  # a window from the start of an accepted token, further back each time
+                k = bisect_left(ends, ends[-1] - back) + 1 if back < ends[-1] else 0
+                at = ends[k - 1] if k else 0
+                new = self._tokens(raw[at : ends[-1] + STRIDE - 1])
+                new_ends = list(accumulate((self.size[t] for t in new), initial=at))
+                j = 0 if k == 0 or new[0] == ids[k] else -1
+                back *= 2
+            ids[k:], ends[k:] = new[j:], new_ends[j + 1 :]
+            start = max(start, (ends[-1] - width) // STRIDE * STRIDE)
+        return ids
+
+    def _contract(self, pieces: list[bytes]) -> None:
+        """Encodes and decodes pieces not met before, in queries of bounded size."""
+        long = [p for p in pieces if len(p) >= LONG and p not in self.ranks]
+        windows = {p[i : i + LONG - 1] for p in long for i in range(0, len(p), STRIDE)}
+        fresh = [p for p in pieces if len(p) < LONG or p in self.ranks]
+        todo, rows = [], 0
+        for p in [*fresh, *windows.difference(fresh, self.pieces[0])]:
+            cost = 1 if p in self.ranks else len(p) * len(p) // 2
+            if todo and rows + cost > QUERY_ROWS:
+                self._short(todo)
+                todo, rows = [], 0
+            todo.append(p)
+            rows += cost
+        if todo:
+            self._short(todo)
+        for p in long:
+            ids = pa.array(self._joined(p), pa.int32())
+            base = pa.table({"w": pa.array(np.zeros(len(ids), np.int32)), "pos": pa.array(np.arange(len(ids), dtype=np.int32)), "tok": ids})
+            out = self._query(base, DECODE.format(source="base"))
+            self.pieces[0][p] = (out["ids"][0].as_py(), bytes.fromhex(out["hex"][0].as_py()))
+
+    def _turn(self) -> None:
+        """Forgets long entries and starts a new generation of a cache that is full."""
+        for caches, most in ((self.chunks, CHUNKS), (self.pieces, PIECES)):
+            for long in [x for x in caches[0] if len(x) > CACHED_CHARS]:
+                del caches[0][long]
+            if len(caches[0]) > most:
+                caches[:] = [{}, caches[0]]
+
+    def _recall(self, chunks: set[str]) -> dict[str, tuple[str, bytes]]:
+        """Ids joined by commas and decoded bytes of chunks."""
+        self._turn()
+        young, old = self.chunks
+        split = {}
+        for c in chunks - young.keys():
+            if (known := old.get(c)) is None:
+                split[c] = [p.encode() for p in self.pieces_of(c)]
+            else:
+                young[c] = known
+        have, had = self.pieces
+        fresh = []
+        for p in set().union(*split.values()) - have.keys():
+            if (known := had.get(p)) is None:
+                fresh.append(p)
+            else:
+                have[p] = known
+        self._contract(fresh)
+        for c, pieces in split.items():
+            if len(pieces) == 1:
+                young[c] = have[pieces[0]]
             else:
-                self.pieces[p] = (str(n), raw)
-        for long, todo in merged.items():
-            for i in range(0, len(todo), 1 if long else QUERY_PIECES):
-                self._contract(todo[i : i + (1 if long else QUERY_PIECES)], long)
-        for c, s in zip(chunks, split, strict=True):
-            self.chunks[c] = (",".join([self.pieces[p][0] for p in s]), b"".join([self.pieces[p][1] for p in s]))
+                young[c] = (",".join([have[p][0] for p in pieces]), b"".join([have[p][1] for p in pieces]))
+        return young
 
     def cut(self, text: str) -> list[str]:
         """Chunks that join to the text and split into pieces independently of each other."""
@@ -162,16 +224,10 @@ class Coder:
     def code(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
         """(number of ids, ids joined by commas, decoded bytes) of each text."""
         cuts = [self.cut(t) for t in texts]
-        wanted = set().union(*cuts)
-        fresh = [c for c in wanted if c not in self.chunks]
-        if len(self.chunks) + len(fresh) > CHUNKS:
-            self.chunks = dict(islice(self.chunks.items(), CHUNKS // 4))
-            fresh = [c for c in wanted if c not in self.chunks]
-        for i in range(0, len(fresh), QUERY_PIECES):
-            self._learn(fresh[i : i + QUERY_PIECES])
+        known = self._recall(set().union(*cuts))
         out = []
         for cut in cuts:
-            found = [self.chunks[c] for c in cut if c]
+            found = [known[c] for c in cut if c]
             ids = ",".join([x[0] for x in found])
             out.append((ids.count(",") + 1 if ids else 0, ids, b"".join([x[1] for x in found])))
         return out
@@ -192,11 +248,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str
         coder = Coder(ranks_path, pattern)
         for batch in batches:
             start = 0
-            while start < batch.num_rows:
-                texts, size = [], 0
-                while start + len(texts) < batch.num_rows and (not texts or size < GROUP_CHARS):
-                    texts.append(batch.column(1)[start + len(texts)].as_py() or "")
-                    size += len(texts[-1])
+            for texts in text_groups(batch.column(1), GROUP_CHARS):
                 coded = coder.code(texts)
                 columns = [
                     batch.column(0).slice(start, len(texts)),
