@@ -117,29 +117,72 @@ def test_moderate_symbol_shares(spark):
 
 
 # ------------------------------------------------------------------------------------------------- fixity
+def plain_tree(records):
+    """Levels of one file's tree, root last, from (length, digest) in order."""
+    level = [(n, d) for n, d in records]
+    for depth in range(fixity.LEVELS + 1):
+        groups, up = {}, 0
+        for n, d in level:
+            groups.setdefault(up, []).append((n, d))
+            up += depth < fixity.LEVELS and d.endswith("0")
+        level = [(sum(n for n, _ in g), hashlib.sha256(",".join(f"{n}:{d}" for n, d in g).encode()).hexdigest()) for g in groups.values()]
+    return level[0][1]
+
+
 def test_merkle_audit(spark):
-    pages = [(i if i % 9 else None, f"http://h/{i}", f"<p>{i * 7}</p>" * (i % 5)) for i in range(300)] + [(1, None, None), (1, None, None)]
-    df = spark.createDataFrame(pages, "page_id bigint, url string, html string").select(
-        "page_id", fixity.warc_record(F.col("url"), F.col("html")).alias("record"), F.monotonically_increasing_id().alias("key"))
-    df = df.select("page_id", "key", F.octet_length("record").cast("long").alias("length"), F.sha2(F.col("record").cast("binary"), 256).alias("digest"))
-    laid = fixity.archive(df, per_file=40).cache()
-    bad = F.pmod(F.xxhash64("key"), F.lit(50))
-    damaged = laid.withColumn("replica_digest", F.when(bad == 1, F.lit("x")).when(bad != 2, F.col("digest"))).cache()
-    got = fixity.audit(damaged, per_file=40, fanout=4).collect()
-    assert len(got) == len(pages)
-    for r in got:
-        assert r["status"] == ("missing" if r["replica_digest"] is None else "intact" if r["replica_digest"] == r["digest"] else "altered")
+    """Two replicas with their own layouts against comparing them record by record; roots against plain code."""
+    pages = [(i if i % 9 else None, f"http://h/{i}", f"<p>{i * 7}</p>" * (i % 5), "x", 1) for i in range(400)] + [(1, None, None, "x", 1)] * 3
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string, file string, offset int")
+    rows = df.select("page_id", F.concat_ws(" ", F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.coalesce("url", F.lit(""))).alias("identity"), F.monotonically_increasing_id().alias("key"), fixity.warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
+    archive = fixity.files_of(rows, per_file=60).drop("key").cache()
+    assert sorted(r[0] for r in archive.groupBy("file").count().select("count").collect()) == [43] + [60] * 6
+    kind = F.pmod(F.xxhash64("identity"), F.lit(30))
+    original, replica = fixity.hashed(archive).cache(), fixity.hashed(fixity.damaged(archive, kind)).cache()
+    got = fixity.audit(original, replica).collect()
     files = {}
-    for r in got:
-        files.setdefault(r["file"], []).append(r)
-    for f in files.values():
-        f.sort(key=lambda r: r["record_no"])
+    for side, table in enumerate((original, replica)):
+        for r in table.orderBy("file", "record_no").collect():
+            files.setdefault(r["file"], ([], []))[side].append(r)
+    want = []
+    for name, (left, right) in files.items():
+        roots = [plain_tree([(r["length"], r["digest"]) for r in x]) for x in (left, right)]
+        spare = [r["digest"] for r in right]
+        lost = []
+        for r in left:
+            (spare.remove(r["digest"]) if r["digest"] in spare else lost.append(r["record_no"]))
+        ids = [r["identity"] for r in right if r["digest"] in spare]
+        for r in left:
+            status = "intact" if r["record_no"] not in lost else "altered" if r["identity"] in ids else "missing"
+            want.append((name, r["record_no"], r["page_id"], r["digest"], status, *roots))
+        known = {r["identity"] for r in left if r["record_no"] in lost}
+        want += [(name, None, r["page_id"], None, "extra", *roots) for r in right if r["digest"] in spare and r["identity"] not in known]
+    assert bag((r["file"], r["record_no"], r["page_id"], r["digest"], r["status"], r["root"], r["replica_root"]) for r in got) == bag(want)
+    assert {r["status"] for r in got} == {"intact", "altered", "missing", "extra"}
+    for name, (left, _) in files.items():
         at = 0
-        for i, r in enumerate(f):
-            assert (r["record_no"], r["offset"]) == (i, at)
+        for r in sorted((x for x in got if x["file"] == name and x["record_no"] is not None), key=lambda x: x["record_no"]):
+            assert r["offset"] == at
             at += r["length"]
-        assert (f[0]["root"] == f[0]["replica_root"]) == all(r["status"] == "intact" for r in f)
-    assert fixity.audit(fixity.archive(df.limit(0)).withColumn("replica_digest", F.col("digest"))).count() == 0
+    assert fixity.audit(original.limit(0), original.limit(0)).count() == 0
+    assert all(r["status"] == "missing" and r["replica_root"] is None for r in fixity.audit(original, original.limit(0)).collect())
+
+
+def test_merkle_audit_matches_its_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    pages = [(i, f"http://h/{i}" if i % 7 else None, f"<p>{i * 7}</p>" * (i % 5) if i % 11 else None) for i in range(2500)]
+    con.execute("CREATE TABLE pages(page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", pages)
+    import tempfile
+
+    folder = tempfile.mkdtemp(prefix="spark-")
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    got = fixity.op2_merkle_fixity(spark, folder)
+    want = con.sql(fixity.OP2_SQL)
+    order = sorted(got.columns)
+    assert bag(map(tuple, got.select(order).collect())) == bag(tuple(r[want.columns.index(c)] for c in order) for r in want.fetchall())
+    assert got.select("status").distinct().count() == 4
 
 
 # ------------------------------------------------------------------------------------------------- winnow
@@ -194,16 +237,33 @@ def test_sharding(docs, rows, empty):
     mean = sum(r["size"] for r in got) / 5
     for group in by.values():
         assert sorted(r["slot"] for r in group) == list(range(len(group)))
-        assert abs(sum(r["size"] for r in group) - mean) <= largest
+        assert abs(sum(r["size"] for r in group) - mean) <= largest + shards.TOLERANCE * mean
     assert shards.shard_by_splitters(shards.keyed_records(empty), 5).count() == 0
 
 
 def test_one_text_spreads(spark):
     df = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("t"), F.col("id").cast("string"))).otherwise(F.lit("the same text")).alias("text"))
     keyed = shards.keyed_records(df).cache()
-    bounds = shards.split_ranges(keyed, 40)
-    most = keyed.groupBy(shards._range_of("key", bounds)).agg(F.sum("size")).agg(F.max("sum(size)")).first()[0]
-    assert most <= shards.OVERFULL * keyed.agg(F.sum("size")).first()[0] / 40 + 30
+    bounds = shards.splitters(keyed, 10)
+    sizes = [r[0] for r in keyed.groupBy(shards.range_of("key", bounds)).agg(F.sum("size").alias("b")).select("b").collect()]
+    assert len(sizes) == 10 and max(sizes) - min(sizes) <= 2 * (shards.TOLERANCE * sum(sizes) / 10 + 21)
+
+
+def test_splitters_against_plain_quantiles(spark):
+    """Few keys, one key with most of the weight, and one key only."""
+    for data in ([(k % 5, 10) for k in range(100)], [(7, 1000)] * 50 + [(k, 1) for k in range(20)], [(3, 5)] * 9, []):
+        rows = spark.createDataFrame(data, "key bigint, size bigint").cache()
+        bounds = shards.splitters(rows, 4)
+        keys = sorted({k for k, _ in data})
+        total = sum(s for _, s in data)
+        below = lambda b: sum(s for k, s in data if k < b)
+        for i, b in enumerate(bounds):
+            assert abs(below(b) - (i + 1) * total / 4) == min(abs(below(k) - (i + 1) * total / 4) for k in [*keys, keys[-1] + 1])
+        if data:
+            got = shards.shard_by_splitters(rows, 4).collect()
+            assert len(got) == len(data)
+            for s in {r["shard"] for r in got}:
+                assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
 
 
 # ------------------------------------------------------------------------------------------------ simhash

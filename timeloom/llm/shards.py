@@ -2,40 +2,53 @@
 
 Records are ordered by one long key: the leading 40 bits hash the text, so copies lie together, and the
 other 24 hash the doc_id and the record's place, so that one text held by a third of all rows still spreads.
-A sample of keys, each drawn with a chance proportional to its size, gives quantile boundaries of fine ranges.
-Bytes and rows of every range are then counted exactly; ranges above twice the mean are subdivided by a
-sample drawn from them alone, until none is overfull. Running sums, within ranges and across them, give each
-record's place in the whole order, and the shard whose span of bytes holds its middle. So sizes differ by no
-more than about one record from shard to shard (law ``bytes``), and no task holds more than a range.
+A sample of keys, each drawn with a chance proportional to its size, gives the quantile boundaries of ranges;
+bytes and rows of every range are then counted exactly. A range that is too full for the boundary of a shard
+that lies in it is subdivided by a sample drawn from it alone, until it holds less than TOLERANCE of a shard or
+one key. The boundaries nearest to the equal shares split the shards, and a record's shard is the range that
+holds its key. So sizes differ by about TOLERANCE or one record from shard to shard (law ``bytes``).
+
+A shard is a range of keys, so a group of equal texts that holds a boundary lies in two neighbouring shards;
+that is meant, as a group may be larger than a shard. Places inside a shard are counted in partitions of the
+key's order, as many as the rows ask for; one row per partition is summed for the places before it.
 
 Defined results: a null text has 8 bytes, and the checksum of the empty text; null and repeated ids are
-records like others; an empty table gives an empty result. Other columns are ignored.
+records like others; an empty table gives an empty result. Other columns are ignored. Ranges that can't be
+brought below the tolerance in ROUNDS rounds raise an error.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import durable, table
 
-#: Fine ranges per shard, sampled keys per range (expected), and the multiple of the mean that is overfull.
-RANGES, SAMPLES, OVERFULL = 8, 40, 2.0
+#: Ranges per shard at first and of a subdivision, sampled keys per range (expected), the share of a shard that a
+#: range with a boundary may hold, and rounds of subdivision.
+RANGES, SUBRANGES, SAMPLES, TOLERANCE, ROUNDS = 8, 16, 40, 0.002, 40
+#: Rows that a partition of the ordered table holds about.
+PARTITION_ROWS = 50_000
 
 
-def _sample(rows: DataFrame, wanted: int, size: str, key: str) -> list[int]:
-    """Sorted keys, each drawn with a chance of wanted * size / total: about ``wanted`` of them."""
-    total = rows.agg(F.sum(size)).first()[0] or 1
+def _sample(rows: DataFrame, size: str, key: str, part: Column, wanted: dict[int, float]) -> dict[int, list[int]]:
+    """Sorted keys by ``part``, each drawn with a chance of wanted[part] * size: the expected number per part is
+    given by the caller, so what comes to the driver is bounded."""
+    chance = F.element_at(F.create_map(*[F.lit(x).cast(t) for p, w in wanted.items() for x, t in ((p, "int"), (w, "double"))]), F.col("_part"))
     draw = F.pmod(F.xxhash64(F.lit(77), key), F.lit(1 << 30)) / float(1 << 30)
-    return sorted(r[0] for r in rows.filter(draw < F.col(size) * (wanted / total)).select(key).collect())
+    drawn = rows.withColumn("_part", part.cast("int")).filter(F.col("_part").isNotNull()).filter(draw < F.col(size) * chance).select("_part", key).collect()
+    out: dict[int, list[int]] = {}
+    for p, k in drawn:
+        out.setdefault(p, []).append(k)
+    return {p: sorted(ks) for p, ks in out.items()}
 
 
-def _splitters(keys: list[int], ranges: int) -> list[int]:
-    return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
+def _quantiles(keys: list[int], ranges: int) -> set[int]:
+    return {keys[len(keys) * i // ranges] for i in range(1, ranges)} if keys else set()
 
 
-def _range_of(key: str, bounds: list[int]):
+def range_of(key: str, bounds: list[int]) -> Column:
     """Number of boundaries at or below the key, as nested comparisons (a binary search)."""
 
     def search(low: int, high: int):
@@ -47,55 +60,76 @@ def _range_of(key: str, bounds: list[int]):
     return search(0, len(bounds))
 
 
-def split_ranges(rows: DataFrame, ranges: int, size: str = "size", key: str = "key", samples: int = SAMPLES) -> list[int]:
-    """Boundaries of about ``ranges`` ranges of even size; no range with two keys stays overfull."""
-    bounds = _splitters(_sample(rows, ranges * samples, size, key), ranges)
-    for _ in range(20):
-        counted = rows.groupBy(_range_of(key, bounds).alias("r")).agg(F.sum(size).alias("b"), F.min(key).alias("lo"), F.max(key).alias("hi")).collect()
-        mean = sum(x["b"] for x in counted) / max(ranges, 1)
-        full = [x for x in counted if x["b"] > OVERFULL * mean and x["lo"] < x["hi"]]
-        added = set()
-        for x in full:
-            inside = rows.filter(F.col(key).between(x["lo"], x["hi"]))
-            added.update(_splitters(_sample(inside, 4 * samples, size, key), 4))
-            added.add(x["hi"])  # progress where the sample holds one key only
-        if not added - set(bounds):
-            return bounds
-        bounds = sorted(added | set(bounds))
-    return bounds
-
-
-def placed_in_order(rows: DataFrame, ranges: int, size: str = "size", key: str = "key") -> tuple[DataFrame, int]:
-    """Adds ``place`` (rows before) and ``offset`` (sizes before) in the order of the key; and the total size.
-
-    Equal keys are ordered within their range. Running sums stay within ranges; the sums before each range, a
-    row per range, come from exact counts.
+def _within(key: str, spans: list[tuple[int, int]]) -> Column:
+    """The number of the closed span that holds the key (spans in order), else null."""
+    at = range_of(key, [low for low, _ in spans]) - 1
+    high = F.element_at(F.array(*[F.lit(h).cast("long") for _, h in spans]), F.greatest(at + 1, F.lit(1)))
+    return F.when((at >= 0) & (F.col(key) <= high), at)
+
+
+def _counted(rows: DataFrame, part: Column, size: str, key: str) -> dict[int, tuple[int, int, int]]:
+    found = rows.withColumn("_part", part).filter(F.col("_part").isNotNull()).groupBy("_part").agg(F.sum(size), F.min(key), F.max(key)).collect()  # a row per range
+    return {r[0]: (r[1], r[2], r[3]) for r in found}
+
+
+def splitters(rows: DataFrame, n_shards: int, size: str = "size", key: str = "key", tolerance: float = TOLERANCE) -> list[int]:
+    """Boundary keys of shards with near equal sums of ``size``; shard k starts at the k-th of them."""
+    total = rows.agg(F.sum(size)).first()[0] or 0
+    if not total or n_shards < 2:
+        return []
+    mean = total / n_shards
+    first = _sample(rows, size, key, F.lit(0), {0: n_shards * RANGES * SAMPLES / total}).get(0, [])
+    bounds = sorted(_quantiles(first, n_shards * RANGES))
+    # ranges in order of keys: sum, least and largest key
+    ranges = [v for _, v in sorted(_counted(rows, range_of(key, bounds), size, key).items())]
+    for _ in range(ROUNDS):
+        starts, full = [0], []
+        for b, _, _ in ranges:
+            starts.append(starts[-1] + b)
+        for i, (b, low, high) in enumerate(ranges):
+            holds = int(starts[i] // mean) != int((starts[i + 1] - 1) // mean)
+            if holds and b > tolerance * mean and low < high:
+                full.append(i)
+        if not full:
+            targets = [k * mean for k in range(1, n_shards)]
+            ends = [(abs(starts[i] - t), i) for t in targets for i in [min(range(len(starts)), key=lambda i: abs(starts[i] - t))]]
+            return [ranges[i][1] if i < len(ranges) else ranges[-1][2] + 1 for _, i in ends]
+        spans = [ranges[i][1:] for i in full]
+        drawn = _sample(rows, size, key, _within(key, spans), {n: SUBRANGES * SAMPLES / ranges[i][0] for n, i in enumerate(full)})
+        inner: list[int] = []
+        for n, (low, high) in enumerate(spans):
+            cuts = {c for c in _quantiles(drawn.get(n, []), SUBRANGES) if low < c <= high}
+            inner += sorted({low, *cuts, high})  # the last key alone: progress where the sample holds one key only
+        parts = [v for _, v in sorted(_counted(rows, F.when(_within(key, spans).isNotNull(), range_of(key, inner)), size, key).items())]
+        ranges = sorted([r for i, r in enumerate(ranges) if i not in set(full)] + parts, key=lambda r: r[1])
+    raise RuntimeError("ranges stay overfull")
+
+
+def numbered(rows: DataFrame, size: str = "size", key: str = "key", groups: list[str] | None = None) -> DataFrame:
+    """Adds ``place`` (rows before) and ``offset`` (sizes before) in the order of the groups and the key.
+
+    Partitions hold ranges of the order; running sums stay inside a partition, and the sums before each, a row
+    per partition, are joined to it.
     """
-    ranged = rows.withColumn("_range", _range_of(key, split_ranges(rows, ranges, size, key)))
-    before, place, starts = 0, 0, []
-    for r, b, n in sorted(map(tuple, ranged.groupBy("_range").agg(F.sum(size), F.count("*")).collect())):  # a row per range
-        starts += [F.lit(r), F.struct(F.lit(before).cast("long").alias("b"), F.lit(place).cast("long").alias("n"))]
-        before, place = before + b, place + n
-    if not starts:
-        return rows.withColumns({"place": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}), 0
-    w = Window.partitionBy("_range").orderBy(key)
-    out = ranged.withColumns({"_base": F.element_at(F.create_map(*starts), F.col("_range"))}).withColumns({
-        "place": F.row_number().over(w) - 1 + F.col("_base.n"),
-        "offset": F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col(size) + F.col("_base.b"),
-    })
-    return out.drop("_range", "_base"), before
+    order = [*(groups or []), key]
+    n = rows.count()
+    dealt = durable(rows.repartitionByRange(max(1, -(-n // PARTITION_ROWS)), *order).withColumn("_pid", F.spark_partition_id()))
+    within = Window.partitionBy("_pid").orderBy(*order)
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # over a row per partition
+    sums = dealt.groupBy("_pid").agg(F.count("*").alias("_n"), F.sum(size).alias("_b"))
+    bases = sums.select("_pid", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in ("_n", "_b")])
+    return dealt.join(F.broadcast(bases), "_pid").withColumns({
+        "place": F.row_number().over(within) - 1 + F.col("_n0"),
+        "offset": F.sum(size).over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col(size) + F.col("_b0"),
+    }).drop("_pid", "_n0", "_b0")
 
 
 def shard_by_splitters(rows: DataFrame, n_shards: int, size: str = "size", key: str = "key") -> DataFrame:
     """Adds ``shard`` and gapless ``slot``; contiguous ranges of the key with near equal sums of ``size``."""
-    placed, total = placed_in_order(rows, n_shards * RANGES, size, key)
-    middle = F.col("offset") + F.col(size) / 2
-    placed = durable(placed.withColumn("shard", F.least(F.floor(middle * n_shards / max(total, 1)), F.lit(n_shards - 1)).cast("int")))
-    firsts = {r[0]: r[1] for r in placed.groupBy("shard").agg(F.min("place")).collect()}  # a row per shard
-    if not firsts:
-        return placed.withColumnRenamed("place", "slot").drop("offset")
-    first = F.element_at(F.create_map(*[F.lit(x).cast(t) for s, p in firsts.items() for x, t in ((s, "int"), (p, "long"))]), F.col("shard"))
-    return placed.withColumn("slot", F.col("place") - first).drop("place", "offset")
+    split = rows.withColumn("shard", range_of(key, splitters(rows, n_shards, size, key)).cast("int"))
+    placed = durable(numbered(split, size, key))
+    first = placed.groupBy("shard").agg(F.min("place").alias("_first"))  # a row per shard
+    return placed.join(F.broadcast(first), "shard").withColumn("slot", (F.col("place") - F.col("_first")).cast("long")).drop("place", "offset", "_first")
 
 
 def keyed_records(docs: DataFrame) -> DataFrame:
