@@ -39,7 +39,7 @@ from .common import table, text_groups
 
 #: Chunks and pieces that a worker remembers in the younger of two generations, and the length from which they
 #: are forgotten after use.
-CHUNKS, PIECES, CACHED_CHARS = 150_000, 150_000, 200
+CHUNKS, PIECES, CACHED_CHARS = 300_000, 300_000, 200
 #: Texts encoded together, and rows that one recursive query may keep (a piece keeps about half its length squared).
 GROUP_CHARS, QUERY_ROWS = 4_000_000, 3_000_000
 #: Pieces from LONG bytes on are contracted in windows of LONG - 1 bytes, STRIDE bytes apart.
@@ -80,8 +80,8 @@ class Coder:
         with open(ranks_path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pieces_of = regex.compile(pattern).findall
-        #: White space other than single spaces and line ends inside the text.
-        self.irregular = re.compile(r"[^\S\n ]|\s\s|[\x1c-\x1f\x85]").search
+        #: White space other than spaces and line ends.
+        self.other_space = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
         self.size = {n: len(t) for t, n in self.ranks.items()}
         self.bytes_to_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         self.chunks: list[dict[str, tuple[str, bytes]]] = [{"": ("", b"")}, {}]
@@ -216,10 +216,16 @@ class Coder:
 
     def cut(self, text: str) -> list[str]:
         """Chunks that join to the text and split into pieces independently of each other."""
-        if self.irregular(text):
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or self.other_space(text):
             return [text]
-        first, *rest = text.replace("\n", " \n \r").split(" ")
-        return [first, *[x[1:] if x[:1] == "\r" else x if x == "\n" else " " + x for x in rest]]
+        out: list[str] = []
+        for i, line in enumerate(text.split("\n")):
+            first, *rest = line.split(" ")
+            if i:
+                out.append("\n")
+            out.append(first)
+            out += map(" ".__add__, rest)
+        return out
 
     def code(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
         """(number of ids, ids joined by commas, decoded bytes) of each text."""
@@ -228,8 +234,9 @@ class Coder:
         out = []
         for cut in cuts:
             found = [known[c] for c in cut if c]
-            ids = ",".join([x[0] for x in found])
-            out.append((ids.count(",") + 1 if ids else 0, ids, b"".join([x[1] for x in found])))
+            ids, raw = zip(*found, strict=True) if found else ((), ())
+            joined = ",".join(ids)
+            out.append((joined.count(",") + 1 if joined else 0, joined, b"".join(raw)))
         return out
 
 

@@ -9,7 +9,7 @@ leading tokens are SIMILAR of all tokens or more; else, and for short lines, the
 An online tree fits each line to the templates met so far, so it depends on their order and on one process.
 This form counts instead and gives the same answer in any order: leaves and exact lines are counted by
 64-bit hashes; only lines in leaves that different lines of different documents share are looked at token by
-token; constants are counted per place, and the template's hash is combined from its constants, so no leaf,
+token, one of each; constants are counted per place, and the template's hash is combined from its constants, so no leaf,
 place or template is ever gathered.
 
 A template, exact or generalised, recurs when it is found in two or more documents. Its lines stay in the
@@ -24,7 +24,7 @@ gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable, row_identity, small_join, space_words, table
@@ -34,38 +34,52 @@ from .common import durable, row_identity, small_join, space_words, table
 MIN_TOKENS, MIN_CHARS, GENERAL, DEPTH, SIMILAR = 5, 15, 8, 3, 0.6
 
 
+def _tokens(line: Column) -> Column:
+    """The words of a line, those with a digit marked as variable fields."""
+    masked = F.regexp_replace(line, r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>")
+    return space_words(F.when(line.rlike("[0-9]"), masked).otherwise(line))
+
+
 def parsed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, min_chars: int = MIN_CHARS, general: int = GENERAL, depth: int = DEPTH) -> DataFrame:
-    """(row_a, row_b, did, line_no, t, exact, leaf): did is the document's order, t the tokens with variable
-    fields marked; leaf is null for lines that aren't generalised."""
+    """(row_a, row_b, did, line_no, exact, leaf): did is the document's order; leaf is null for lines that aren't
+    generalised."""
     lines = docs.select(
         *row_identity("doc_id", "text"), F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("did"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")
     )
-    masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "<*>")).otherwise(F.col("line"))
     t, n = F.col("t"), F.size("t")
-    parsed = lines.select("row_a", "row_b", "did", "line_no", F.length("line").alias("chars"), space_words(masked).alias("t"))
+    parsed = lines.select("row_a", "row_b", "did", "line_no", F.length("line").alias("chars"), _tokens(F.col("line")).alias("t"))
     parsed = parsed.filter((n > 0) & ((n >= min_tokens) | (F.col("chars") >= min_chars)))
     leaf = F.when(n >= general, F.xxhash64(n, F.slice(t, 1, depth)))
-    return parsed.select("row_a", "row_b", "did", "line_no", "t", F.xxhash64(t).alias("exact"), leaf.alias("leaf"))
+    return parsed.select("row_a", "row_b", "did", "line_no", F.xxhash64(t).alias("exact"), leaf.alias("leaf"))
 
 
-def generalised(parsed: DataFrame, lines: DataFrame, depth: int = DEPTH, similar: float = SIMILAR) -> DataFrame:
+def generalised(docs: DataFrame, lines: DataFrame, depth: int = DEPTH, similar: float = SIMILAR) -> DataFrame:
     """(exact, lo, hi, template) of the lines that have a generalised template; lo and hi are the first and the
-    last document of the exact line."""
-    leaves = lines.filter("leaf IS NOT NULL").groupBy("leaf").agg(*[f(c).alias(a) for f, c, a in ((F.min, "did", "lo"), (F.max, "did", "hi"), (F.min, "exact", "least"), (F.max, "exact", "most"))])
-    leaves = durable(leaves.filter("lo < hi AND least < most").select("leaf"))
-    shared = small_join(parsed, leaves, "leaf").groupBy("leaf", "exact").agg(F.min("did").alias("lo"), F.max("did").alias("hi"), F.first("t").alias("t"))
-    places = F.posexplode(F.slice("t", depth + 1, F.greatest(F.size("t") - depth, F.lit(0)))).alias("place", "token")
-    tokens = durable(shared.select("leaf", "exact", "lo", "hi", F.size("t").alias("n"), places).withColumn("key", F.xxhash64("leaf", "place", "token")).drop("place", "token"))
+    last document of the exact line.
+
+    Of equal lines one is read again, in a document that holds it.
+    """
+    place = F.struct("row_a", "row_b", "line_no")
+    different = lines.filter("leaf IS NOT NULL").groupBy("leaf", "exact").agg(F.min("did").alias("lo"), F.max("did").alias("hi"), F.min(place).alias("at"))
+    different = durable(different)
+    leaves = different.groupBy("leaf").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("n")).filter("lo < hi AND n > 1").select("leaf")
+    wanted = different.join(leaves, "leaf").select("at.*", F.struct("at.line_no", "exact", "leaf", "lo", "hi").alias("l"))
+    wanted = durable(wanted.groupBy("row_a", "row_b").agg(F.collect_list("l").alias("ls")))  # lines of one document
+    named = docs.select(*row_identity("doc_id", "text"), "text")
+    read = small_join(named, wanted, ["row_a", "row_b"]).select(F.split("text", "\n").alias("_all"), F.explode("ls").alias("l"))
+    shared = durable(read.select("l.exact", "l.leaf", "l.lo", "l.hi", _tokens(F.get("_all", F.col("l.line_no"))).alias("t")).dropDuplicates(["exact"]))
+    tail = F.posexplode(F.slice("t", depth + 1, F.greatest(F.size("t") - depth, F.lit(0)))).alias("place", "token")
+    tokens = shared.select("exact", "leaf", "lo", "hi", tail).select("exact", "lo", "hi", F.xxhash64("leaf", "place", "token").alias("key"))
     constants = tokens.groupBy("key").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).filter("first < last").select("key")
-    held = tokens.join(constants, "key").groupBy("exact", "leaf", "lo", "hi", "n").agg(F.count("*").alias("k"), F.bit_xor("key").alias("x"), F.bit_xor(F.xxhash64("key")).alias("y"))
-    return held.filter(F.col("k") + depth >= similar * F.col("n")).select("exact", "lo", "hi", F.xxhash64("leaf", "k", "x", "y").alias("template"))
+    held = tokens.select("exact", "key").join(constants, "key").groupBy("exact").agg(F.count("*").alias("k"), F.bit_xor("key").alias("x"), F.bit_xor(F.xxhash64("key")).alias("y"))
+    found = shared.select("exact", "leaf", "lo", "hi", F.size("t").alias("n")).join(held, "exact")
+    return found.filter(F.col("k") + depth >= similar * F.col("n")).select("exact", "lo", "hi", F.xxhash64("leaf", "k", "x", "y").alias("template"))
 
 
 def drop_recurring_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, min_chars: int = MIN_CHARS, general: int = GENERAL, depth: int = DEPTH, similar: float = SIMILAR, report: bool = False) -> DataFrame:
     """The documents with lines of recurring templates removed; ``report`` adds n_lines and n_dropped."""
-    parsed = parsed_lines(docs, min_tokens, min_chars, general, depth)
-    lines = durable(parsed.drop("t"))
-    member = durable(generalised(parsed, lines, depth, similar))
+    lines = durable(parsed_lines(docs, min_tokens, min_chars, general, depth))
+    member = durable(generalised(docs, lines, depth, similar))
     wide = member.groupBy("template").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).filter("first < last")
     by_template = member.join(wide, "template").select("exact", F.col("first").alias("lo"), F.col("last").alias("hi"))
     by_exact = lines.groupBy("exact").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).filter("lo < hi")
