@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import alignment, registry, rows, texts, timeline  # noqa: F401  the modules register their queries
+from . import alignment, edits, registry, rows, texts, timeline  # noqa: F401  the modules register their queries
 
 
 def queries() -> dict[str, Callable]:
