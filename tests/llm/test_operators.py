@@ -134,10 +134,11 @@ def test_merkle_audit(spark):
     pages = [(i if i % 9 else None, f"http://h/{i}", f"<p>{i * 7}</p>" * (i % 5), "x", 1) for i in range(400)] + [(1, None, None, "x", 1)] * 3
     df = spark.createDataFrame(pages, "page_id bigint, url string, html string, file string, offset int")
     rows = df.select("page_id", F.concat_ws(" ", F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.coalesce("url", F.lit(""))).alias("identity"), F.monotonically_increasing_id().alias("key"), fixity.warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
-    archive = fixity.files_of(rows, per_file=60).drop("key").cache()
-    assert sorted(r[0] for r in archive.groupBy("file").count().select("count").collect()) == [43] + [60] * 6
     kind = F.pmod(F.xxhash64("identity"), F.lit(30))
-    original, replica = fixity.hashed(archive).cache(), fixity.hashed(fixity.damaged(archive, kind)).cache()
+    digests = rows.select("page_id", "key", fixity.hashed(F.array(F.struct("record", "identity")))[0].alias("own"), fixity.hashed(fixity.damaged(kind)).alias("copies"))
+    archive = fixity.files_of(digests.select("page_id", "key", "own.*", "copies"), per_file=60).drop("key").cache()
+    assert sorted(r[0] for r in archive.groupBy("file").count().select("count").collect()) == [43] + [60] * 6
+    original, replica = archive.drop("copies"), fixity.replica_of(archive, "copies").cache()
     got = fixity.audit(original, replica).collect()
     files = {}
     for side, table in enumerate((original, replica)):

@@ -109,37 +109,44 @@ def audit(original: DataFrame, replica: DataFrame, levels: int = LEVELS) -> Data
     return rows.select(*columns).unionByName(extra.select(*columns)).join(roots, "file", "left").select(*columns, "root", "replica_root")
 
 
-def damaged(records: DataFrame, damage: Column) -> DataFrame:
-    """A replica of rows with file, record_no and record: where damage is 0 the payload's end is overwritten,
-    where 1 it is cut, where 2 the record is lost, where 3 another record follows it."""
+def damaged(damage: Column) -> Column:
+    """What a replica holds of a row with record and identity, as an array of both: where damage is 0 the payload's
+    end is overwritten, where 1 it is cut, where 2 the record is lost, where 3 another record follows it."""
+    held = lambda record, identity=F.col("identity"): F.struct(record.alias("record"), identity.alias("identity"))
     end = F.lit("\r\n\r\n")
     body = F.expr("substring(record, 1, length(record) - 5)")
     changed = F.when(damage == 0, F.concat(body, F.lit("\x00"), end)).when(damage == 1, F.concat(body, end)).otherwise(F.col("record"))
-    extra = F.concat(F.col("record"), F.lit("again"))
-    copies = F.when(damage == 2, F.array().cast("array<string>")).when(damage == 3, F.array(F.col("record"), extra)).otherwise(F.array(changed))
-    out = records.select("page_id", "file", "record_no", "identity", F.posexplode(copies).alias("copy", "record"))
-    identity = F.when(F.col("copy") == 0, F.col("identity")).otherwise(F.concat(F.col("identity"), F.lit(" again")))
-    return out.withColumns({"record_no": F.col("record_no") * 2 + F.col("copy"), "identity": identity}).drop("copy")
+    extra = held(F.concat(F.col("record"), F.lit("again")), F.concat(F.col("identity"), F.lit(" again")))
+    return F.when(damage == 2, F.array().cast("array<struct<record:string,identity:string>>")).when(damage == 3, F.array(held(F.col("record")), extra)).otherwise(F.array(held(changed)))
 
 
-def hashed(records: DataFrame) -> DataFrame:
-    """Length and digest in place of the record."""
-    return records.withColumns({"length": F.octet_length("record").cast("long"), "digest": F.sha2(F.col("record").cast("binary"), 256)}).drop("record")
+def hashed(copies: Column) -> Column:
+    """Length and digest in place of each record."""
+    return F.transform(copies, lambda c: F.struct(c["identity"].alias("identity"), F.octet_length(c["record"]).cast("long").alias("length"), F.sha2(c["record"].cast("binary"), 256).alias("digest")))
+
+
+def replica_of(archive: DataFrame, copies: str) -> DataFrame:
+    """The replica's records, in the original order of what they stem from."""
+    out = archive.select("page_id", "file", "record_no", F.posexplode(copies).alias("copy", "c"))
+    return out.select("page_id", "file", (F.col("record_no") * 2 + F.col("copy")).alias("record_no"), "c.*")
 
 
 def op2_merkle_fixity(spark, sf_dir: str) -> DataFrame:
     """Audit of an archive of all pages against a replica with known damage.
 
     The replica is made here, as no damaged copy is among the tables: by a hash of the page one record in DAMAGE
-    is overwritten, one cut, one lost and one followed by another record, and it is laid out after that.
+    is overwritten, one cut, one lost and one followed by another record, and it is laid out after that. Records
+    are hashed where they are read; only lengths and digests travel.
     """
     pages = table(spark, sf_dir, "pages")
     identity = F.concat_ws(" ", F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.coalesce("url", F.lit("")))
     ordinal = F.shiftleft(F.coalesce("page_id", F.lit(0)), 20).bitwiseOR(F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit((1 << 20) - 1)))
     rows = pages.select("page_id", identity.alias("identity"), ordinal.alias("key"), warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
-    archive = durable(files_of(rows).drop("key"))
     damage = F.pmod(F.conv(F.substring(F.md5(F.col("identity").cast("binary")), 1, 6), 16, 10).cast("long"), F.lit(DAMAGE))
-    return audit(hashed(archive), hashed(damaged(archive, damage)))
+    own = F.array(F.struct("record", "identity"))
+    digests = durable(rows.select("page_id", "key", F.get(hashed(own), F.lit(0)).alias("own"), hashed(damaged(damage)).alias("copies")).select("page_id", "key", "own.*", "copies"))
+    archive = durable(files_of(digests).drop("key"))
+    return audit(archive.drop("copies"), replica_of(archive, "copies"))
 
 
 _LEVEL = """{up}0 AS (SELECT *, coalesce(sum(CASE WHEN hash[-1] = '0' THEN 1 ELSE 0 END) OVER (PARTITION BY file ORDER BY start, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS up FROM {down}),
