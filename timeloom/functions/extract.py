@@ -29,6 +29,8 @@ PATTERNS = {
     "number": _NUMBER,
     "quote": r"[\"“«]([^\"”»]{8,})[\"”»]",
     "timecode": r"\b[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?\b",
+    "spoken_url": r"(?i)\b[a-z][a-z0-9_-]+\.(?:com|fr|net|org|io|eu|uk|de|es|it|be|ch|ca|au|co|tv|news|info|biz|me|app|edu|gov)\b",
+    "bullet": r"(?m)^[ >*-]{0,3}[-•*][ \t]+[^\n]+",
     "social": r"(?i)\b(?:youtube|instagram|twitter|tiktok|facebook|linkedin|twitch)\b",
 }
 

@@ -129,16 +129,29 @@ def dominant_script(c: Column) -> Column:
     return F.when(best > 0, out)
 
 
-def guess_language(c: Column, words: dict[str, list[str]], accents: dict[str, str], default: str) -> Column:
-    """The language with the most marker words, each accented letter of it counting 1.5; ties: the default."""
-    low = F.concat(F.lit(" "), F.lower(F.coalesce(c, F.lit(""))), F.lit(" "))
+#: Fixed marker words and letters of the language guess, in the order in which ties are decided.
+LANGUAGES = {
+    "fr": ([" le ", " la ", " les ", " des ", " est ", " pas ", " avec ", " pour ", " que ", " qui ", " une ", " dans ", " aux ", " sur "], "àâäçéèêëîïôöùûüÿœ«»"),
+    "en": ([" the ", " and ", " with ", " that ", " you ", " are ", " for ", " from ", " this ", " have ", " which ", " were ", " will ", " into "], ""),
+}
+
+
+def occurrences(c: Column, part: str) -> Column:
+    """How often the part is found, without overlaps."""
+    return ((F.length(c) - F.length(F.replace(c, F.lit(part), F.lit("")))) / len(part)).cast("int")
+
+
+def guess_language(c: Column) -> Column:
+    """The language with the highest score: marker words as they stand in the lower-case text, and 1.5 for each of
+    its own letters; the first listed on ties, so also for blank texts."""
+    low = F.lower(F.coalesce(c, F.lit("")))
     score = {}
-    for lang, markers in words.items():
-        hits = sum(((F.length(low) - F.length(F.replace(low, F.lit(f" {m} "), F.lit(" ")))) / (len(m) + 1) for m in markers), F.lit(0.0))
-        score[lang] = hits + 1.5 * F.length(F.regexp_replace(low, f"[^{accents[lang]}]", "")) if accents.get(lang) else hits
+    for lang, (words, letters) in LANGUAGES.items():
+        score[lang] = sum((occurrences(low, w) for w in words), F.lit(0.0))
+        if letters:
+            score[lang] += 1.5 * F.length(F.regexp_replace(low, f"[^{letters}]", ""))
     best = F.greatest(*score.values())
-    out = F.lit(default)
-    for lang in words:
-        if lang != default:
-            out = F.when((score[lang] == best) & (best > score[default]), F.lit(lang)).otherwise(out)
+    out = F.lit(next(iter(LANGUAGES)))
+    for lang in reversed(LANGUAGES):
+        out = F.when(score[lang] == best, F.lit(lang)).otherwise(out)
     return out

@@ -90,13 +90,22 @@ def extract_numbers(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", count(extract.PATTERNS["number"]).alias("n_numbers"), count(r"[$€£] ?[0-9]+(?:[.,][0-9]+)*").alias("n_money"))
 
 
-@query()
+_MENTIONS = {k: extract.PATTERNS[k].replace("(?U)", "") for k in ("percent", "money", "duration", "ranking", "iso_date", "year", "timecode", "hashtag", "url", "speed", "weight", "temperature", "surface", "volume", "decibel", "social", "slash_date", "spoken_url", "bullet")}
+
+
+def _mention_sql() -> str:
+    """All matches of each kind, spaces collapsed, the first of those that are equal ignoring case."""
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, '{k}' AS kind, list_transform(regexp_extract_all(text, '{p.replace(chr(39), chr(39) * 2)}'), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))) AS vs FROM documents WHERE text IS NOT NULL" for k, p in _MENTIONS.items())
+    return f"""WITH f AS ({found}), d AS (SELECT doc_id, kind, list_filter(vs, lambda x, i: list_position(list_transform(vs, lambda y: lower(y)), lower(x)) = i) AS vs FROM f)
+SELECT doc_id, kind, unnest(range(len(vs)))::INT AS value_no, unnest(vs) AS value FROM d"""
+
+
+@query(_mention_sql())
 def extract_mentions(spark, sf_dir):
-    """All kinds of mentions of each document, one row per value."""
-    kinds = ("percent", "money", "duration", "ranking", "iso_date", "year", "timecode", "hashtag", "url", "speed", "weight")
-    d = read(spark, sf_dir, "documents").filter(F.col("text").rlike("[0-9#]"))
-    found = F.array(*[F.struct(F.lit(k).alias("kind"), extract.extract(F.col("text"), k).alias("v")) for k in kinds])
-    return d.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.kind", F.posexplode("f.v").alias("value_no", "value"))
+    """All kinds of mentions of each document, one row per value; no text is filtered out beforehand."""
+    found = F.array(*[F.struct(F.lit(k).alias("kind"), extract.find_all(F.col("text"), p).alias("v")) for k, p in _MENTIONS.items()])
+    return read(spark, sf_dir, "documents").select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.kind", F.posexplode("f.v").alias("value_no", "value"))
 
 
 @query(r"""WITH c AS (SELECT doc_id, len(regexp_replace(coalesce(text, ''), '[^A-Za-zÀ-ɏ]', '', 'g')) AS latin, len(regexp_replace(coalesce(text, ''), '[^Ѐ-ӿ]', '', 'g')) AS cyrillic, len(regexp_replace(coalesce(text, ''), '[^Ͱ-Ͽ]', '', 'g')) AS greek,
@@ -107,15 +116,16 @@ def script_ratio(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.round(text.script_ratio(F.col("text"), "latin"), 9).alias("latin"), text.script_count(F.col("text"), "latin").cast("long").alias("n_latin"))
 
 
-#: Fixed marker words and accents of the language guess.
-MARKERS = {"en": ["the", "and", "of", "to", "is"], "fr": ["le", "la", "les", "des", "et"], "de": ["der", "die", "das", "und", "ist"], "es": ["el", "los", "las", "que", "y"]}
-ACCENTS = {"en": "", "fr": "éèêàçù", "de": "äöüß", "es": "ñóí"}
+def _language_sql() -> str:
+    score = lambda words, letters: " + ".join([f"(length(t) - length(replace(t, '{w}', ''))) // {len(w)}" for w in words] + ([f"1.5 * length(regexp_replace(t, '[^{letters}]', '', 'g'))"] if letters else []))
+    fr, en = (score(*text.LANGUAGES[x]) for x in ("fr", "en"))
+    return f"WITH d AS (SELECT doc_id, lang, lower(coalesce(text, '')) AS t FROM documents) SELECT doc_id, lang, CASE WHEN {fr} >= {en} THEN 'fr' ELSE 'en' END AS guess FROM d"
 
 
-@query()
+@query(_language_sql())
 def language_guess(spark, sf_dir):
-    """Language by marker words and accents beside the stated one."""
-    return read(spark, sf_dir, "documents").select("doc_id", "lang", text.guess_language(F.col("text"), MARKERS, ACCENTS, "fr").alias("guess"))
+    """Language by marker words and letters beside the stated one."""
+    return read(spark, sf_dir, "documents").select("doc_id", "lang", text.guess_language(F.col("text")).alias("guess"))
 
 
 @query(r"""WITH h AS (SELECT page_id, url, regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1)), '^(www|m)\.', '') AS host, regexp_extract(url, '^[a-zA-Z]+://[^/?#]+([^?#]*)', 1) AS path FROM pages)
