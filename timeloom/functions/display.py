@@ -31,7 +31,7 @@ def numeric_date(c: Column, default_year: int) -> Column:
     plain = F.regexp_replace(F.coalesce(c, F.lit("")), "[.-]", "/")
     part = lambda i: F.regexp_extract(plain, r"([0-9]{1,2})/([0-9]{1,2})(?:/([0-9]{2,4}))?", i)
     year = F.when(part(3) == "", F.lit(default_year)).otherwise(full_year(part(3).try_cast("int")))
-    return F.try_make_date(year, part(2).try_cast("int"), part(1).try_cast("int")) if hasattr(F, "try_make_date") else F.make_date(year, part(2).try_cast("int"), part(1).try_cast("int"))
+    return F.try_to_date(F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(part(2), 2, "0"), F.lpad(part(1), 2, "0")))
 
 
 def textual_date(c: Column, default_year: int) -> Column:

@@ -104,3 +104,9 @@ def dominated(df: DataFrame, keys: list[str], row: str, start: str, end: str, sc
     inside = (other["_s"] <= F.col(start)) & (F.col(end) <= other["_e"]) & (other["_e"] - other["_s"] > F.col(end) - F.col(start)) & (other["_v"] >= F.col(score))
     same = [inner[c].eqNullSafe(other[c]) for c in [*keys, "_bucket"]]
     return inner.join(other, [*same, inside], "left_anti").drop("_bucket")
+
+
+def drop_past(df: DataFrame, start: str, end: str, cutoff: Column, tolerance, stays: Column) -> DataFrame:
+    """Drops intervals that begin at or end past the cutoff and its tolerance, instead of trimming them."""
+    limit = cutoff + tolerance
+    return df.filter(stays | ((F.col(start) < limit) & (F.col(end) <= limit)))
