@@ -26,17 +26,18 @@ def parse_list_line(line: Column) -> Column:
     return out
 
 
-#: Fixed patterns of calls to action.
+#: Fixed words of calls to action; they count as whole words.
 CALLS = {
-    "comment": r"(?i)\b(comment(ez|e|er|aire|airez|aires)?)\b",
-    "subscribe": r"(?iu)\b(abonn(e|é|ez|er|ement|ements)([- ]?(toi|vous))?|subscribe|sub)\b",
-    "donate": r"(?i)\b(tipee+|patreon|dons?|soutiens?|soutenez|supportez|support|donate)\b",
+    "comment": "comment(ez|e|er|aire|airez|aires)?",
+    "subscribe": "abonn(e|é|ez|er|ement|ements)([- ]?(toi|vous))?|subscribe|sub",
+    "donate": "tipee+|patreon|dons?|soutiens?|soutenez|supportez|support|donate",
 }
+WHOLE_WORD = r"(?i)(^|[^\p{L}\p{N}_])(%s)($|[^\p{L}\p{N}_])"
 
 
 def calls_to_action(c: Column) -> Column:
     """Which calls a text makes, in the fixed order."""
-    return F.array_compact(F.array(*[F.when(c.rlike(p), F.lit(k)) for k, p in CALLS.items()]))
+    return F.array_compact(F.array(*[F.when(c.rlike(WHOLE_WORD % p), F.lit(k)) for k, p in CALLS.items()]))
 
 
 def token_window(tokens: Column, phrase: Column) -> Column:

@@ -182,20 +182,12 @@ def track_with_gaps(df: DataFrame, keys: list[str], start: str, end: str, order:
     return fold(df, keys, order, schema, step)
 
 
-def hold_until_free(df: DataFrame, keys: list[str], start: str, end: str, blocks: str, order: list[str], schema: str) -> DataFrame:
-    """Moves rows behind the active block: rows flagged ``blocks`` hold the time up to their end."""
-
-    def step(rows: Iterator[dict]) -> Iterator[dict]:
-        guard = None
-        for r in rows:
-            moved = dict(r)
-            if guard is not None and not r[blocks] and r[start] < guard:
-                moved[start], moved[end] = guard, guard + r[end] - r[start]
-            if r[blocks]:
-                guard = max(guard or r[end], r[end])
-            yield moved
-
-    return fold(df, keys, order, schema, step)
+def hold_until_free(df: DataFrame, keys: list[str], start: str, end: str, blocks: str, order: list[str]) -> DataFrame:
+    """Moves rows behind the active block: rows flagged ``blocks`` hold the time up to their end, and stay."""
+    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    held = df.withColumn("_guard", F.max(F.when(F.col(blocks), F.col(end))).over(before))
+    by = F.when(~F.col(blocks) & (F.col(start) < F.col("_guard")), F.col("_guard") - F.col(start)).otherwise(F.lit(0))
+    return held.withColumn("_by", by).withColumns({start: F.col(start) + F.col("_by"), end: F.col(end) + F.col("_by")}).drop("_guard", "_by")
 
 
 def plan_chunks(df: DataFrame, keys: list[str], start: str, end: str, order: list[str], schema: str, most: int = 12, longest: float = 45.0) -> DataFrame:

@@ -166,7 +166,12 @@ def html_article(spark, sf_dir):
     return html.html_article(read(spark, sf_dir, "pages"), ["page_id"])
 
 
-@query()
+@query(f"""WITH RECURSIVE t AS (SELECT conv_id, turn, role, list_distinct(regexp_extract_all(trim(regexp_replace(lower(strip_accents(coalesce(text, ''))), '[^a-z0-9]+', ' ', 'g')), '[a-z0-9]+')) AS tok FROM conversations),
+c AS (SELECT a.conv_id, a.turn, a.tok, b.turn AS other, list_intersect(b.tok, a.tok) AS hit, row_number() OVER (PARTITION BY a.conv_id, a.turn ORDER BY b.turn DESC) AS n FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.role = 'user' AND b.turn < a.turn WHERE a.role <> 'user'),
+r AS (SELECT conv_id, turn, tok, 0::BIGINT AS n, []::VARCHAR[] AS have, []::BIGINT[] AS picked, false AS done FROM t WHERE role <> 'user'
+ UNION ALL SELECT r.conv_id, r.turn, r.tok, c.n, CASE WHEN len(new) > 0 THEN list_concat(have, new) ELSE have END, CASE WHEN len(new) > 0 THEN list_prepend(c.other, picked) ELSE picked END, len(r.tok) > 0 AND len(have) + len(new) >= 0.9 * len(r.tok)
+ FROM (SELECT r.*, list_filter(c.hit, lambda x: NOT list_contains(r.have, x)) AS new, c.n AS m FROM r JOIN c ON c.conv_id = r.conv_id AND c.turn = r.turn AND c.n = r.n + 1 WHERE NOT r.done) r JOIN c ON c.conv_id = r.conv_id AND c.turn = r.turn AND c.n = r.m)
+SELECT conv_id, turn, max_by(picked, n) AS picked, CASE WHEN len(any_value(tok)) > 0 THEN max_by(len(have), n) / len(any_value(tok)) ELSE 0.0 END::DOUBLE AS covered FROM r GROUP BY conv_id, turn""")
 def set_cover_stitch(spark, sf_dir):
     """For each assistant turn the user turns before it that cover its tokens, picked from the last backwards."""
     c = read(spark, sf_dir, "conversations")

@@ -164,13 +164,13 @@ def nearest_neighbour(spark, sf_dir):
     return found.select("event_id", "before_at", "after_at", "nearest_at", "nearest_value")
 
 
-@query("""WITH c AS (SELECT c_custkey, c_nationkey, c_custkey IN (SELECT o_custkey FROM orders) AS known FROM customer),
+@query("""WITH c AS (SELECT c_custkey, c_nationkey, c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000) AS known FROM customer),
 n AS (SELECT *, last_value(CASE WHEN known THEN c_custkey END IGNORE NULLS) OVER (PARTITION BY c_nationkey ORDER BY c_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_known,
  first_value(CASE WHEN known THEN c_custkey END IGNORE NULLS) OVER (PARTITION BY c_nationkey ORDER BY c_custkey ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_known FROM c)
 SELECT c_custkey, prev_known, next_known FROM n WHERE NOT known""")
 def leftovers_prev_next(spark, sf_dir):
-    """Customers without orders, with the neighbours of their nation that have some."""
-    buyers = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("known", F.lit(True))
+    """Customers without a large order, with the neighbours of their nation that have one."""
+    buyers = read(spark, sf_dir, "orders").filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("known", F.lit(True))
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").join(buyers, "c_custkey", "left").withColumn("known", F.coalesce("known", F.lit(False)))
     return nearest.with_neighbours(c, ["c_nationkey"], ["c_custkey"], "known", "c_custkey").filter("NOT known").select("c_custkey", "prev_known", "next_known")
 
@@ -265,7 +265,11 @@ def throttle_last_emit(spark, sf_dir):
     return layout.throttle(ev, ["user_id", "event_type"], "us", ["us", "event_id"], 40 * HOUR, "user_id bigint, event_type string, event_id bigint, us bigint")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_E}, n AS (SELECT user_id, event_type, event_id, us, us + cents * 1000000 AS till, cents, row_number() OVER (PARTITION BY user_id, event_type ORDER BY us, event_id) AS n FROM e),
+r AS (SELECT user_id, event_type, n, event_id, us, till, cents, 1 AS win FROM n WHERE n = 1
+ UNION ALL SELECT n.user_id, n.event_type, n.n, CASE WHEN o OR better THEN n.event_id ELSE r.event_id END, CASE WHEN o OR better THEN n.us ELSE r.us END, CASE WHEN o OR better THEN n.till ELSE r.till END, CASE WHEN o OR better THEN n.cents ELSE r.cents END, r.win + o::INT
+ FROM (SELECT r.*, n.event_id AS e2, n.us > r.till + {6 * HOUR} AS o, n.cents > r.cents AS better, n.n AS n2 FROM r JOIN n ON n.user_id = r.user_id AND n.event_type = r.event_type AND n.n = r.n + 1) r JOIN n ON n.user_id = r.user_id AND n.event_type = r.event_type AND n.n = r.n2)
+SELECT user_id, event_type, event_id, us, till, cents FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, win ORDER BY n DESC) AS last FROM r) WHERE last = 1""")
 def metric_window_dedupe(spark, sf_dir):
     """The best event of each window that ends six hours after the kept one."""
     ev = events(spark, sf_dir).select("user_id", "event_type", "event_id", "us", (F.col("us") + F.col("cents") * 1_000_000).alias("till"), "cents")
@@ -287,25 +291,34 @@ def news_accumulator(spark, sf_dir):
 _TRACKS = "l_orderkey bigint, l_linenumber int, start bigint, end bigint"
 
 
-@query()
+_N = "n AS (SELECT l_orderkey, l_linenumber, l_returnflag, s, e, row_number() OVER (PARTITION BY l_orderkey ORDER BY s, e, l_linenumber) AS n FROM l)"
+
+
+@query(f"""WITH RECURSIVE {_L}, {_N}, r AS (SELECT l_orderkey, l_linenumber, s, e, n, 0::BIGINT AS track, [e] AS ends FROM n WHERE n = 1
+ UNION ALL SELECT l_orderkey, l_linenumber, s, e, n, (p - 1)::BIGINT, CASE WHEN p > len(ends) THEN list_append(ends, e) ELSE list_transform(ends, lambda x, i: CASE WHEN i = p THEN e ELSE x END) END
+ FROM (SELECT n.*, r.ends, coalesce(nullif(list_position(list_transform(r.ends, lambda x: x <= n.s), true), 0), len(r.ends) + 1) AS p FROM r JOIN n ON n.l_orderkey = r.l_orderkey AND n.n = r.n + 1))
+SELECT l_orderkey, l_linenumber, s AS start, e AS "end", track FROM r""")
 def track_packing(spark, sf_dir):
     """Shipments of an order on as few tracks as needed."""
     s = shipments(spark, sf_dir).select("l_orderkey", "l_linenumber", "start", "end")
     return layout.pack_tracks(s, ["l_orderkey"], "start", "end", ["start", "end", "l_linenumber"], _TRACKS + ", track bigint")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_L}, {_N}, r AS (SELECT l_orderkey, n, l_linenumber, s, e, 0::BIGINT AS held, e AS cursor, true AS taken FROM n WHERE n = 1
+ UNION ALL SELECT n.l_orderkey, n.n, n.l_linenumber, n.s, n.e, r.cursor, CASE WHEN n.s >= r.cursor THEN n.e ELSE r.cursor END, n.s >= r.cursor FROM r JOIN n ON n.l_orderkey = r.l_orderkey AND n.n = r.n + 1)
+SELECT l_orderkey, l_linenumber, s AS start, e AS "end", 'clip' AS kind FROM r WHERE taken UNION ALL SELECT l_orderkey, l_linenumber, held, s, 'gap' FROM r WHERE taken AND s > held""")
 def gap_rows_on_track(spark, sf_dir):
     """Shipments of an order on one track with gap rows, overlapping ones skipped."""
     s = shipments(spark, sf_dir).select("l_orderkey", "l_linenumber", "start", "end")
     return layout.track_with_gaps(s, ["l_orderkey"], "start", "end", ["start", "end", "l_linenumber"], _TRACKS + ", kind string")
 
 
-@query()
+@query(f"""WITH {_L}, g AS (SELECT *, max(CASE WHEN l_returnflag = 'R' THEN e END) OVER (PARTITION BY l_orderkey ORDER BY s, e, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS g FROM l),
+m AS (SELECT *, CASE WHEN l_returnflag <> 'R' AND s < g THEN g - s ELSE 0 END AS d FROM g) SELECT l_orderkey, l_linenumber, s + d AS start, e + d AS "end", l_returnflag = 'R' AS blocks FROM m""")
 def guard_delay(spark, sf_dir):
     """Shipments pushed behind the end of a returned one."""
     s = shipments(spark, sf_dir).select("l_orderkey", "l_linenumber", "start", "end", (F.col("l_returnflag") == "R").alias("blocks"))
-    return layout.hold_until_free(s, ["l_orderkey"], "start", "end", "blocks", ["start", "end", "l_linenumber"], _TRACKS + ", blocks boolean")
+    return layout.hold_until_free(s, ["l_orderkey"], "start", "end", "blocks", ["start", "end", "l_linenumber"])
 
 
 @query()

@@ -115,8 +115,11 @@ def list_lines(spark, sf_dir):
     return marked.select("conv_id", "turn", "line_no", lines.parse_list_line(F.col("line")).alias("p")).filter("p IS NOT NULL").select("conv_id", "turn", "line_no", "p.*").filter("item <> ''")
 
 
-@query("""WITH d AS (SELECT doc_id, text || CASE doc_id % 6 WHEN 0 THEN ' Abonnez-vous' WHEN 1 THEN ' please subscribe' WHEN 2 THEN ' Laissez un COMMENTAIRE' WHEN 3 THEN ' faites un don' WHEN 4 THEN ' Auto-Montage, zap!' ELSE '' END AS t, doc_id % 6 AS k FROM documents WHERE text IS NOT NULL)
-SELECT doc_id, list_filter(['comment', 'subscribe', 'donate'], lambda x: regexp_matches(t, CASE x WHEN 'comment' THEN '(?i)\\b(comment(ez|e|er|aire|airez|aires)?)\\b' WHEN 'subscribe' THEN '(?i)\\b(abonn(e|é|ez|er|ement|ements)([- ]?(toi|vous))?|subscribe|sub)\\b' ELSE '(?i)\\b(tipee+|patreon|dons?|soutiens?|soutenez|supportez|support|donate)\\b' END)) AS calls, k = 4 AS cut FROM d""")
+_CALLS = " ".join(f"WHEN '{k}' THEN '{lines.WHOLE_WORD % p}'" for k, p in lines.CALLS.items())
+
+
+@query(f"""WITH d AS (SELECT doc_id, text || CASE doc_id % 6 WHEN 0 THEN ' Abonnez-vous' WHEN 1 THEN ' please subscribe' WHEN 2 THEN ' Laissez un COMMENTAIRE' WHEN 3 THEN ' faites un don' WHEN 4 THEN ' Auto-Montage, zap!' ELSE '' END AS t, doc_id % 6 AS k FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, list_filter(['comment', 'subscribe', 'donate'], lambda x: regexp_matches(t, CASE x {_CALLS} END)) AS calls, k = 4 AS cut FROM d""")
 def calls_to_action(spark, sf_dir):
     """Calls to comment, subscribe and donate, and the cutting phrase, in documents with such endings."""
     k = F.col("doc_id") % 6
