@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from timeloom.functions import text
+from timeloom.functions import spans, text
 from timeloom.operators import align, refine
 from timeloom.operators.components import connected_components
 
@@ -97,3 +97,24 @@ def suffix_backfill(spark, sf_dir):
     o = read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", (F.col("o_custkey") % 2).alias("grp"), n.alias("n"), F.lit(1).cast("long").alias("span_first"), (F.count("*").over(w) + 1).alias("span_last"))
     rows = o.withColumn("ref_first", F.when(F.col("n") != 1 + F.col("o_custkey") % 4, F.col("n"))).withColumn("ref_last", F.col("ref_first"))
     return refine.backfilled(rows, ["o_custkey"], "grp", "o_orderkey").select("o_orderkey", "fill_first", "fill_last")
+
+
+@query()
+def script_spans(spark, sf_dir):
+    """Spans of the assistant turns' lines with their places."""
+    c = read(spark, sf_dir, "conversations").filter("role <> 'user' AND text IS NOT NULL")
+    lines = c.select("conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return lines.select("conv_id", "turn", "line_no", F.posexplode(spans.script_spans("line")).alias("span_no", "s")).select("conv_id", "turn", "line_no", "span_no", "s.*")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 6 < 5 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k, CASE WHEN event_id % 6 = 3 THEN 'a' || chr(10) || 'b' END AS note FROM events")
+def repaired_json(spark, sf_dir):
+    """A field read from JSON cells damaged in six ways, the last beyond repair."""
+    p, k = F.col("props"), F.col("event_id") % 6
+    body = F.expr("substring(props, 1, length(props) - 1)")
+    raw = (
+        F.when(k == 0, p).when(k == 1, F.concat(F.lit("```json\nHere: "), p, F.lit(" done\n```"))).when(k == 2, F.concat(body, F.lit(",\n}")))
+        .when(k == 3, F.concat(body, F.lit(', "note": "a\nb"}'))).when(k == 4, F.concat(body, F.lit(', "l": [{"x": 1}'))).otherwise("{k: 1")
+    )
+    fixed = F.from_json(spans.repair_json(raw), "k bigint, note string")
+    return read(spark, sf_dir, "events").select("event_id", fixed.alias("j")).select("event_id", "j.*")

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from html import escape
+from xml.etree import ElementTree
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,11 +51,11 @@ def valid_spans(entries: DataFrame, start: str, end: str) -> DataFrame:
     return entries.filter(F.col(end) > F.col(start)).orderBy("file", start, end)
 
 
-def read_clips(spark: SparkSession, path: str) -> DataFrame:
-    """One row per clip item of an XML edit list with its track number; empty spans go."""
+def read_clips(spark: SparkSession, path: str, media: str = "video") -> DataFrame:
+    """One row per clip item of an XML edit list with the number of its track in the media; empty spans go."""
     clip = "struct<name: string, start: long, end: long, in: long, out: long>"
-    tracks = spark.read.format("xml").option("rowTag", "track").schema(f"clipitem array<{clip}>").load(path)
-    rows = tracks.select(F.monotonically_increasing_id().alias("track"), F.posexplode("clipitem").alias("clip_no", "c"))
+    tracks = spark.read.format("xml").option("rowTag", media).schema(f"track array<struct<clipitem: array<{clip}>>>").load(path)
+    rows = tracks.select(F.posexplode("track").alias("track", "t")).select("track", F.posexplode("t.clipitem").alias("clip_no", "c"))
     return rows.select("track", "clip_no", "c.*").filter(F.col("end") > F.col("start"))
 
 
@@ -91,3 +97,77 @@ def write_rows_with_summary(rows: DataFrame, summary: DataFrame, path: str) -> N
 def write_clips(clips: DataFrame, path: str) -> None:
     """An XML edit list: one ``clipitem`` element per row."""
     clips.write.mode("overwrite").format("xml").option("rootTag", "sequence").option("rowTag", "clipitem").save(path)
+
+
+def write_otio(clips: DataFrame, path: str, rate: float) -> None:
+    """A timeline of clips and gaps as JSON, one line per track: clips (track, name, start, length, source_start) in
+    frames; a gap stands before a clip that starts behind the cursor, and one that starts before it is left out.
+
+    The cursor is the end of the clips kept so far; tracks are dealt by key and their rows sorted.
+    """
+    from timeloom.operators.layout import track_with_gaps
+
+    kinds = dict(clips.dtypes)
+    spans = clips.select("track", "name", "start", (F.col("start") + F.col("length")).alias("end"), "source_start")
+    schema = f"track {kinds['track']}, name string, start bigint, end bigint, source_start bigint, kind string"
+    rows = track_with_gaps(spans, ["track"], "start", "end", ["start", "name"], schema)
+    time = lambda c: F.struct(F.lit("RationalTime.1").alias("OTIO_SCHEMA"), c.cast("double").alias("value"), F.lit(float(rate)).alias("rate"))
+    gap = F.col("kind") == "gap"
+    item = F.struct(
+        F.when(gap, "Gap.1").otherwise("Clip.2").alias("OTIO_SCHEMA"), F.when(~gap, F.col("name")).alias("name"),
+        F.struct(time(F.when(gap, F.lit(0)).otherwise(F.col("source_start"))).alias("start_time"), time(F.col("end") - F.col("start")).alias("duration")).alias("source_range"))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("start", F.when(gap, 0).otherwise(1).alias("k"), item.alias("item")))), lambda x: x["item"])
+    track = rows.groupBy("track").agg(ordered.alias("children")).select(F.lit("Track.1").alias("OTIO_SCHEMA"), F.col("track").cast("string").alias("name"), "children")
+    track.write.mode("overwrite").json(path)
+
+
+def read_texts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, html) of plain-text and word-processor files: a paragraph element per line or paragraph.
+
+    Other kinds of files give null. A file is read in the task that holds it.
+    """
+
+    @F.pandas_udf("string")
+    def as_html(path: pd.Series, content: pd.Series) -> pd.Series:
+        return pd.Series([paragraphs_html(p, bytes(c)) for p, c in zip(path, content, strict=True)])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return files.select("path", as_html("path", "content").alias("html"))
+
+
+def paragraphs_html(name: str, content: bytes) -> str | None:
+    """Paragraph elements of a ``.txt`` or ``.docx`` file, of an ``.html`` file its text; null of others or broken ones."""
+    kind = name.lower().rsplit(".", 1)[-1]
+    if kind in ("html", "htm"):
+        return content.decode("utf-8", "ignore")
+    if kind == "txt":
+        lines = content.decode("utf-8-sig", "ignore").splitlines()
+    elif kind == "docx":
+        space = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
+        try:
+            with zipfile.ZipFile(io.BytesIO(content)) as z:
+                body = ElementTree.fromstring(z.read("word/document.xml"))
+        except (zipfile.BadZipFile, KeyError, ElementTree.ParseError):
+            return None
+        lines = ["".join(t.text or "" for t in p.iter(f"{space}t")) for p in body.iter(f"{space}p")]
+    else:
+        return None
+    return "".join(f"<p>{escape(x.strip())}</p>" for x in lines if x.strip())
+
+
+def retained(df: DataFrame, folder: str, stage: str) -> DataFrame:
+    """Writes a stage's rows below the folder and goes on from what was written."""
+    df.write.mode("overwrite").parquet(f"{folder}/{stage}")
+    return df.sparkSession.read.parquet(f"{folder}/{stage}")
+
+
+def write_canonical(df: DataFrame, folder: str, stem: str, stamp: str, stage: str) -> str:
+    """Writes rows under the canonical name ``<stem>_<stamp>_<stage>`` beside other outputs; returns the path."""
+    path = f"{folder}/{stem}_{stamp}_{stage}"
+    df.write.mode("overwrite").option("header", True).csv(path, sep=";")
+    return path
+
+
+def lookup_table(spark: SparkSession, values: dict[str, str], key: str = "key", value: str = "value") -> DataFrame:
+    """A small dimension table of fixed values."""
+    return spark.createDataFrame(list(values.items()), f"{key} string, {value} string")

@@ -1,27 +1,21 @@
-"""HTML as tables: blocks, styled parts, titles, links and article data, by a table function over whole pages."""
+"""HTML as tables: blocks, styled parts, titles, links and article data, read in Arrow batches of whole pages."""
 
 from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
-from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
+from pyspark.sql import types as T
 
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote td th figcaption pre".split())
 HIDDEN = frozenset("head style script noscript template".split())
 BOLD, ITALIC, UNDERLINE = frozenset(("b", "strong")), frozenset(("i", "em")), frozenset(("u", "ins"))
 
-_INT, _TEXT, _TEXTS = IntegerType(), StringType(), ArrayType(StringType())
-
-
-def _row(**fields: DataType) -> StructType:
-    return StructType([StructField(k, v) for k, v in fields.items()])
-
-
 class _Reader(HTMLParser):
     """Collects blocks with their styled parts and links; text in hidden elements is passed over."""
 
@@ -101,66 +95,81 @@ def read_page(source: str | None) -> tuple[list[dict], list[dict]]:
     return reader.blocks, reader.links
 
 
-@udtf(returnType=_row(block_no=_INT, tag=_TEXT, text=_TEXT, list_type=_TEXT, bold=_TEXTS, italic=_TEXTS, underline=_TEXTS))
-class HtmlBlocks:
-    def eval(self, source: str):
-        for i, b in enumerate(read_page(source)[0]):
-            yield i, b["tag"], b["text"], b["list_type"], b["bold"], b["italic"], b["underline"]
+_BLOCKS = [("block_no", pa.int32()), ("tag", pa.string()), ("text", pa.string()), ("list_type", pa.string()), *((n, pa.list_(pa.string())) for n in ("bold", "italic", "underline"))]
+_LINKS = [("link_no", pa.int32()), ("href", pa.string()), ("text", pa.string()), ("block_no", pa.int32())]
+_ARTICLE = [("title", pa.string()), ("author", pa.string()), ("published", pa.string())]
+#: Rows held before they are handed on.
+HELD = 20_000
 
 
-@udtf(returnType=_row(link_no=_INT, href=_TEXT, text=_TEXT, block_no=_INT))
-class HtmlLinks:
-    def eval(self, source: str):
-        for i, x in enumerate(read_page(source)[1]):
-            yield i, x["href"], x["text"], x["block"]
+def _block_rows(source: str | None) -> list[tuple]:
+    return [(i, *(b[n] for n, _ in _BLOCKS[1:])) for i, b in enumerate(read_page(source)[0])]
 
 
-@udtf(returnType=_row(title=_TEXT, author=_TEXT, published=_TEXT))
-class HtmlArticle:
-    """Title, author and date: linked data first, then meta elements, then the title element."""
+def _link_rows(source: str | None) -> list[tuple]:
+    return [(i, x["href"], x["text"], x["block"]) for i, x in enumerate(read_page(source)[1])]
+
 
-    def eval(self, source: str):
-        source = source or ""
-        nodes = []
-        for raw in re.findall(r'(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>', source):
-            try:
-                found = json.loads(raw)
-            except ValueError:
-                continue
-            nodes += [n for n in (found if isinstance(found, list) else [found]) if isinstance(n, dict)]
-        meta = {k.lower(): v for k, v in re.findall(r'(?is)<meta[^>]+(?:name|property)="([^"]+)"[^>]+content="([^"]*)"', source)}
-        pick = lambda key: next((n[key] for n in nodes if n.get(key)), None)
-        author = pick("author")
-        author = author.get("name") if isinstance(author, dict) else author if isinstance(author, str) else None
-        title = re.search(r"(?is)<title[^>]*>(.*?)</title>", source)
-        yield (
-            pick("headline") or meta.get("og:title") or (" ".join(title[1].split()) if title else None),
-            author or meta.get("author"),
-            pick("datePublished") or meta.get("article:published_time") or meta.get("date"),
-        )
-
-
-def _lateral(pages: DataFrame, table, ids: list[str], html: str, columns: list[str]) -> DataFrame:
-    name = table.func.__name__
-    pages.sparkSession.udtf.register(name, table)
-    view = f"_pages_{name}".lower()
-    pages.select(*ids, F.col(html).alias("_html")).createOrReplaceTempView(view)
-    return pages.sparkSession.sql(f"SELECT {', '.join('p.' + i for i in ids)}, {', '.join('t.' + c for c in columns)} FROM {view} p, LATERAL {name}(p._html) t")
+def _article_rows(source: str | None) -> list[tuple]:
+    """Title, author and date: linked data first, then meta elements, then the title element."""
+    source = source or ""
+    nodes = []
+    for raw in re.findall(r'(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>', source):
+        try:
+            found = json.loads(raw)
+        except ValueError:
+            continue
+        found = found.get("@graph", [found]) if isinstance(found, dict) else found
+        nodes += [n for n in found if isinstance(n, dict)]
+    meta = {k.lower(): v for k, v in re.findall(r'(?is)<meta[^>]+(?:name|property)="([^"]+)"[^>]+content="([^"]*)"', source)}
+    pick = lambda key: next((n[key] for n in nodes if n.get(key)), None)
+    author = pick("author")
+    author = author.get("name") if isinstance(author, dict) else author if isinstance(author, str) else None
+    title = re.search(r"(?is)<title[^>]*>(.*?)</title>", source)
+    return [(
+        pick("headline") or meta.get("og:title") or (" ".join(title[1].split()) if title else None),
+        author or meta.get("author"),
+        pick("datePublished") or meta.get("article:published_time") or meta.get("date"),
+    )]
+
+
+def _read(pages: DataFrame, ids: list[str], html: str, fields: list[tuple], rows_of) -> DataFrame:
+    """The ids with the rows read from each page, in Arrow batches of bounded size."""
+    from pyspark.sql.pandas.types import from_arrow_type
+
+    rows = pages.select(F.struct(*ids).alias("row"), F.col(html).cast("string").alias("html"))
+    names = ["row", *(n for n, _ in fields)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            take: list[int] = []
+            found: list[tuple] = []
+            for i in range(batch.num_rows):
+                more = rows_of(batch.column(1)[i].as_py())
+                take += [i] * len(more)
+                found += more
+                if len(found) >= HELD or i == batch.num_rows - 1:
+                    columns = list(zip(*found, strict=True)) or [[] for _ in fields]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(take, pa.int64())), *(pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True))], names=names)
+                    take, found = [], []
+
+    schema = T.StructType([rows.schema["row"], *(T.StructField(n, from_arrow_type(t)) for n, t in fields)])
+    return rows.mapInArrow(run, schema).select("row.*", *names[1:])
 
 
 def html_blocks(pages: DataFrame, ids: list[str], html: str = "html") -> DataFrame:
     """One row per text block, with list type and styled parts."""
-    return _lateral(pages, HtmlBlocks, ids, html, ["block_no", "tag", "text", "list_type", "bold", "italic", "underline"])
+    return _read(pages, ids, html, _BLOCKS, _block_rows)
 
 
 def html_links(pages: DataFrame, ids: list[str], html: str = "html") -> DataFrame:
     """One row per anchor: target, text and the number of blocks before it."""
-    return _lateral(pages, HtmlLinks, ids, html, ["link_no", "href", "text", "block_no"])
+    return _read(pages, ids, html, _LINKS, _link_rows)
 
 
 def html_article(pages: DataFrame, ids: list[str], html: str = "html") -> DataFrame:
     """Title, author and date of each page."""
-    return _lateral(pages, HtmlArticle, ids, html, ["title", "author", "published"])
+    return _read(pages, ids, html, _ARTICLE, _article_rows)
 
 
 def html_titles(pages: DataFrame, ids: list[str], html: str = "html") -> DataFrame:
