@@ -5,14 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _checkpoint(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint(eager=True)
+from .durable import durable
 
 
 def connected_components(links: DataFrame, left: str, right: str, max_rounds: int = 60) -> DataFrame:
@@ -23,7 +16,7 @@ def connected_components(links: DataFrame, left: str, right: str, max_rounds: in
     are ignored; an empty table gives an empty result.
     """
     edges = links.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).filter("u > v").distinct()
-    edges = _checkpoint(edges)
+    edges = durable(edges)
     seen = None
     for _ in range(max_rounds):
         # large star: larger neighbours of u move to the smallest node around u
@@ -33,7 +26,7 @@ def connected_components(links: DataFrame, left: str, right: str, max_rounds: in
         # small star: u and its smaller neighbours move to the smallest of them
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v")
-        edges = _checkpoint(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        edges = durable(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break
