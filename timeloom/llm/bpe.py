@@ -39,7 +39,7 @@ from .common import table, text_groups
 
 #: Chunks and pieces that a worker remembers in the younger of two generations, and the length from which they
 #: are forgotten after use.
-CHUNKS, PIECES, CACHED_CHARS = 300_000, 300_000, 200
+CHUNKS, PIECES, CACHED_CHARS = 240_000, 240_000, 200
 #: Texts encoded together, and rows that one recursive query may keep (a piece keeps about half its length squared).
 GROUP_CHARS, QUERY_ROWS = 4_000_000, 3_000_000
 #: Pieces from LONG bytes on are contracted in windows of LONG - 1 bytes, STRIDE bytes apart.
@@ -117,7 +117,8 @@ class Coder:
         out = self._query(self._base(pieces), CONTRACT.format(positions=LONG, kind="INTEGER", rounds=LONG) + DECODE.format(source="done"))
         known = self.pieces[0]
         for i, ids, text in zip(out["w"].to_pylist(), out["ids"].to_pylist(), out["hex"].to_pylist(), strict=True):
-            known[pieces[i]] = (ids, bytes.fromhex(text))
+            piece, raw = pieces[i], bytes.fromhex(text)
+            known[piece] = (ids, piece if raw == piece else raw)  # equal bytes are held once
 
     def _tokens(self, raw: bytes) -> list[int]:
         """The ids of one window."""

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from timeloom.operators.durable import durable  # noqa: F401  the operators of this part take it from here
+
 #: A side of a join is broadcast only when it was counted and has at most this many rows.
 BROADCAST_ROWS = 200_000
 
@@ -21,19 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset (tests on
-    one machine) a temporary one is made.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint(eager=True)
-
-
 def small_join(left: DataFrame, right: DataFrame, on, how: str = "inner", rows: int | None = None) -> DataFrame:
     """Join with a side that is usually small: broadcast when its counted size allows, shuffled beyond that."""
     rows = right.count() if rows is None else rows
