@@ -23,4 +23,4 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_merkle_fixity": fixity.OP2_SQL, "op9_line_templates": templates.OP9_SQL}
+    return {"op2_merkle_fixity": fixity.OP2_SQL, "op3_winnowing": winnow.OP3_SQL, "op9_line_templates": templates.OP9_SQL}

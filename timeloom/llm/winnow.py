@@ -226,3 +226,18 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def op3_winnowing(spark, sf_dir: str) -> DataFrame:
     """Contract query: contamination of every document by the whole benchmark."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')"
+OP3_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark),
+s AS (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0),
+g AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM s),
+p AS (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n),
+h AS (SELECT DISTINCT rid, i, p.n, item FROM p JOIN g ON g.n = p.n AND g.g = array_to_string(p.w[i:i + p.n - 1], ' ')),
+c AS (SELECT rid, count(DISTINCT place) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS place FROM h) GROUP BY rid),
+t AS (SELECT rid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS sha FROM (SELECT DISTINCT rid, item FROM h) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, coalesce(sha, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (rid) LEFT JOIN t USING (rid)
+"""
