@@ -209,3 +209,28 @@ def drop_past_end(spark, sf_dir):
 
     s = shipments(spark, sf_dir).withColumn("cutoff", F.max("start").over(Window.partitionBy("l_orderkey")))
     return intervals.drop_past(s, "start", "end", F.col("cutoff"), 5, F.col("l_returnflag") == "R").select("l_orderkey", "l_linenumber", "start", "end")
+
+
+_PHRASES = """ph AS (SELECT DISTINCT p_name AS phrase, 'product' AS label FROM part WHERE p_partkey % 3 = 0 UNION SELECT DISTINCT split_part(p_name, ' ', 2), 'thing' FROM part UNION SELECT DISTINCT lower(p_type), 'type' FROM part),
+t AS (SELECT p_partkey, CASE p_partkey % 2 WHEN 0 THEN 'fr' ELSE 'en' END AS lang, string_split(lower(p_name || ' or ' || p_type || ' ' || p_name), ' ') AS tok FROM part),
+g AS (SELECT p_partkey, lang, n, i AS at0, array_to_string(tok[i + 1:i + n], ' ') AS phrase FROM (SELECT *, unnest(range(0, len(tok) - n + 1)) AS i FROM (SELECT *, unnest([1, 2]) AS n FROM t))),
+m AS (SELECT p_partkey, lang, list({'less': -n, 'at0': at0, 'n': n, 'phrase': phrase, 'label': label} ORDER BY -n, at0, phrase) AS ms FROM g JOIN (SELECT phrase, min(label) AS label FROM ph GROUP BY phrase) USING (phrase) GROUP BY p_partkey, lang),
+k AS (SELECT p_partkey, lang, unnest(list_reduce(list_transform(ms, lambda x: [x]), lambda acc, x: CASE WHEN len(list_filter(acc, lambda y: y.at0 < x[1].at0 + x[1].n AND x[1].at0 < y.at0 + y.n)) > 0 THEN acc ELSE list_concat(acc, x) END)) AS x FROM m)"""
+
+
+@query(f"""WITH {_PHRASES} SELECT p_partkey, x.at0::INT AS at_token, x.n::INT AS n, x.phrase AS phrase, CASE WHEN lang = 'fr' AND x.label = 'type' THEN 'kind' ELSE x.label END AS label FROM k WHERE NOT (lang = 'en' AND x.phrase = 'widget')""")
+def phrase_scan(spark, sf_dir):
+    """Names found in part texts, longest first, with overrides and home names by language."""
+    from timeloom.operators import phrases
+
+    p = read(spark, sf_dir, "part")
+    dim = (
+        p.filter("p_partkey % 3 = 0").select(F.col("p_name").alias("phrase"), F.lit("product").alias("label"))
+        .unionByName(p.select(F.split_part("p_name", F.lit(" "), F.lit(2)).alias("phrase"), F.lit("thing").alias("label"))).unionByName(p.select(F.lower("p_type").alias("phrase"), F.lit("type").alias("label"))).distinct()
+    )
+    tokens = F.split(F.lower(F.concat_ws(" ", "p_name", F.lit("or"), "p_type", "p_name")), " ")
+    texts = p.select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, "fr").otherwise("en").alias("lang"), tokens.alias("tok"))
+    found = phrases.phrase_matches(texts, ["p_partkey", "lang"], "tok", dim, 2)
+    overrides = p.select(F.lit("fr").alias("lang"), F.lower("p_type").alias("phrase"), F.lit("kind").alias("label")).distinct()
+    home = spark.createDataFrame([("en", "widget")], "lang string, phrase string")
+    return phrases.relabelled(found, overrides, "lang", home).select("p_partkey", F.col("at").alias("at_token"), "n", "phrase", "label")
