@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import bpe, counts, fixity, pseudonyms, quality, secrets, shards, simhash, templates, winnow
+from . import bpe, counts, fixity, interactions, middle, multiset, pseudonyms, quality, secrets, shards, simhash, templates, winnow
 
 
 def queries() -> dict[str, Callable]:
@@ -19,8 +19,17 @@ def queries() -> dict[str, Callable]:
         "op8_prefix_counts": counts.op8_prefix_counts,
         "op9_line_templates": templates.op9_line_templates,
         "op10_feistel_pseudonyms": pseudonyms.op10_feistel_pseudonyms,
+        "op11_filter_cube": interactions.op11_filter_cube,
+        "op12_multiset_hash": multiset.op12_multiset_hash,
+        "op13_checkpoint_middle": middle.op13_checkpoint_middle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_merkle_fixity": fixity.OP2_SQL, "op3_winnowing": winnow.OP3_SQL, "op9_line_templates": templates.OP9_SQL}
+    return {
+        "op2_merkle_fixity": fixity.OP2_SQL,
+        "op3_winnowing": winnow.OP3_SQL,
+        "op9_line_templates": templates.OP9_SQL,
+        "op11_filter_cube": interactions.OP11_SQL,
+        "op13_checkpoint_middle": middle.OP13_SQL,
+    }
