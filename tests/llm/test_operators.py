@@ -570,6 +570,23 @@ def test_every_prefix():
         assert count(text[:end]) <= 100 < count(text[: end + 1])
 
 
+def test_contractions_behind_moved_places():
+    """Decomposed accents, Hangul and letters that lower to two before every contraction, prefix by prefix."""
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    counter = counts.PrefixCounter(path)
+    heads = ["cafe\u0301", "Zoe\u0308", "fiance\u0301", "\u0130e", "\u1100\u1161", "\u1100\u1161\u11a8", "!e\u0301", "abce\u0301fgh", "7\u0301", "'\u0301", "e\u0301'", "\u0301"]
+    contractions = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d", "'r", "'l", "'v", "''re", "!'re", "'RE", "'lL"]
+    tails = ["", "x", "e", "l", "re", "'re", " a", "1", "!", "\u0301", "\u0301x", "e\u0301'll"]
+    grid = [h + c + t for h in heads for c in contractions for t in tails]
+    prefixes = sorted({text[:i] for text in grid for i in range(len(text) + 1)})
+    want = {p: len(e.ids) for p, e in zip(prefixes, library.encode_batch(prefixes, add_special_tokens=False), strict=True)}
+    for text, found in zip(grid, counter.tables(grid), strict=True):
+        assert found.tolist() == [want[text[:i]] for i in range(len(text) + 1)], text
+
+
 def test_tokens_apart():
     """The backward walk over merges against contracting both texts together."""
     counter = counts.PrefixCounter(P.path("word_bpe_49k.json"))

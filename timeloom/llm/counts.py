@@ -301,12 +301,15 @@ class PrefixCounter:
                 own, rest = split(more)
                 grown.push(self.symbols(own))
                 tail += own
+                total += grown.end() if rest else 0
             else:
-                tail, *rest = self.pieces_of(tail + more)
+                rest = self.pieces_of(tail + more)
+            if rest[-2:] in (["'", "r"], ["'", "v"], ["'", "l"]):  # may become a contraction: both stay open
+                rest[-2:] = ["'" + rest[-1]]
+            if rest:
+                total += sum(map(self.total, rest[:-1]))
+                tail = rest[-1]
                 grown = _Growing(self, self.symbols(tail))
-            for piece in rest:
-                total += grown.end()
-                tail, grown = piece, _Growing(self, self.symbols(piece))
         return out
 
     def _turn(self) -> None:
