@@ -155,12 +155,12 @@ def overlap_or_midpoint(spark, sf_dir):
 _NORM = "trim(regexp_replace(lower(strip_accents(coalesce({0}, ''))), '[^a-z0-9]+', ' ', 'g'))"
 
 
-@query(f"""WITH t AS (SELECT conv_id, turn, role, {_NORM.format("CASE WHEN role = 'user' THEN left(text, 4) ELSE text END")} AS n FROM conversations),
+@query(f"""WITH t AS (SELECT conv_id, turn, role, {_NORM.format("text")} AS n FROM conversations),
 p AS (SELECT a.conv_id, a.turn, b.turn AS other, a.n AS x, b.n AS y, list_distinct(string_split(a.n, ' ')) AS wa, list_distinct(string_split(b.n, ' ')) AS wb FROM t a JOIN t b ON a.conv_id = b.conv_id AND a.role = 'user' AND b.role <> 'user' WHERE a.n <> '' AND b.n <> '')
 SELECT conv_id, turn, other FROM p WHERE contains(x, y) OR contains(y, x) OR len(list_intersect(wa, wb)) >= greatest(3, least(len(wa), len(wb)) // 2)""")
 def substring_pairs(spark, sf_dir):
     """User turns with the assistant turns that hold them, lie in them or share words with them."""
-    c = read(spark, sf_dir, "conversations").withColumn("n", text.normalize(F.expr("IF(role = 'user', left(text, 4), text)")))
+    c = read(spark, sf_dir, "conversations").withColumn("n", text.normalize(F.col("text")))
     a = c.filter("role = 'user'").select("conv_id", "turn", F.col("n").alias("x"))
     b = c.filter("role <> 'user'").select("conv_id", F.col("turn").alias("other"), F.col("n").alias("y"))
     return joins.substring_pairs(a, b, ["conv_id"], "x", "y").select("conv_id", "turn", "other")

@@ -13,9 +13,9 @@ from .registry import query, read
 
 
 def _sentences(spark, sf_dir):
-    """Up to six sentences of each assistant turn in an array."""
+    """The sentences of each assistant turn in an array."""
     c = read(spark, sf_dir, "conversations").filter("role <> 'user' AND text IS NOT NULL")
-    return c.select("conv_id", "turn", F.slice(F.filter(F.split("text", r"(?<=[.?!])\s+"), lambda x: F.trim(x) != ""), 1, 6).alias("spans"))
+    return c.select("conv_id", "turn", F.filter(F.split("text", r"(?<=[.?!])\s+"), lambda x: F.trim(x) != "").alias("spans"))
 
 
 @query()
@@ -27,11 +27,11 @@ def usable_spans(spark, sf_dir):
 
 @query()
 def usable_words(spark, sf_dir):
-    """The words of a sentence between words that aren't in the script."""
-    s = _sentences(spark, sf_dir).select("conv_id", "turn", F.get("spans", F.lit(0)).alias("ref"))
+    """The words of every sentence between words that aren't in the script."""
+    s = _sentences(spark, sf_dir).select("conv_id", "turn", F.posexplode("spans").alias("part", "ref"))
     noise = F.array(*[F.lit(w) for w in ("zzz", "qqq", "xxx")])
-    tokens = F.concat(noise, F.slice(F.split("ref", r"\s+"), 1, 12), noise)
-    return s.select("conv_id", "turn", refine.usable_words_of(tokens, "ref").alias("s")).select("conv_id", "turn", "s.*")
+    tokens = F.concat(noise, F.split("ref", r"\s+"), noise)
+    return s.select("conv_id", "turn", "part", refine.usable_words_of(tokens, "ref").alias("s")).select("conv_id", "turn", "part", "s.*")
 
 
 @query()
@@ -39,7 +39,7 @@ def validated_takes(spark, sf_dir):
     """Roles of the repeated turns of conversations, judged by their assistant turns' sentences."""
     c = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
     rank = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "text")).cast("long")
-    rows = c.select("conv_id", rank.alias("rank"), F.expr("left(text, 80)").alias("text"))
+    rows = c.select("conv_id", rank.alias("rank"), "text")
     twice = rows.select("conv_id", (F.col("rank") * 2).alias("rank"), "text").unionByName(rows.filter("rank % 2 = 1").select("conv_id", (F.col("rank") * 2 + 1).alias("rank"), "text"))
     links = align.repetition_links(twice, ["conv_id"], "rank", "text")
     node = lambda x: F.concat_ws(":", F.col("conv_id").cast("string"), F.col(x).cast("string"))
@@ -49,11 +49,18 @@ def validated_takes(spark, sf_dir):
     return refine.validated_takes(takes, refs, ["conv_id"], "repeat", "rank", "text", "phrase").drop("repeat")
 
 
-@query()
+_NORM = "trim(regexp_replace(lower(strip_accents(coalesce({0}, ''))), '[^a-z0-9]+', ' ', 'g'))"
+_TURN = f"""c AS (SELECT conv_id, turn, [x FOR x IN string_split({_NORM.format('text')}, ' ') IF x <> ''] AS t FROM conversations WHERE role <> 'user' AND text IS NOT NULL)"""
+
+
+@query(f"""WITH RECURSIVE {_TURN}, g AS (SELECT conv_id, turn, t, [t[k] FOR k IN range(1, len(t) + 1, 3)] AS target FROM c),
+m AS (SELECT conv_id, turn, t, target, 0 AS i, 0 AS used, []::INT[] AS hits FROM g UNION ALL SELECT conv_id, turn, t, target, i + 1, CASE WHEN t[i + 1] = target[used + 1] THEN used + 1 ELSE used END, CASE WHEN t[i + 1] = target[used + 1] THEN list_append(hits, i) ELSE hits END FROM m WHERE i < len(t))
+SELECT conv_id, turn, CASE WHEN used = len(target) AND used > 0 THEN hits ELSE [] END AS "at" FROM m WHERE i = len(t)""")
 def ordered_matches(spark, sf_dir):
-    """Words of a turn that use up its first three words in order."""
-    s = _sentences(spark, sf_dir).select("conv_id", "turn", text.tokenize(F.get("spans", F.lit(0))).alias("t"))
-    s = s.select("conv_id", "turn", F.transform("t", lambda x: F.array(x)).alias("groups"), F.slice("t", 1, 3).alias("target"))
+    """Words of a turn that use up every third of its words in order."""
+    c = read(spark, sf_dir, "conversations").filter("role <> 'user' AND text IS NOT NULL")
+    s = c.select("conv_id", "turn", text.tokenize(F.col("text")).alias("t"))
+    s = s.select("conv_id", "turn", F.transform("t", lambda x: F.array(x)).alias("groups"), F.filter("t", lambda x, i: i % 3 == 0).alias("target"))
     return s.select("conv_id", "turn", refine.ordered_matches("groups", "target").alias("at"))
 
 
