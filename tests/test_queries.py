@@ -92,8 +92,6 @@ def test_scores_and_plans():
     assert align.longest_run("a b c d".split(), "x b c y b c d".split()) == (3, 1)
     refs = ["the first sentence of the script is here", "a second one follows it now", "and the third ends everything we say"]
     rows = ["the first sentence of the script is here", "hmm well", "a second one follows it now and the third ends everything we say"]
-    out = align.align_session(rows, refs)
-    assert [(o["ref_start"], o["ref_end"], o["status"]) for o in out] == [(0, 0, "ANCHOR"), (None, None, "UNMATCHED"), (1, 2, "ANCHOR")]
     assert align.gap_plan(["a second one follows"], refs[1:2])[0][:3] == (0, 0, 1)
     assert align.merge_by_tolerance([0, 10, 20, 31], [4, 16, 23, 36]) == [(0, 4), (20, 16), (31, 36)]
     assert align.cover_sentence("one two three", [(1, "one"), (2, "two three"), (3, "four")]) == ([1, 2], 1.0)
@@ -178,7 +176,7 @@ def test_edit_timeline_of_a_recording(spark):
     words = spark.createDataFrame(words, "session bigint, word_no int, word string, start double, end double")
     script = ["Welcome to this short film about the old town.", "We will walk along the river and see the bridge today.", "Never said at all anywhere.", "Thank you all for watching it."]
     refs = spark.createDataFrame([(1, i, x) for i, x in enumerate(script)], "session bigint, ref_no bigint, text string")
-    rows = plan.matched_rows(plan.repeated_takes(plan.working_rows(words)), refs).cache()
+    rows = plan.matched_rows(plan.repeated_takes(plan.working_rows(words), refs), refs)
     got = [(r["kind"], r["take"], r["ref_start"], r["ref_end"]) for r in rows.orderBy("row_no").collect()]
     pause = ("silence", None, None, None)
     assert got == [("speech", None, 0, 0), pause, ("speech", "PRE_REPEAT_ELIMINATED", None, None), pause, ("speech", "LAST_TAKE_KEEP", 1, 1), pause, ("speech", None, None, None), pause, ("speech", None, 3, 3)]

@@ -141,17 +141,26 @@ def occurrences(c: Column, part: str) -> Column:
     return ((F.length(c) - F.length(F.replace(c, F.lit(part), F.lit("")))) / len(part)).cast("int")
 
 
-def guess_language(c: Column) -> Column:
-    """The language with the highest score: marker words as they stand in the lower-case text, and 1.5 for each of
-    its own letters; the first listed on ties, so also for blank texts."""
+def language_scores(c: Column) -> dict[str, Column]:
+    """Per language the marker words as they stand in the lower-case text, and 1.5 for each of its own letters."""
     low = F.lower(F.coalesce(c, F.lit("")))
     score = {}
     for lang, (words, letters) in LANGUAGES.items():
         score[lang] = sum((occurrences(low, w) for w in words), F.lit(0.0))
         if letters:
             score[lang] += 1.5 * F.length(F.regexp_replace(low, f"[^{letters}]", ""))
-    best = F.greatest(*score.values())
-    out = F.lit(next(iter(LANGUAGES)))
-    for lang in reversed(LANGUAGES):
-        out = F.when(score[lang] == best, F.lit(lang)).otherwise(out)
+    return score
+
+
+def first_highest(scores: dict[str, Column]) -> Column:
+    """The name with the highest score, the first listed on ties."""
+    best, names = F.greatest(*scores.values()), list(scores)
+    out = F.lit(names[0])
+    for name in reversed(names):
+        out = F.when(scores[name] == best, F.lit(name)).otherwise(out)
     return out
+
+
+def guess_language(c: Column) -> Column:
+    """The language with the highest score, the first listed on ties, so also for blank texts."""
+    return first_highest(language_scores(c))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from timeloom.functions import extract, text, urls
-from timeloom.operators import align
+from timeloom.operators import align, regions
+from timeloom.operators.durable import durable
 from timeloom.sources import html
 
 from .registry import query, read
@@ -78,9 +79,12 @@ def token_align(spark, sf_dir):
 def align_rows(spark, sf_dir):
     """User turns of each conversation aligned to the sentences of its assistant turns."""
     c = read(spark, sf_dir, "conversations")
-    rows = c.filter("role = 'user'").select("conv_id", "turn", "text")
+    rows = regions.numbered(c.filter("role = 'user'").select("conv_id", "turn", "text"), "conv_id", "turn", "row_no").drop("turn")
     refs = c.filter("role <> 'user'").select("conv_id", F.posexplode(F.split("text", r"(?<=[.?!])\s+")).alias("part", "text"), "turn").select("conv_id", (F.col("turn") * 1000 + F.col("part")).alias("ref_no"), "text")
-    return align.align_sessions(rows, refs, "conv_id", "turn", "ref_no")
+    refs = regions.numbered(refs, "conv_id", "ref_no", "ref_pos").drop("ref_no")
+    found = durable(regions.align_regions(rows, refs, "conv_id"))
+    again = regions.recovered(found.join(rows, ["conv_id", "row_no"]), refs, "conv_id", F.lit(True))
+    return again.select("conv_id", "row_no", "ref_start", "ref_end", "score", "status")
 
 
 @query("""SELECT doc_id, len(regexp_extract_all(text, '[0-9]+(?:[.,][0-9]+)*'))::BIGINT AS n_numbers, len(regexp_extract_all(text, '[$€£] ?[0-9]+(?:[.,][0-9]+)*'))::BIGINT AS n_money FROM documents""")
