@@ -20,6 +20,8 @@ def _latin_pairs() -> tuple[str, str]:
 
 
 _FROM, _TO = _latin_pairs()
+#: Letters that lose an accent and become one of a to z.
+ACCENTED = _FROM
 
 
 def strip_accents(c: Column) -> Column:
