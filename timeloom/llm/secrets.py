@@ -44,9 +44,13 @@ CONTEXT, AROUND = 48, 256
 #: random key is stored as literals, a byte each; a longer one or one of few symbols is coded in less, and so is
 #: its random order. Strings made of known parts cost far less than theirs.
 NOVELTY = 0.9
-#: Short words outside the dictionary are literals too. Strings of fewer than two digits are words when this share
-#: of their letter pairs is known from the identifiers and the text around.
-KNOWN_PAIRS = 0.75
+#: Short words outside the dictionary are literals too. A string counts as words when this share of its letter pairs
+#: is known from the identifiers and the text around, or, if it is made of parts, when PART_LETTERS of its letters
+#: stand in parts of PART or more whose pairs are known to the share KNOWN_IN_PARTS and letters and digits take turns
+#: TURNS times at most. Parts end at signs, digits and capitals behind small letters; random strings fall into parts
+#: too short to count, or change between letters and digits too often.
+KNOWN_PAIRS, PART, PART_LETTERS, KNOWN_IN_PARTS, TURNS = 0.75, 4, 0.75, 0.5, 4
+_PART, _RUN = re.compile("[A-Z]?[a-z]+|[A-Z]+"), re.compile("[A-Za-z]+|[0-9]+")
 #: White space between lines of one key.
 LINE_BREAK = re.compile(r"[ \t]*\r?\n[ \t]*")
 #: Identifier dictionary of the compressor: common names of code and configuration, separated by spaces.
@@ -100,9 +104,15 @@ _PAIRS = frozenset(_letter_pairs(IDENTIFIERS.decode().replace("abcdefghijklmnopq
 
 
 def _is_words(value: str, around: str) -> bool:
-    pairs = _letter_pairs(value)
     known = _PAIRS.union(_letter_pairs(around))
-    return sum(p in known for p in pairs) >= KNOWN_PAIRS * len(pairs)
+    share = lambda x: sum(p in known for p in _letter_pairs(x)) / max(len(x) - 1, 1)
+    parts = _PART.findall(value)
+    if len(parts) == 1 and len(re.findall("[0-9]", value)) < 2:
+        return share(parts[0]) >= KNOWN_PAIRS
+    if len(_RUN.findall(re.sub("[^0-9A-Za-z]", "", value))) > TURNS + 1:
+        return False
+    words = sum(len(x) for x in parts if len(x) >= PART and share(x) >= KNOWN_IN_PARTS)
+    return words >= PART_LETTERS * sum(map(len, parts))
 
 
 def incompressible(value: str, around: str) -> bool:
@@ -130,7 +140,7 @@ def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         if not sensitive or any(b[0] < e and b[2] > s for b in base[at : at + 8]):
             continue
         value, around = m[0], text[max(0, s - AROUND) : s] + " " + text[e : e + AROUND]
-        if not re.search("[A-Za-z]", value) or len(re.findall("[0-9]", value)) < 2 and _is_words(value, around):
+        if not re.search("[A-Za-z]", value) or _is_words(value, around):
             continue
         if incompressible(value, around):
             out.append((s, 3, e))
