@@ -274,16 +274,28 @@ FINDERS: list[tuple[str, re.Pattern, Callable, int]] = [
 _ANY_DIGIT = re.compile("[0-9]")
 
 
-def _parts(text: str, start: int, most: int) -> Iterator[tuple[int, int]]:
-    """(start, end) of the runs of whole digit groups of at most ``most`` digits, first starts and longest ends first."""
+def _parts(text: str, start: int, least: int, most: int, first_only: bool = False) -> Iterator[tuple[int, int]]:
+    """(start, end) of the runs of whole digit groups of ``least`` to ``most`` digits, first starts and longest ends
+    first. Unless ``first_only``, just those with a valid check digit: sums of the digits, each second one doubled,
+    are kept for both parities, so a run is tried by one difference."""
     groups = [(m.start() + start, m.end() + start) for m in _NUMBERS.finditer(text)]
-    for i, (s, _) in enumerate(groups):
-        ends, digits = [], 0
-        for a, b in groups[i:]:
-            digits += b - a
+    upto, sums = [0], ([0], [0])
+    for a, b in groups:
+        for c in text[a - start : b - start]:
+            d, odd = int(c), len(sums[0]) % 2
+            doubled = d * 2 - 9 * (d > 4)
+            sums[odd].append(sums[odd][-1] + d)
+            sums[1 - odd].append(sums[1 - odd][-1] + doubled)
+        upto.append(upto[-1] + b - a)
+    for i, (s, _) in enumerate(groups[:1] if first_only else groups):
+        ends = []
+        for j in range(i, len(groups)):
+            digits = upto[j + 1] - upto[i]
             if digits > most:
                 break
-            ends.append(b)
+            held = sums[upto[j + 1] % 2]  # the last digit counts once
+            if digits >= least and (first_only or (held[upto[j + 1]] - held[upto[i]]) % 10 == 0):
+                ends.append(groups[j][1])
         yield from ((s, e) for e in reversed(ends))
 
 
@@ -310,10 +322,10 @@ def pseudonymise(text: str, key: bytes, inverse: bool = False) -> tuple[str, lis
             if not most:
                 take(s, e, kind, change)
             elif m[0][0] == "+":  # such a number starts at its mark
-                any(take(s, end, kind, change) for start, end in _parts(m[0], s, most) if start == s + 1)
+                any(take(s, end, kind, change) for _, end in _parts(m[0], s, 8, most, first_only=True))
             else:
                 reached = s
-                for start, end in _parts(m[0], s, most):
+                for start, end in _parts(m[0], s, 13, most):
                     if start >= reached and take(start, end, kind, change):
                         reached = end
     if not found:
