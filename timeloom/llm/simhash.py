@@ -16,6 +16,7 @@ gives an empty result; other columns of the input are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,8 @@ from .winnow import gram_hashes, grouped_texts, word_hashes
 
 #: Distinct fingerprints that one subtree of the frontier should hold about.
 SUBTREE = 1 << 15
+#: Bits of the subtrees' prefixes at most; a fingerprint is copied to the prefixes within the budget of its own.
+MOST_DEPTH = 28
 #: Node pairs handled at once in a task, leaf pairs compared at once, and the product of node sizes at which
 #: leaves are compared.
 CHUNK, COMPARED, LEAVES = 1 << 17, 1 << 21, 64
@@ -164,8 +167,8 @@ def fingerprint_components(fps: DataFrame, budget: int = 4, subtree: int = SUBTR
     total = fps.agg(F.count("*").alias("n"), *[F.sum(F.shiftrightunsigned("fp", b).bitwiseAND(F.lit(1))).alias(f"b{b}") for b in range(64)]).first()
     n = total["n"]
     order = sorted(range(64), key=lambda b: (abs((total[f"b{b}"] or 0) / max(n, 1) - 0.5), b))  # most even bit first
-    depth = max(0, min(16, int(np.ceil(np.log2(max(n / subtree, 1))))))
-    masks = [m for m in range(1 << depth) if bin(m).count("1") <= budget]
+    depth = max(0, min(MOST_DEPTH, int(np.ceil(np.log2(max(n / subtree, 1))))))
+    masks = [sum(1 << b for b in bits) for k in range(min(budget, depth) + 1) for bits in combinations(range(depth), k)]
     prefix = F.lit(0).cast("long")
     for i, b in enumerate(order[:depth]):
         prefix = prefix.bitwiseOR(F.shiftleft(F.shiftrightunsigned("fp", b).bitwiseAND(F.lit(1)), depth - 1 - i))
@@ -201,12 +204,19 @@ def fingerprint_components(fps: DataFrame, budget: int = 4, subtree: int = SUBTR
 
 def simhash_components(rows: DataFrame, budget: int = 4) -> DataFrame:
     """Rows with ``doc_id`` and ``fp`` plus ``component_id``, the smallest doc_id within reach."""
-    by_fp = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    by_fp = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")))
     linked = fingerprint_components(by_fp.select("fp"), budget)
     whole = by_fp.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = whole.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = durable(whole.join(least, "component").select("fp", "component_id"))
-    return small_join(rows, named, ["fp"])
+    named = durable(whole.join(least, "component").select("fp", "component_id", "n"))
+    total, n_fps = named.agg(F.sum("n"), F.count("*")).first()
+    if n_fps <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(named.drop("n")), "fp")
+    # fingerprints with a thousandth of the rows each, so a thousand at most, come by a broadcast; the rest is even
+    often = named.filter(F.col("n") > total / 1000).drop("n").withColumn("_often", F.lit(True))
+    marked = rows.join(F.broadcast(often), "fp", "left")
+    rest = marked.filter("_often IS NULL").drop("component_id").join(named.filter(F.col("n") <= total / 1000).drop("n"), "fp")
+    return marked.filter("_often").unionByName(rest).drop("_often")
 
 
 # ------------------------------------------------------------------- near duplicates by word-shingle similarity
