@@ -21,6 +21,7 @@ result. Further columns of the input are ignored by ``quality_statistics`` and k
 from __future__ import annotations
 
 import math
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,7 +37,9 @@ STATISTICS = {"x_words": 0.5, "x_length": 0.12, "x_symbols": 0.02, "x_lines": 0.
 BIN = 1e-3
 QUANTILE = 0.99999
 MIN_ROWS = 60
-MAX_STEPS = 10
+#: Concentration steps at most. A group ends when neither start's log determinant falls by SETTLED any more; the
+#: groups that haven't ended after so many steps raise a warning with their number.
+MAX_STEPS, SETTLED = 30, 1e-3
 
 
 # ---------------------------------------------------------------------------------------------- statistics
@@ -213,18 +216,24 @@ def mcd_estimates(rows: DataFrame, xs: list[str], floors: list[float], share: fl
         "grp", F.lit(0).alias("start"), *[F.col(f"med_{i}").alias(f"m_{i}") for i in range(p)],
         *[((F.col(f"mad_{i}") ** 2) if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i, j in pairs],
     )
-    state = durable(_factored(mad_start.unionByName(tanh_start), ["grp", "start"], floors))
-    before = math.inf
-    for _ in range(max_steps):  # concentration steps
-        d = small_join(rows, state, key, rows=2 * n_groups).select("grp", "start", *xs, _distance(xs).alias("d2"))
-        limit = _order_statistic(d, ["grp", "start"], F.sqrt("d2"), share, "limit")
-        inner = small_join(d, limit, ["grp", "start"], rows=2 * n_groups).filter(F.sqrt("d2") < F.col("limit"))
-        state = durable(_factored(_moments(inner, ["grp", "start"], xs), ["grp", "start"], floors))
-        total = state.agg(F.sum("logdet")).first()[0] or 0.0
-        if abs(before - total) < 1e-3 * n_groups:
+    ids = ["grp", "start"]
+    open_ = durable(_factored(mad_start.unionByName(tanh_start), ids, floors).withColumn("fell", F.lit(True)))
+    columns, ended, left = open_.columns, [], 1
+    for step in range(max_steps):  # concentration steps of the groups that still change
+        d = small_join(rows, open_, key, rows=2 * n_groups).select(*ids, *xs, _distance(xs).alias("d2"))
+        limit = _order_statistic(d, ids, F.sqrt("d2"), share, "limit")
+        inner = small_join(d, limit, ids, rows=2 * n_groups).filter(F.sqrt("d2") < F.col("limit"))
+        before = open_.select(*ids, F.col("logdet").alias("before"))
+        fell = F.col("before") - F.col("logdet") >= SETTLED if step else F.lit(True)  # the starts aren't halves yet
+        state = durable(_factored(_moments(inner, ids, xs), ids, floors).join(before, ids).withColumn("fell", fell).select(*columns))
+        ended.append(state.filter(~F.col("fell")))
+        open_ = state.filter("fell")
+        left = open_.count()
+        if not left:
             break
-        before = total
-    best = state.withColumn("_r", F.row_number().over(Window.partitionBy("grp").orderBy("logdet", "start"))).filter("_r = 1").drop("_r", "start")
+    if left:
+        warnings.warn(f"{left} of {2 * n_groups} concentrations still fell after {max_steps} steps", stacklevel=2)
+    best = reduce(DataFrame.unionByName, ended, open_).drop("fell").withColumn("_r", F.row_number().over(Window.partitionBy("grp").orderBy("logdet", "start"))).filter("_r = 1").drop("_r", "start")
     # consistency and one reweighting step
     q = chi2_quantile(0.975, p)
     d = small_join(rows, best, key, rows=n_groups).select("grp", *xs, (_distance(xs) / consistency(share, p)).alias("d2")).filter(F.col("d2") <= q)
