@@ -76,6 +76,79 @@ def test_repeated_windows(spark):
     assert {x[0]: x[1] for x in got} == {i: plain_statistics(t)[4] for i, t in data}
 
 
+def plain_mcd(a, floors, share=0.5):
+    """The same starts, bins and steps over one group in numpy: squared distances of its rows, and the determinants."""
+    p, width = a.shape[1], quality.BIN
+
+    def reached(v, part):
+        n = np.sort(np.floor(v / width))
+        return (n[int(np.ceil(len(n) * part)) - 1] + 1) * width
+
+    def factor(mean, cov, scale=1.0):
+        return mean, np.linalg.cholesky(cov * scale + np.diag(np.square(floors)))
+
+    def d2(x, mean, low):
+        return np.square(np.linalg.solve(low, (x - mean).T)).sum(axis=0)
+
+    med = np.array([reached(a[:, i], 0.5) for i in range(p)])
+    mad = np.array([1.4826 * reached(abs(a[:, i] - med[i]), 0.5) + floors[i] / 2 for i in range(p)])
+    scores = np.tanh((a - med) / mad)
+    cov = np.cov(scores.T, bias=True)
+    spread = np.sqrt(np.diag(cov) + 1e-6)
+    start = cov / np.outer(spread, spread) * np.outer(mad, mad) * np.where(np.eye(p, dtype=bool), 1.0, 0.99)
+    found = []
+    for mean, low in (factor(med, np.diag(mad**2)), factor(med, start)):
+        before = None
+        for _ in range(quality.MAX_STEPS):
+            d = np.sqrt(d2(a, mean, low))
+            inner = a[d < reached(d, share)]
+            mean, low = factor(inner.mean(axis=0), np.cov(inner.T, bias=True))
+            det = 2 * np.log(np.diag(low)).sum()
+            if before is not None and before - det < quality.SETTLED:
+                break
+            before = det
+        found.append((det, len(found), mean, low))
+    _, _, mean, low = min(found, key=lambda f: f[:2])
+    inner = a[d2(a, mean, low) / quality.consistency(share, p) <= quality.chi2_quantile(0.975, p)]
+    mean, low = factor(inner.mean(axis=0), np.cov(inner.T, bias=True), quality.consistency(0.975, p))
+    return d2(a, mean, low)
+
+
+def test_mcd_against_plain_code(spark):
+    """Several groups at once, clean, with a far and a near cluster, and with a constant statistic."""
+    r = np.random.default_rng(12)
+    floors = [0.01, 0.02, 0.05]
+    groups = {}
+    for g, (n, bad, shift) in enumerate([(120, 0, 0), (300, 60, 9), (260, 100, 3), (90, 20, -6), (64, 5, 2)]):
+        a = r.normal(size=(n, 3)) @ r.normal(size=(3, 3)) * [1.0, 0.3, 2.0]
+        a[:bad] += shift
+        if g == 3:
+            a[:, 2] = 0.25
+        groups[f"g{g}"] = a
+    df = spark.createDataFrame([(g, i, *map(float, x)) for g, a in groups.items() for i, x in enumerate(a)], "grp string, i int, x double, y double, z double")
+    est = quality.mcd_estimates(df, ["x", "y", "z"], floors)
+    got = df.join(est, "grp").select("grp", "i", quality._distance(["x", "y", "z"]).alias("d"))
+    want = {(g, i): d for g, a in groups.items() for i, d in enumerate(plain_mcd(a, floors))}
+    cut = quality.chi2_quantile(quality.QUANTILE, 3)
+    for g, i, d in got.collect():
+        assert d == pytest.approx(want[g, i], rel=1e-6, abs=1e-6) and (d <= cut) == (want[g, i] <= cut)
+    assert sum(d > cut for d in want.values()) > 60
+
+
+def test_verdicts_with_estimates(spark):
+    """``kept`` and ``distance2`` of documents whose pools are large enough, against the plain estimate."""
+    texts_ = [prose(40 + i % 70, 300 + i) for i in range(170)] + [" ".join("w%d* x&&& y$$$" % j for j in range(20)) for _ in range(9)]
+    data = spark.createDataFrame([(i, t, "en", "s0") for i, t in enumerate(texts_)], "doc_id bigint, text string, lang string, source string")
+    stats = quality.quality_statistics(data)
+    judged = {r["doc_id"]: r for r in quality.quality_verdicts(stats).collect()}
+    fit = [r for r in stats.collect() if not r["base_failed"]]
+    d2 = dict(zip([r["doc_id"] for r in fit], plain_mcd(np.array([[r[x] for x in quality.STATISTICS] for r in fit]), list(quality.STATISTICS.values())), strict=True))
+    cut = quality.chi2_quantile(quality.QUANTILE, len(quality.STATISTICS))
+    for i, d in d2.items():
+        assert judged[i]["distance2"] == pytest.approx(d, rel=1e-6, abs=1e-6) and judged[i]["kept"] == (d <= cut)
+    assert {i for i, r in judged.items() if not r["kept"]} == set(range(170, 179)) | {r["doc_id"] for r in stats.collect() if r["base_failed"]}
+
+
 def test_mcd_finds_outliers(spark):
     r = np.random.default_rng(5)
     a = r.normal(size=(400, 2)) @ np.array([[1.0, 0.6], [0.0, 0.8]])
@@ -364,6 +437,14 @@ def plain_survivors(data):
     return [d[0] for i, d in enumerate(data) if find(i) == i]
 
 
+def test_components_beyond_broadcasts(spark, docs, rows, monkeypatch):
+    """The join by frequent and rare fingerprints gives what the broadcast gives."""
+    fps = simhash.with_fingerprints(docs).select("row.doc_id", "fp")
+    want = bag(map(tuple, simhash.simhash_components(fps).select("doc_id", "fp", "component_id").collect()))
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", 0)
+    assert bag(map(tuple, simhash.simhash_components(fps).select("doc_id", "fp", "component_id").collect())) == want and len(want) == len(rows)
+
+
 @pytest.mark.parametrize("hot", [8, 1])
 def test_near_duplicates_are_exact(spark, monkeypatch, hot):
     """Pairs on both sides of similarity 0.8, at it, and a passage that many texts share."""
@@ -523,7 +604,8 @@ def test_novel_keys_of_any_length():
                 text = around % "".join(r.choice(letters) for _ in range(n))
                 hits += [(s, e) for s, _, e in secrets.novel_spans(text, [])] == [(around.index("%"), around.index("%") + n)]
             assert hits >= (17 if n < 24 else 19), (name, n, hits)
-    for known in ("getUserAccountBalanceForCustomer", "photosynthesis_and_chlorophyll", "antidisestablishmentarianism", "/usr/local/share/applications", "a1b2" * 20, "config_value_12_" * 9, "-" * 70):
+    names = "my_super_long_identifier_name_here2024 Donaudampfschifffahrtsgesellschaft12 v1_2_3_release_candidate_final_build zusammengesetzteWoerterOhneEnde getUserAccountSettings2 customer_order_line_item_2023_backup session_timeout_in_seconds_30 DEFAULT_MAXIMUM_CONNECTIONS_PER_HOST application-production-config-v2"
+    for known in (*names.split(), "getUserAccountBalanceForCustomer", "photosynthesis_and_chlorophyll", "antidisestablishmentarianism", "/usr/local/share/applications", "a1b2" * 20, "config_value_12_" * 9, "-" * 70):
         assert secrets.novel_spans(around % known, []) == []
     key = ["".join(r.choice(alphabets["base64"]) for _ in range(64)) for _ in range(12)]
     text = "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(key) + "\n-----END RSA PRIVATE KEY-----\n"
@@ -660,6 +742,29 @@ def test_queries_match_their_sql(spark, query, sql):
 
 
 # --------------------------------------------------------------------------------------------- pseudonyms
+def test_digit_runs():
+    """Runs found by running sums against trying every run in full; long rows of digits end soon."""
+    import time
+
+    r = random.Random(19)
+    for _ in range(300):
+        text = " ".join("".join(r.choice("0123456789") for _ in range(r.randrange(1, 6))) for _ in range(r.randrange(1, 14)))
+        groups = [(m.start(), m.end()) for m in re.finditer("[0-9]+", text)]
+        want = []
+        for i, (s, _) in enumerate(groups):
+            for _, e in reversed(groups[i:]):
+                digits = [int(c) for c in text[s:e] if c.isdigit()]
+                if 13 <= len(digits) <= 19 and pseudonyms.luhn_check(digits[:-1]) == digits[-1]:
+                    want.append((s, e))
+        assert list(pseudonyms._parts(text, 0, 13, 19)) == want
+    began = time.perf_counter()
+    for text in (" ".join(r.choice("0123456789") for _ in range(50_000)), "+1 " + " ".join("7" * 20_000), "1" * 100_000):
+        new, spans = pseudonyms.pseudonymise(text, b"key")
+        back, _ = pseudonyms.pseudonymise(new, b"key", inverse=True)
+        assert len(new) == len(text) and (back == text or spans)
+    assert time.perf_counter() - began < 12
+
+
 def test_pseudonyms(docs, rows, empty):
     f = lambda t, **k: pseudonyms.pseudonymise(t, b"key", **k)
     cases = {
