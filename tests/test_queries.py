@@ -93,7 +93,6 @@ def test_scores_and_plans():
     refs = ["the first sentence of the script is here", "a second one follows it now", "and the third ends everything we say"]
     rows = ["the first sentence of the script is here", "hmm well", "a second one follows it now and the third ends everything we say"]
     assert align.gap_plan(["a second one follows"], refs[1:2])[0][:3] == (0, 0, 1)
-    assert align.merge_by_tolerance([0, 10, 20, 31], [4, 16, 23, 36]) == [(0, 4), (20, 16), (31, 36)]
     assert align.cover_sentence("one two three", [(1, "one"), (2, "two three"), (3, "four")]) == ([1, 2], 1.0)
     where, ratio = align.locate_snippet("second one", "The first, then the SECOND one!")
     assert ratio == 1.0 and "the first then the second one"[where:].startswith("second one")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .layout import fold
+
 
 def neighbours(points: DataFrame, marks: DataFrame, keys: list[str], at: str, mark: str, value: str) -> DataFrame:
     """Adds for each point the mark at or before it, the one at or after it, and the nearer (ties: the earlier).
@@ -43,3 +48,33 @@ def with_neighbours(df: DataFrame, keys: list[str], order: list[str], known: str
         "prev_known": F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
         "next_known": F.first(v, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)),
     })
+
+
+def merge_tolerance(left: DataFrame, right: DataFrame, keys: list[str], at: str, left_id: str, right_id: str, tolerance: float) -> DataFrame:
+    """(keys, left_id, right_id, at): rows of two sides paired within the tolerance in order, each used once.
+
+    Both sides run along the axis together: the first open rows of either side pair when they are within the
+    tolerance, else the earlier one stays alone (null on the other side). Only one side can have open rows at a
+    time, and those are no older than the tolerance, so a key of any length streams through one pass. Rows at the
+    same place go by their ids; null places stay alone.
+    """
+    side = lambda df, own, other: df.select(*keys, F.col(at).alias("at"), F.col(own).alias(own), F.lit(None).cast((left if other == left_id else right).schema[other].dataType).alias(other))
+    both = side(left, left_id, right_id).unionByName(side(right, right_id, left_id))
+
+    def step(rows: Iterator[dict]) -> Iterator[dict]:
+        held: deque[dict] = deque()
+        for r in rows:
+            if r["at"] is None:
+                yield r
+                continue
+            while held and held[0]["at"] < r["at"] - tolerance:
+                yield held.popleft()
+            if held and (held[0][left_id] is None) != (r[left_id] is None):
+                first = held.popleft()
+                yield r | {"at": first["at"], left_id: first[left_id] if r[left_id] is None else r[left_id], right_id: first[right_id] if r[right_id] is None else r[right_id]}
+            else:
+                held.append(r)
+        yield from held
+
+    kinds = {f.name: f.dataType.simpleString() for f in both.schema}
+    return fold(both, keys, ["at", left_id, right_id], ", ".join(f"{c} {kinds[c]}" for c in (*keys, left_id, right_id, "at")), step)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import alignment, edits, locations, refinement, registry, rows, texts, timeline, values  # noqa: F401  the modules register their queries
+from . import alignment, edits, locations, matches, refinement, registry, rows, texts, timeline, values  # noqa: F401  the modules register their queries
 
 
 def queries() -> dict[str, Callable]:
