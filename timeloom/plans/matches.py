@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from timeloom.functions.display import MONTHS
 from timeloom.functions.text import tokenize
-from timeloom.operators import nearest, phrases
+from timeloom.operators import extraction, nearest, phrases, snippets, stitch
 
 from .registry import query, read
 
@@ -45,3 +46,54 @@ def named_spans(spark, sf_dir):
     names = part(1, 4, "opening").unionByName(part(3, 3, "middle")).unionByName(part(4, 2, "pair"))
     docs = read(spark, sf_dir, "documents").select("doc_id", tokenize(F.col("text")).alias("t"))
     return phrases.phrase_matches(docs, ["doc_id"], "t", names).select("doc_id", F.col("at").alias("at_token"), "n", "phrase", "label")
+
+
+_STYLES = [("\"", "\""), ("'", "'"), ("“", "”"), ("„", "“"), ("«", "»"), ("‹", "›"), ("‚", "‘"), ("‘", "’"), ("<<", ">>")]
+_SQL_STYLES = "[" + ", ".join("['{}', '{}']".format(a.replace("'", "''"), b.replace("'", "''")) for a, b in _STYLES) + "]"
+_FR = "['janvier', 'février', 'mars', 'avril', 'mai', 'juin', 'juillet', 'août', 'septembre', 'octobre', 'novembre', 'décembre']"
+
+
+@query(f"""WITH o AS (SELECT o_orderkey, o_orderkey % 5 AS k, o_orderkey % 3 AS n, {_SQL_STYLES}[o_orderkey % 9 + 1] AS q, o_orderdate::DATE AS d, year(o_orderdate)::VARCHAR AS y, {_FR}[month(o_orderdate)] AS m FROM orders),
+p AS (SELECT *, CASE k WHEN 0 THEN day(d) || ' ' || m || ' ' || y WHEN 1 THEN strftime(d, '%d/%m/%Y') WHEN 2 THEN strftime(d, '%Y-%m-%d') WHEN 3 THEN m || ' ' || y ELSE y END AS dt, CASE n WHEN 0 THEN '12,5 %' WHEN 1 THEN '270 000 dollars' ELSE '45' END AS nu, q[1] || 'words of the clerk' || q[2] AS qu FROM o),
+x AS (SELECT *, 3 AS a, 3 + length(dt) + 11 AS b, 3 + length(dt) + 11 + length(nu) + 5 AS c FROM p),
+s AS (SELECT o_orderkey, 'date' AS kind, a AS st, dt AS value FROM x
+ UNION ALL SELECT o_orderkey, 'date', a + length(dt) - length(m) - 5, m || ' ' || y FROM x WHERE k = 0
+ UNION ALL SELECT o_orderkey, 'date', CASE WHEN k = 2 THEN a ELSE a + length(dt) - 4 END, y FROM x WHERE k < 4
+ UNION ALL SELECT o_orderkey, 'number', b, nu FROM x UNION ALL SELECT o_orderkey, 'number', b, '270' FROM x WHERE n = 1 UNION ALL SELECT o_orderkey, 'number', b + 4, '000 dollars' FROM x WHERE n = 1
+ UNION ALL SELECT o_orderkey, 'quote', c, qu FROM x)
+SELECT o_orderkey, kind, st::INT AS start, (st + length(value))::INT AS "end", value FROM s""")
+def spanned_values(spark, sf_dir):
+    """Places of dates, numbers and quotes in sentences made of the orders, in five, three and nine forms."""
+    k, d = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    month, year = F.element_at(F.array(*map(F.lit, MONTHS["fr"])), F.month(d)), F.year(d).cast("string")
+    date = F.when(k % 5 == 0, F.concat_ws(" ", F.dayofmonth(d).cast("string"), month, year)).when(k % 5 == 1, F.date_format(d, "dd/MM/yyyy")).when(k % 5 == 2, F.date_format(d, "yyyy-MM-dd")).when(k % 5 == 3, F.concat_ws(" ", month, year)).otherwise(year)
+    number = F.when(k % 3 == 0, "12,5 %").when(k % 3 == 1, "270 000 dollars").otherwise("45")
+    style = F.element_at(F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in _STYLES]), (k % 9 + 1).cast("int"))
+    sentence = F.concat(F.lit("On "), date, F.lit(" they paid "), number, F.lit(" for "), style[0], F.lit("words of the clerk"), style[1], F.lit("."))
+    texts = read(spark, sf_dir, "orders").select("o_orderkey", sentence.alias("text"))
+    return extraction.text_spans(texts, ["o_orderkey"], "text")
+
+
+@query()
+def snippet_places(spark, sf_dir):
+    """Where the middle of a turn, with every third word misspelt, stands in the turn."""
+    c = read(spark, sf_dir, "conversations").filter("text IS NOT NULL").select("conv_id", "turn", "text", F.split("text", r"\s+").alias("w"))
+    wrong = F.transform(F.slice("w", F.floor(F.size("w") / 3).cast("int") + 1, F.greatest(F.floor(F.size("w") / 3), F.lit(1)).cast("int")), lambda x, i: F.when(i % 3 == 2, F.reverse(x)).otherwise(x))
+    return c.select("conv_id", "turn", snippets.snippet_place(F.array_join(wrong, " "), F.col("text")).alias("p")).select("conv_id", "turn", "p.*")
+
+
+def _takes(spark, sf_dir):
+    """Turns of a conversation cut into sentences as a script, and read in pieces of five words, every third one kept."""
+    c = read(spark, sf_dir, "conversations").filter("text IS NOT NULL")
+    sentences = c.select("conv_id", "turn", F.posexplode(F.split("text", r"(?<=[.?!])\s+")).alias("part", "text")).select("conv_id", (F.col("turn") * 1000 + F.col("part")).alias("sentence_no"), "text")
+    pieces = c.select("conv_id", "turn", F.split("text", r"\s+").alias("w")).select("conv_id", "turn", F.explode(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / 5))).alias("i"), "w")
+    no = F.col("turn") * 1000 + F.col("i")
+    rows = pieces.select("conv_id", no.alias("row_no"), F.array_join(F.slice("w", (F.col("i") * 5 + 1).cast("int"), 5), " ").alias("text"), (no * 2.0).alias("start"), (F.col("i") % 3 == 0).alias("keep"))
+    return rows, sentences
+
+
+@query()
+def stitched_takes(spark, sf_dir):
+    """Dropped pieces of the turns that are taken back to cover sentences, in the order of the script."""
+    rows, sentences = _takes(spark, sf_dir)
+    return stitch.stitched(rows, sentences, "conv_id")
