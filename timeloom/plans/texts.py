@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 from timeloom.functions import extract, text, urls
 from timeloom.operators import align, regions
 from timeloom.operators.durable import durable
-from timeloom.sources import html
+from timeloom.sources import articles, html
 
 from .registry import query, read
 
@@ -170,6 +170,12 @@ def html_article(spark, sf_dir):
     return html.html_article(read(spark, sf_dir, "pages"), ["page_id"])
 
 
+@query()
+def article_metadata(spark, sf_dir):
+    """Best title, authors and date of pages from all sources of a page and its address."""
+    return articles.article_metadata(read(spark, sf_dir, "pages"), ["page_id"])
+
+
 @query(f"""WITH RECURSIVE t AS (SELECT conv_id, turn, role, list_distinct(regexp_extract_all(trim(regexp_replace(lower(strip_accents(coalesce(text, ''))), '[^a-z0-9]+', ' ', 'g')), '[a-z0-9]+')) AS tok FROM conversations),
 c AS (SELECT a.conv_id, a.turn, a.tok, b.turn AS other, list_intersect(b.tok, a.tok) AS hit, row_number() OVER (PARTITION BY a.conv_id, a.turn ORDER BY b.turn DESC) AS n FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.role = 'user' AND b.turn < a.turn WHERE a.role <> 'user'),
 r AS (SELECT conv_id, turn, tok, 0::BIGINT AS n, []::VARCHAR[] AS have, []::BIGINT[] AS picked, false AS done FROM t WHERE role <> 'user'

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -14,47 +15,105 @@ from pyspark.sql import types as T
 
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote td th figcaption pre".split())
 HIDDEN = frozenset("head style script noscript template".split())
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BOLD, ITALIC, UNDERLINE = frozenset(("b", "strong")), frozenset(("i", "em")), frozenset(("u", "ins"))
 
+#: Fixed signs of list items, and the prefix of classes that mark bullets.
+BULLET_SIGNS, CHECK_SIGNS, BULLET_CLASS = frozenset("•◦▪▫◾◽◉○◯◆◇"), frozenset("☐☑☒✅✔✓"), "li-bullet"
+STYLE_KINDS = ("bold", "italic", "underline")
+#: Characters of a styled part at least.
+PART_CHARS = 2
+
+
+def css_text(value: str) -> str:
+    """The text of a CSS string: escaped code points and quotes decoded, then entities."""
+    def point(m: re.Match) -> str:
+        code = int(m[1], 16)
+        return chr(code) if code <= 0x10FFFF else ""
+
+    return unescape(re.sub(r"\\([0-9a-fA-F]{1,6})\s?", point, value).replace('\\"', '"').replace("\\'", "'"))
+
+
+def class_rules(source: str) -> dict[str, tuple[set[str], str]]:
+    """Per class of the page's style rules the kinds of style it sets and the text of its ``content``; of several
+    rules the last one counts."""
+    rules = {}
+    for name, body in re.findall(r"\.([a-zA-Z0-9_-]+)\{([^}]*)\}", source):
+        content = re.search(r'(?i)content\s*:\s*"([^"]*)"', body)
+        rules[name] = (style_kinds(body.lower()), css_text(content[1]) if content else "")
+    return rules
+
+
+def style_kinds(css: str) -> set[str]:
+    """Kinds of style that declarations set."""
+    weight = re.search(r"font-weight\s*:\s*([0-9]+|bold)", css)
+    kinds = {"bold"} if weight and (weight[1] == "bold" or int(weight[1]) >= 600) else set()
+    return kinds | {"italic" for _ in re.findall(r"font-style\s*:\s*italic", css)} | {"underline" for _ in re.findall(r"text-decoration\s*:\s*underline", css)}
+
+
+def list_kind(element: str | None, classes: list[str], marker: str) -> str | None:
+    """check, number, dash or bullet, by the signs of a list item's marker, its classes and its list."""
+    if CHECK_SIGNS & set(marker):
+        return "check"
+    if element == "ol":
+        return "number"
+    if marker.strip().startswith("-"):
+        return "dash"
+    return "bullet" if element == "ul" or BULLET_SIGNS & set(marker) or any(c.lower().startswith(BULLET_CLASS) for c in classes) else None
+
+
 class _Reader(HTMLParser):
-    """Collects blocks with their styled parts and links; text in hidden elements is passed over."""
+    """Collects blocks with their styled parts and links; text in hidden elements is passed over.
+
+    An element's styles are those of its tag, its ``style``, its classes and the elements around it. Styled text that
+    follows on styled text without anything between is one part.
+    """
 
-    def __init__(self):
+    def __init__(self, rules: dict[str, tuple[set[str], str]] | None = None):
         super().__init__(convert_charrefs=True)
+        self.rules = rules or {}
         self.blocks: list[dict] = []
         self.links: list[dict] = []
         self.hidden = 0
         self.open: dict | None = None
-        self.styles: list[tuple[str, str]] = []
-        self.lists: list[str] = []
+        self.styles: list[tuple[str, frozenset[str]]] = []  # open elements with all kinds that hold inside
+        self.lists: list[tuple[str, str]] = []  # open lists with the marker of their classes
         self.link: dict | None = None
 
     def _close(self) -> None:
         if self.open:
             value = " ".join("".join(self.open["text"]).split())
             if value:
-                parts = {k: [" ".join(x.split()) for x in self.open[k] if x.strip()] for k in ("bold", "italic", "underline")}
-                self.blocks.append({"tag": self.open["tag"], "text": value, "list_type": self.open["list_type"], **parts})
+                parts = {k: list(dict.fromkeys(t for x in self.open[k] if len(t := " ".join(x.split())) >= PART_CHARS)) for k in STYLE_KINDS}
+                self.blocks.append({"tag": self.open["tag"], "text": value, "list_type": self.open["list_type"], "list_kind": self.open["list_kind"], "marker": self.open["marker"] or None, "hashtags": re.findall(r"#(\w{2,64})", value), **parts})
             self.open = None
 
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.handle_endtag(tag)
+
     def handle_starttag(self, tag, attrs):
         if tag in HIDDEN:
             self.hidden += 1
             return
         at = dict(attrs)
+        classes = (at.get("class") or "").split()
+        ruled = [self.rules[c] for c in classes if c in self.rules]
+        marker = " ".join(dict.fromkeys(m for _, m in ruled if m.strip()))
+        own = set().union(style_kinds((at.get("style") or "").lower()), *(k for k, _ in ruled))
+        own |= {kind for kind, tags in zip(STYLE_KINDS, (BOLD, ITALIC, UNDERLINE), strict=True) if tag in tags}
+        if tag not in VOID:
+            self.styles.append((tag, frozenset(own) | (self.styles[-1][1] if self.styles else frozenset())))
         if tag in ("ul", "ol"):
-            self.lists.append(tag)
+            self.lists.append((tag, marker))
         if tag in BLOCKS:
             self._close()
-            self.open = {"tag": tag, "text": [], "bold": [], "italic": [], "underline": [], "list_type": self.lists[-1] if self.lists and tag == "li" else None}
-        css = at.get("style") or ""
-        weight = re.search(r"font-weight:\s*(\w+)", css)
-        bold = tag in BOLD or bool(weight and (weight[1] == "bold" or weight[1].isdigit() and int(weight[1]) >= 600))
-        for kind, on in (("bold", bold), ("italic", tag in ITALIC or "italic" in css), ("underline", tag in UNDERLINE or "underline" in css)):
-            if on:
-                self.styles.append((tag, kind))
-                if self.open:
-                    self.open[kind].append("")
+            item = self.lists[-1] if self.lists and tag == "li" else (None, "")
+            marker = " ".join(x for x in (item[1], marker) if x) if tag == "li" else ""
+            self.open = {"tag": tag, "text": [], "bold": [], "italic": [], "underline": [], "since": dict.fromkeys(STYLE_KINDS, True), "list_type": item[0], "list_kind": list_kind(item[0], classes, marker) if tag == "li" else None, "marker": marker}
+        if tag == "input" and (at.get("type") or "").lower() == "checkbox" and self.open:
+            self.open["list_kind"] = "check"
         if tag == "br" and self.open:
             self.open["text"].append(" ")
         if tag == "a" and at.get("href"):
@@ -64,8 +123,9 @@ class _Reader(HTMLParser):
         if tag in HIDDEN:
             self.hidden = max(0, self.hidden - 1)
             return
-        while any(t == tag for t, _ in self.styles) and self.styles[-1][0] == tag:
-            self.styles.pop()
+        if any(t == tag for t, _ in self.styles):  # elements left open inside end too
+            while self.styles.pop()[0] != tag:
+                pass
         if tag in ("ul", "ol") and self.lists:
             self.lists.pop()
         if tag == "a" and self.link:
@@ -79,23 +139,27 @@ class _Reader(HTMLParser):
             return
         if self.open:
             self.open["text"].append(data)
-            for _, kind in self.styles:
-                if self.open[kind]:
+            kinds = self.styles[-1][1] if self.styles and data.strip() else frozenset()
+            for kind in STYLE_KINDS:
+                if kind in kinds:
+                    if self.open["since"][kind]:
+                        self.open[kind].append("")
                     self.open[kind][-1] += data
+                self.open["since"][kind] = kind not in kinds
         if self.link:
             self.link["text"].append(data)
 
 
 def read_page(source: str | None) -> tuple[list[dict], list[dict]]:
     """(blocks, links) of a page; broken markup gives what could be read."""
-    reader = _Reader()
+    reader = _Reader(class_rules(source or ""))
     reader.feed(source or "")
     reader.close()
     reader._close()
     return reader.blocks, reader.links
 
 
-_BLOCKS = [("block_no", pa.int32()), ("tag", pa.string()), ("text", pa.string()), ("list_type", pa.string()), *((n, pa.list_(pa.string())) for n in ("bold", "italic", "underline"))]
+_BLOCKS = [("block_no", pa.int32()), ("tag", pa.string()), ("text", pa.string()), ("list_type", pa.string()), ("list_kind", pa.string()), ("marker", pa.string()), *((n, pa.list_(pa.string())) for n in ("hashtags", "bold", "italic", "underline"))]
 _LINKS = [("link_no", pa.int32()), ("href", pa.string()), ("text", pa.string()), ("block_no", pa.int32())]
 _ARTICLE = [("title", pa.string()), ("author", pa.string()), ("published", pa.string())]
 #: Rows held before they are handed on.
@@ -158,7 +222,8 @@ def _read(pages: DataFrame, ids: list[str], html: str, fields: list[tuple], rows
 
 
 def html_blocks(pages: DataFrame, ids: list[str], html: str = "html") -> DataFrame:
-    """One row per text block, with list type and styled parts."""
+    """One row per text block, with the list it stands in, the kind and marker of its item, hashtags, and the parts that
+    are bold, italic or underlined by elements, styles or classes."""
     return _read(pages, ids, html, _BLOCKS, _block_rows)
 
 
