@@ -7,7 +7,7 @@ from difflib import SequenceMatcher
 import pytest
 
 from timeloom.functions.display import MONTHS
-from timeloom.operators import extraction, nearest, phrases, snippets, stitch
+from timeloom.operators import extraction, intervals, layout, nearest, phrases, snippets, stitch
 from timeloom.operators.align import canonical
 
 
@@ -33,6 +33,36 @@ def test_tolerance_merge(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_chunks_of_a_timeline(spark):
+    """Chunks found by bisection against counting all clips at every point."""
+    r = random.Random(13)
+    clips = {k: [(float(a := r.randrange(0, 200)), float(a + r.randrange(0, 60))) for _ in range(r.randrange(1, 60))] for k in range(25)}
+    want = []
+    for k, own in clips.items():
+        stop, points = max(e for _, e in own), sorted({0.0, *(x for c in own for x in c)})
+        begin, no = points[0], 0
+        while begin < stop:
+            close = min(stop, begin + 45.0)
+            for p in points:
+                if begin < p <= close and sum(s < p and e > begin for s, e in own) > 4:
+                    earlier = [q for q in points if begin < q < p]
+                    close = earlier[-1] if earlier else p
+                    break
+            want.append((k, no, begin, close, sum(s < close and e > begin for s, e in own)))
+            begin, no = close, no + 1
+    df = spark.createDataFrame([(k, *c) for k, own in clips.items() for c in own], "k int, start double, end double")
+    got = layout.plan_chunks(df, ["k"], "start", "end", ["start", "end"], "k int, chunk bigint, start double, end double, n bigint", most=4)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_subtract_by_buckets(spark):
+    r = random.Random(14)
+    make = lambda n: spark.createDataFrame([(r.randrange(3), i, a := r.randrange(-50, 300), a + r.randrange(0, 90)) for i in range(n)], "k int, id int, s int, e int").cache()
+    rows, cuts = make(60), make(40)
+    whole = sorted(map(tuple, intervals.subtract(rows, cuts, ["k"], "id", "s", "e").collect()))
+    assert all(sorted(map(tuple, intervals.subtract(rows, cuts, ["k"], "id", "s", "e", bucket=b).collect())) == whole for b in (1, 17, 1000)) and len(whole) > 20
+
+
 @pytest.mark.parametrize("chars", [4_000_000, 0])
 def test_phrases_by_trie_and_by_join(spark, monkeypatch, chars):
     monkeypatch.setattr(phrases, "TRIE_CHARS", chars)

@@ -41,20 +41,23 @@ def textual_date(c: Column, default_year: int) -> Column:
     """
     low = F.lower(strip_accents(F.coalesce(c, F.lit(""))))
     low = F.regexp_replace(low, r"([0-9]+)\s*(?:er|eme|st|nd|rd|th)\b", "$1")
-    out = F.lit(None).cast("struct<date:date,precision:string,language:string>")
-    for lang in reversed(MONTHS):
-        for i in range(12, 0, -1):
-            name = _plain(MONTHS[lang][i - 1])
-            before = F.regexp_extract(low, rf"\b([0-9]{{1,2}})\b[^0-9]*\b{name}\b", 1)
-            behind = F.regexp_extract(low, rf"\b{name}\b[^0-9]*\b([0-9]{{1,2}})\b", 1)
-            year = F.regexp_extract(low, rf"\b{name}\b(?:[^0-9]+[0-9]{{1,2}}\b)?[^0-9]+([0-9]{{4}})\b", 1)
-            day = F.when(before.try_cast("int").between(1, 31), before).when(behind.try_cast("int").between(1, 31), behind).try_cast("int")
-            y = year.try_cast("int")
-            found = F.struct(
-                F.try_to_date(F.concat_ws("-", F.coalesce(y, F.lit(default_year)).cast("string"), F.lit(f"{i:02d}"), F.lpad(F.coalesce(day, F.lit(1)).cast("string"), 2, "0"))).alias("date"),
-                F.when(day.isNull(), "month").otherwise("day").alias("precision"), F.lit(lang).alias("language"))
-            out = F.when(low.rlike(rf"\b{name}\b") & (day.isNotNull() | y.isNotNull()), found).otherwise(out)
-    return out
+    names = F.array(*[F.struct(F.lit(_plain(n)).alias("name"), F.lit(f"{i:02d}").alias("month"), F.lit(lang).alias("language")) for lang, all_ in MONTHS.items() for i, n in enumerate(all_, 1)])
+
+    def read(t: Column) -> Column:
+        """The first month, in the order of the languages and the year, that has a day or a year beside it."""
+        part = lambda before, x, behind: F.call_function("regexp_extract", t, F.concat(F.lit(before), x["name"], F.lit(behind)), F.lit(1))
+
+        def tried(x: Column) -> Column:
+            days = (part(r"\b([0-9]{1,2})\b[^0-9]*\b", x, r"\b"), part(r"\b", x, r"\b[^0-9]*\b([0-9]{1,2})\b"))
+            day = F.coalesce(*[F.when(d.try_cast("int").between(1, 31), d.try_cast("int")) for d in days])
+            y = part(r"\b", x, r"\b(?:[^0-9]+[0-9]{1,2}\b)?[^0-9]+([0-9]{4})\b").try_cast("int")
+            date = F.try_to_date(F.concat_ws("-", F.coalesce(y, F.lit(default_year)).cast("string"), x["month"], F.lpad(F.coalesce(day, F.lit(1)).cast("string"), 2, "0")))
+            known = F.regexp_like(t, F.concat(F.lit(r"\b"), x["name"], F.lit(r"\b"))) & (day.isNotNull() | y.isNotNull())
+            return F.when(known, F.struct(date.alias("date"), F.when(day.isNull(), "month").otherwise("day").alias("precision"), x["language"].alias("language")))
+
+        return F.get(F.array_compact(F.transform(F.filter(names, lambda x: F.contains(t, x["name"])), tried)), F.lit(0))
+
+    return F.get(F.transform(F.array(low), read), F.lit(0))
 
 
 def _plain(name: str) -> str:

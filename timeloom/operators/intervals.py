@@ -44,11 +44,21 @@ def clip(df: DataFrame, start: str, end: str, low: Column, high: Column, in_poin
     return df.withColumns(moved).filter(F.col(end) > F.col(start))
 
 
-def subtract(df: DataFrame, removed: DataFrame, keys: list[str], row: str, start: str, end: str, least=0) -> DataFrame:
-    """Pieces of each interval (named by ``row``) outside the removed intervals of its key, of ``least`` length."""
+def subtract(df: DataFrame, removed: DataFrame, keys: list[str], row: str, start: str, end: str, least=0, bucket=None) -> DataFrame:
+    """Pieces of each interval (named by ``row``) outside the removed intervals of its key, of ``least`` length.
+
+    With a ``bucket`` width rows and cuts are dealt to the buckets of the axis that they reach, so a row meets the
+    cuts near it only, and long keys spread; a pair counts in the first bucket of both.
+    """
     cuts = merge_intervals(removed, keys, start, end).select(*keys, F.col(start).alias("_rs"), F.col(end).alias("_re"))
     base = df.select(*keys, row, start, end)
-    hit = base.join(cuts, keys).filter((F.col("_rs") < F.col(end)) & (F.col("_re") > F.col(start)))
+    touch = (F.col("_rs") < F.col(end)) & (F.col("_re") > F.col(start))
+    if bucket is None:
+        hit = base.join(cuts, keys).filter(touch)
+    else:
+        dealt = lambda x, a, b: x.filter(F.col(b) >= F.col(a)).withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(a) / bucket), F.floor(F.col(b) / bucket))))
+        first = F.floor(F.greatest(start, "_rs") / bucket)
+        hit = dealt(base, start, end).join(dealt(cuts, "_rs", "_re"), [*keys, "_bucket"]).filter(touch & (F.col("_bucket") == first)).drop("_bucket")
     edges = base.select(*keys, row, F.col(start).alias("_from"), F.col(end).alias("_stop"), F.lit(None).cast(dict(df.dtypes)[start]).alias("_rs"))
     # a piece begins at the row's start or at the end of a cut, and lasts to the next cut or the row's end
     points = edges.unionByName(hit.select(*keys, row, F.col("_re").alias("_from"), F.col(end).alias("_stop"), "_rs"))
@@ -106,6 +116,15 @@ def dominated(df: DataFrame, keys: list[str], row: str, start: str, end: str, sc
     return inner.join(other, [*same, inside], "left_anti").drop("_bucket")
 
 
+def superseded(df: DataFrame, keys: list[str], start: str, end: str, order: str, score: str, anchor: Column, margin: float = 0.5) -> DataFrame:
+    """Of rows with equal spans, a row goes when a later one (by ``order``) scores more than ``margin`` better, or as
+    well within it and is an anchor, which the row is not. One window over the rows of a span."""
+    ahead = Window.partitionBy(*keys, start, end).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
+    best, best_anchor = F.max(score).over(ahead), F.max(F.when(anchor, F.col(score))).over(ahead)
+    gone = (best > F.col(score) + margin) | (~anchor & (best_anchor >= F.col(score) - margin))
+    return df.withColumn("_gone", F.coalesce(gone, F.lit(False))).filter(~F.col("_gone")).drop("_gone")
+
+
 def drop_past(df: DataFrame, start: str, end: str, cutoff: Column, tolerance, stays: Column) -> DataFrame:
     """Drops intervals that begin at or end past the cutoff and its tolerance, instead of trimming them."""
     limit = cutoff + tolerance

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 from collections.abc import Callable, Iterator
 from itertools import groupby
 
@@ -191,26 +193,30 @@ def hold_until_free(df: DataFrame, keys: list[str], start: str, end: str, blocks
 
 
 def plan_chunks(df: DataFrame, keys: list[str], start: str, end: str, order: list[str], schema: str, most: int = 12, longest: float = 45.0) -> DataFrame:
-    """Greedy chunks of the timeline: boundaries at starts and ends, at most ``most`` overlays and ``longest`` long."""
+    """Greedy chunks of the timeline: boundaries at starts and ends, at most ``most`` overlays and ``longest`` long.
+
+    A key's starts and ends are held as sorted numbers; each chunk is found by bisection. Clips end at or after their
+    start.
+    """
 
     def step(rows: Iterator[dict]) -> Iterator[dict]:
         clips = list(rows)
         if not clips:
             return
         key = {k: clips[0][k] for k in keys}
-        stop = max(r[end] for r in clips)
-        points = sorted({0, stop, *(r[start] for r in clips), *(r[end] for r in clips)})
+        starts, ends = sorted(r[start] for r in clips), sorted(r[end] for r in clips)
+        active = lambda a, b: bisect_left(starts, b) - bisect_right(ends, a)  # noqa: E731  clips that reach into (a, b)
+        stop = ends[-1]
+        points = sorted({0, *starts, *ends})
         begin, no = points[0], 0
         while begin < stop:
             close = min(stop, begin + longest)
-            for p in points:
-                if p > close or p <= begin:
-                    continue
-                if sum(r[start] < p and r[end] > begin for r in clips) > most:
-                    earlier = [q for q in points if begin < q < p]
-                    close = float(earlier[-1] if earlier else p)
-                    break
-            yield key | {"chunk": no, start: float(begin), end: float(close), "n": sum(r[start] < close and r[end] > begin for r in clips)}
+            first, last = bisect_right(points, begin), bisect_right(points, close)
+            # more clips are active up to a later point, so the first point with too many is found by bisection
+            over = bisect_right(range(first, last), most, key=lambda i: active(begin, points[i])) + first
+            if over < last:
+                close = float(points[over - 1] if over > first else points[over])
+            yield key | {"chunk": no, start: float(begin), end: float(close), "n": active(begin, close)}
             begin, no = close, no + 1
 
     return fold(df, keys, order, schema, step)

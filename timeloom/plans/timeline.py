@@ -101,7 +101,7 @@ SELECT user_id, event_id, a AS start, b AS "end" FROM n WHERE b > a""")
 def interval_subtract(spark, sf_dir):
     """Spans of events less the two hours after each error."""
     ev = events(spark, sf_dir)
-    return intervals.subtract(_spans(ev), _cuts(ev), ["user_id"], "event_id", "start", "end")
+    return intervals.subtract(_spans(ev), _cuts(ev), ["user_id"], "event_id", "start", "end", bucket=24 * HOUR)
 
 
 @query(f"""WITH {_E}, v AS (SELECT *, us + cents * 1000000 AS t, min(us) OVER (PARTITION BY user_id) + {48 * HOUR} AS lo, min(us) OVER (PARTITION BY user_id) + {240 * HOUR} AS hi FROM e)
@@ -337,6 +337,15 @@ def subset_dedupe(spark, sf_dir):
     return intervals.dominated(ev, ["user_id"], "event_id", "start", "end", "cents", 24 * HOUR).select("event_id", "start", "end", "cents")
 
 
+@query(f"""WITH {_L}, v AS (SELECT l_partkey, l_orderkey, l_linenumber, s // 40 AS span, (l_orderkey % 7)::DOUBLE AS score, l_returnflag = 'R' AS fixed FROM l)
+SELECT l_partkey, l_orderkey, l_linenumber FROM v a WHERE NOT EXISTS (SELECT 1 FROM v b WHERE b.l_partkey = a.l_partkey AND b.span = a.span AND b.l_orderkey * 10 + b.l_linenumber > a.l_orderkey * 10 + a.l_linenumber
+ AND (b.score > a.score + 0.5 OR (abs(b.score - a.score) <= 0.5 AND NOT a.fixed AND b.fixed)))""")
+def equal_span_dedupe(spark, sf_dir):
+    """Shipments of a part in the same span of days, less those that a later one outdoes."""
+    s = shipments(spark, sf_dir).select("l_partkey", "l_orderkey", "l_linenumber", F.floor(F.col("start") / 40).alias("span"), (F.col("l_orderkey") % 7).cast("double").alias("score"), (F.col("l_returnflag") == "R").alias("fixed"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("no"))
+    return intervals.superseded(s.withColumn("span_end", F.col("span")), ["l_partkey"], "span", "span_end", "no", "score", F.col("fixed")).select("l_partkey", "l_orderkey", "l_linenumber")
+
+
 @query(f"""WITH {_L} SELECT l_orderkey, l_linenumber, p.part, p.s AS start, p.e AS "end" FROM (SELECT *, unnest(CASE WHEN s < 9000 AND 9000 < e THEN [{{'part': 0, 's': s, 'e': 9000}}, {{'part': 1, 's': 9010, 'e': e + 10}}]
  ELSE [{{'part': 0, 's': s + CASE WHEN s >= 9000 THEN 10 ELSE 0 END, 'e': e + CASE WHEN s >= 9000 THEN 10 ELSE 0 END}}] END) AS p FROM l)""")
 def split_at_boundary(spark, sf_dir):
