@@ -24,6 +24,12 @@ def sessionize(df: DataFrame, keys: list[str], start: str, end: str, gap, order:
     return df.withColumn("_open", F.when(split, 1).otherwise(0)).withColumn(name, F.sum("_open").over(w)).drop("_open")
 
 
+def session_spans(sessions: DataFrame, keys: list[str], start: str, end: str, session: str = "session") -> DataFrame:
+    """One row per session with its ``start``, ``end``, ``n`` and the ``pause`` since the one before (null for the first)."""
+    spans = sessions.groupBy(*keys, session).agg(F.min(start).alias("start"), F.max(end).alias("end"), F.count("*").alias("n"))
+    return spans.withColumn("pause", F.col("start") - F.lag("end").over(_ordered(keys, [session])))
+
+
 def session_rows(sessions: DataFrame, keys: list[str], start: str, end: str, gap, session: str = "session") -> DataFrame:
     """One ``speech`` row per session and one ``silence`` row for each pause of ``gap`` or more between them.
 

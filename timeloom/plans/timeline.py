@@ -51,15 +51,13 @@ SELECT g.user_id, count(*) AS n_sessions, coalesce(any_value(n_gaps), 0) AS n_ga
   (max(t) - coalesce(any_value(removed_us), 0))::BIGINT AS compact_end FROM g LEFT JOIN r USING (user_id) GROUP BY g.user_id""")
 def kept_time(spark, sf_dir):
     """Sessions, pauses and the end of each user's timeline once the pauses are taken out."""
-    rows = sessions.session_rows(_sessions(events(spark, sf_dir)), ["user_id"], "us", "us", 8 * HOUR)
-    speech, silence = F.col("kind") == "speech", F.col("kind") == "silence"
-    length = F.col("end") - F.col("start")
-    ends = rows.groupBy("user_id").agg(
-        F.count_if(speech).alias("n_sessions"), F.count_if(silence).alias("n_gaps"), F.coalesce(F.sum(F.when(speech, length)), F.lit(0)).alias("busy_us"),
-        F.coalesce(F.sum(F.when(silence, length)), F.lit(0)).alias("removed_us"), F.max("end").alias("last"),
+    spans = sessions.session_spans(_sessions(events(spark, sf_dir)), ["user_id"], "us", "us")
+    removed = F.when(F.col("pause") >= 8 * HOUR, F.col("pause"))
+    sums = spans.groupBy("user_id").agg(
+        F.count("*").alias("n_sessions"), F.count(removed).alias("n_gaps"), F.sum(F.col("end") - F.col("start")).alias("busy_us"), F.coalesce(F.sum(removed), F.lit(0)).alias("removed_us"), F.max("end").alias("_last"),
     )
-    out = intervals.collapse_points(ends, rows.filter(silence).select("user_id", "start", "end"), ["user_id"], "last", "start", "end")
-    return out.select("user_id", "n_sessions", "n_gaps", "busy_us", "removed_us", F.col("collapsed").alias("compact_end"))
+    # all pauses lie before the last end, so the clock without them ends at the difference
+    return sums.select("user_id", "n_sessions", "n_gaps", "busy_us", "removed_us", F.greatest(F.col("_last") - F.col("removed_us"), F.lit(0)).alias("compact_end"))
 
 
 def _merged_sql(key: str, tolerance: int) -> str:
