@@ -45,3 +45,12 @@ def test_article_metadata(spark):
 @pytest.mark.parametrize("text, want", [("2021-03-05", "2021-03-05"), ("2021-03-05T10:00", "2021-03-05T10:00:00"), ("on 2021/3/5 at", "2021-03-05"), ("le 5 août 2021", "2021-08-05"), ("le 5 aout 2021", "2021-08-05"), ("31 février 2021", None), ("soon", None), (None, None)])
 def test_iso_dates(text, want):
     assert articles.iso_date(text) == want
+
+
+def test_script_blocks_without_times(spark):
+    video = "<a href='https://youtu.be/x'>v</a>"
+    parts = ["a (01:00-01:15) b", "a [1:00 to 1:10]", "a (12:05) b", "a (x) b", "see 03:10-4:10 here", f"{video} 03:10-4:10 here", f"{video} 1min02-1min10 now", f"{video} 10 s à 2 min end", f"{video} -1:20", "(00:10-)", f"{video} 5 apples", "<a href='https://a.org'>v</a> 03:10-4:10"]
+    want = ["a b", "a", "a b", "a (x) b", "see 03:10-4:10 here", "v here", "v now", "v end", "v", None, "v 5 apples", "v 03:10-4:10"]
+    page = spark.createDataFrame([(1, "".join(f"<p>{p}</p>" for p in parts))], "page_id int, html string")
+    got = {r["block_no"]: r["text"] for r in html.script_blocks(page, ["page_id"]).collect()}
+    assert [got.get(i) for i in range(len(parts))] == want

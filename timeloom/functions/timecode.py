@@ -77,3 +77,31 @@ def loose_range(c: Column) -> Column:
 def row_duration(start: Column, end: Column, default: float = 8.0, least: float = 4.0) -> Column:
     """Length of a row, at least ``least``; ``default`` when either end is unknown."""
     return F.coalesce(F.greatest(end - start, F.lit(least)), F.lit(default))
+
+
+#: Fixed patterns of times in script texts: ranges or single times in brackets, and bare ranges, open ones too.
+_CLOCK = r"\d{1,2}:\d{2}(?::\d{2})?"
+_SPOKEN = (
+    r"(?:\d+\s*h(?:eure?s?|ours?)?(?:\s*\d+\s*m(?:in(?:utes?)?)?(?:\s*\d+(?:\.\d+)?\s*s(?:ec(?:ondes?|s)?)?)?)?"
+    r"|\d+\s*m(?:in(?:utes?)?)?(?:\s*\d+(?:\.\d+)?\s*(?:s(?:ec(?:ondes?|s)?)?)?)?|\d+(?:\.\d+)?\s*s(?:ec(?:ondes?|s)?)?)"
+)
+_TIME = f"(?:{_CLOCK}|{_SPOKEN})"
+BRACKETED_TIMES = rf"(?iU)\s*[(\[]\s*-?{_CLOCK}(?:\s*(?:[-–—]|to|à|a)\s*{_CLOCK})?-?\s*[)\]]"
+BARE_TIMES = rf"(?iU)(?<!\w)(?:{_TIME}(?:\s*[-–—]\s*|\s+(?:to\b|à\b)\s*)(?:{_TIME})?-?|-{_TIME}|{_TIME}-)(?!\w)"
+#: Fixed hosts whose links make bare times of a block annotations of the video.
+VIDEO_HOSTS = ("youtube.com", "youtu.be", "dailymotion.com", "vimeo.com", "twitter.com", "x.com", "facebook.com", "fb.watch", "instagram.com", "tiktok.com", "rumble.com")
+
+
+def without_times(c: Column, bare: Column) -> Column:
+    """A script text without times in brackets, and where ``bare`` holds without bare ranges of times too."""
+    plain = F.regexp_replace(F.coalesce(c, F.lit("")), BRACKETED_TIMES, "")
+    return F.trim(F.regexp_replace(F.when(bare, F.regexp_replace(plain, BARE_TIMES, "")).otherwise(plain), r"(?U)\s+", " "))
+
+
+def links_video(href: Column) -> Column:
+    """Whether an address is on one of the video hosts."""
+    low = F.lower(F.coalesce(href, F.lit("")))
+    out = F.lit(False)
+    for host in VIDEO_HOSTS:
+        out |= F.contains(low, F.lit(host))
+    return out

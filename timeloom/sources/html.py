@@ -245,3 +245,14 @@ def html_titles(pages: DataFrame, ids: list[str], html: str = "html") -> DataFra
     heads = html_blocks(pages, ids, html).filter(F.col("tag").rlike("^h[1-6]$"))
     named = heads.select(*ids, "block_no", F.substring("tag", 2, 1).cast("int").alias("level"), "text", normalize(F.col("text")).alias("_k"))
     return first_by(named, [*ids, "_k"], ["block_no"]).drop("_k")
+
+
+def script_blocks(pages: DataFrame, ids: list[str], html: str = "html") -> DataFrame:
+    """(ids, block_no, text): the blocks as they are spoken, without times in brackets, and in blocks that link to a
+    video without bare ranges of times; blocks of which nothing is left go."""
+    from timeloom.functions.timecode import links_video, without_times
+
+    blocks = html_blocks(pages, ids, html).select(*ids, "block_no", "text")
+    video = html_links(pages, ids, html).filter(links_video(F.col("href"))).select(*ids, "block_no", F.lit(True).alias("_video")).distinct()
+    joined = blocks.join(video, [*ids, "block_no"], "left")
+    return joined.select(*ids, "block_no", without_times(F.col("text"), F.col("_video").isNotNull()).alias("text")).filter("text <> ''")
