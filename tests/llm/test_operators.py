@@ -241,6 +241,18 @@ def test_merkle_audit(spark):
     assert all(r["status"] == "missing" and r["replica_root"] is None for r in fixity.audit(original, original.limit(0)).collect())
 
 
+def test_archives_of_large_ids(spark, tmp_path):
+    """Records stand in the order of their ids up to the largest ones; nulls, repeated ids and equal pages too."""
+    r = random.Random(23)
+    ids = [None, None, 0, 5, 5, 5, -3, 1 << 43, (1 << 43) + 1, (1 << 62) + 7, (1 << 63) - 1, -(1 << 63)] + [r.randrange(1 << 62) for _ in range(300)]
+    pages = [(x, r.choice([None, "http://a.org", "http://b.org"]), r.choice([None, "<p>x</p>" * r.randrange(9)])) for x in ids]
+    spark.createDataFrame([*pages, pages[3], pages[3]], "page_id bigint, url string, html string").repartition(5).write.parquet(f"{tmp_path}/pages.parquet")
+    rows = [x for x in fixity.op2_merkle_fixity(spark, str(tmp_path)).collect() if x["status"] != "extra"]
+    rows.sort(key=lambda x: (x["file"], x["record_no"]))
+    assert [x["page_id"] for x in rows] == sorted((p[0] for p in [*pages, pages[3], pages[3]]), key=lambda x: (x is not None, x))
+    assert [x["record_no"] for x in rows] == list(range(len(rows)))
+
+
 def test_merkle_audit_matches_its_sql(spark):
     import duckdb
 

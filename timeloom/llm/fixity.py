@@ -11,7 +11,8 @@ aggregation within files, and every step of the descent two anti joins with the
 Records that one replica lacks and the other has under the same identity are ``altered``; others are
 ``missing`` from the replica or ``extra`` in it.
 
-Defined results: null url or html counts as empty; null and repeated page_ids are records of their own; equal
+Defined results: null url or html counts as empty; null and repeated page_ids are records of their own, null ones
+first and repeated ones in the order of their addresses and digests, whatever the size of the ids; equal
 records of one file are matched as often as both replicas hold them; an empty table gives an empty result;
 other columns are ignored, whatever their names.
 """
@@ -40,9 +41,9 @@ def warc_record(page_id: Column, url: Column, html: Column) -> Column:
     )
 
 
-def files_of(records: DataFrame, per_file: int = RECORDS_PER_FILE) -> DataFrame:
-    """Adds ``file`` and ``record_no`` to rows with ``key``: the original archive in the order of the key."""
-    placed = numbered(records.withColumn("_one", F.lit(1)), "_one", "key")
+def files_of(records: DataFrame, per_file: int = RECORDS_PER_FILE, order: tuple[str, ...] = ("key",)) -> DataFrame:
+    """Adds ``file`` and ``record_no`` to the rows: the original archive in the order of the columns named."""
+    placed = numbered(records.withColumn("_one", F.lit(1)), "_one", order[-1], list(order[:-1]))
     return placed.withColumns({"file": F.floor(F.col("place") / per_file).cast("long"), "record_no": (F.col("place") % per_file).cast("long")}).drop("_one", "place", "offset")
 
 
@@ -140,12 +141,11 @@ def op2_merkle_fixity(spark, sf_dir: str) -> DataFrame:
     """
     pages = table(spark, sf_dir, "pages")
     identity = F.concat_ws(" ", F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.coalesce("url", F.lit("")))
-    ordinal = F.shiftleft(F.coalesce("page_id", F.lit(0)), 20).bitwiseOR(F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit((1 << 20) - 1)))
-    rows = pages.select("page_id", identity.alias("identity"), ordinal.alias("key"), warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
+    rows = pages.select("page_id", identity.alias("identity"), warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
     damage = F.pmod(F.conv(F.substring(F.md5(F.col("identity").cast("binary")), 1, 6), 16, 10).cast("long"), F.lit(DAMAGE))
     own = F.array(F.struct("record", "identity"))
-    digests = durable(rows.select("page_id", "key", F.get(hashed(own), F.lit(0)).alias("own"), hashed(damaged(damage)).alias("copies")).select("page_id", "key", "own.*", "copies"))
-    archive = durable(files_of(digests).drop("key"))
+    digests = durable(rows.select("page_id", F.get(hashed(own), F.lit(0)).alias("own"), hashed(damaged(damage)).alias("copies")).select("page_id", "own.*", "copies"))
+    archive = durable(files_of(digests, order=("page_id", "identity", "digest")))
     return audit(archive.drop("copies"), replica_of(archive, "copies"))
 
 
