@@ -54,3 +54,36 @@ def test_script_blocks_without_times(spark):
     page = spark.createDataFrame([(1, "".join(f"<p>{p}</p>" for p in parts))], "page_id int, html string")
     got = {r["block_no"]: r["text"] for r in html.script_blocks(page, ["page_id"]).collect()}
     assert [got.get(i) for i in range(len(parts))] == want
+
+
+def test_links_in_context(spark):
+    page = "<p>before <a href='/x'>the link</a> behind, see www.a.org/b?c=1. and http://c.org/d)</p><p><a href='http://c.org'>http://c.org</a> http://c.org again</p><a href='/y'>loose</a><p>none</p>"
+    df = spark.createDataFrame([(1, page), (2, None)], "page_id int, html string")
+    got = {tuple(r)[1:] for r in html.links_in_context(df, ["page_id"], before=7, after=4).collect()}
+    assert got == {
+        (0, "anchor", "/x", "the link", "before the link beh"), (0, "text", "www.a.org/b?c=1", "www.a.org/b?c=1", "d, see www.a.org/b?c=1. an"), (0, "text", "http://c.org/d", "http://c.org/d", "1. and http://c.org/d)"),
+        (1, "anchor", "http://c.org", "http://c.org", "http://c.org htt"), (2, "anchor", "/y", "loose", "loose"),
+    }
+
+
+def test_scripts_and_manifests(spark, tmp_path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from timeloom.functions.text import script_paragraph, without_title
+    from timeloom.operators.layout import pack_tracks
+    from timeloom.sources.documents import newest_manifest
+
+    texts = ["\n \n Titre: x\n\n a\nb", "a\nTITRE b", "\n\n", "TITRE", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(without_title(F.col("t"))).collect()] == [" a\nb", "a\nTITRE b", "", "", ""]
+    lines = spark.createDataFrame([(t,) for t in ["  extrait 3", "Insert", "an insert", "a  https://x.y/z b www.c.d", None]], "t string")
+    assert [r[0] for r in lines.select(script_paragraph(F.col("t"))).collect()] == ["", "", "an insert", "a b", ""]
+    for i, body in enumerate(['{"entries": [{"a": 1}]}', '{"entries": [{"a": 2}, {"a": 3}]}', '{"other": 1}']):
+        (tmp_path / f"{i}.json").write_text(body)
+        os.utime(tmp_path / f"{i}.json", (1_700_000_000 + i * 100,) * 2)
+    assert sorted(r["a"] for r in newest_manifest(spark, str(tmp_path)).collect()) == [2, 3]
+    clips = spark.createDataFrame([(0, 10), (2, 8), (3, 5), (6, 9), (10, 12)], "s int, e int").withColumn("k", F.lit(1))
+    got = pack_tracks(clips, ["k"], "s", "e", ["s"], "s int, track int", base=1, reserved={2}).collect()
+    assert sorted(map(tuple, got)) == [(0, 1), (2, 3), (3, 4), (6, 4), (10, 1)]

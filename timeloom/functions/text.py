@@ -34,6 +34,18 @@ def collapse_spaces(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
+def script_paragraph(c: Column) -> Column:
+    """A paragraph on one line without addresses; the empty text where it announces an excerpt or an insert."""
+    line = collapse_spaces(F.coalesce(c, F.lit("")))
+    announces = F.upper(line).rlike("^(?:EXTRAIT|INSERT)")
+    return F.when(announces, "").otherwise(collapse_spaces(F.regexp_replace(line, r"(?i)https?://\S+|www\.\S+", " ")))
+
+
+def without_title(c: Column) -> Column:
+    """A script without blank lines at its start and, if that comes first, the line of its title."""
+    return F.regexp_replace(F.coalesce(c, F.lit("")), r"(?i)\A(?:[^\S\n]*\n)*(?:[^\S\n]*TITRE[^\n]*(?:\n|\z))?(?:[^\S\n]*\n)*", "")
+
+
 def normalize(c: Column) -> Column:
     """Canonical text for comparisons: no accents, lower case, everything but letters and digits a space."""
     return F.trim(F.regexp_replace(F.lower(strip_accents(F.coalesce(c, F.lit("")))), "[^a-z0-9]+", " "))

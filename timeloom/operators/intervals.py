@@ -67,6 +67,20 @@ def subtract(df: DataFrame, removed: DataFrame, keys: list[str], row: str, start
     return pieces.select(*keys, row, F.col("_from").alias(start), F.least("_next", "_stop").alias(end)).filter(F.col(end) - F.col(start) > least)
 
 
+def kept_takes(markers: DataFrame, keys: list[str], start: str, end: str, strength: str, total: Column, least: int = 3) -> DataFrame:
+    """(keys, start, end) of the takes that stay: those before a marker of ``least`` strength or more, and the tail
+    behind the last marker up to ``total``; takes before weaker markers go, and empty ones too.
+
+    One window over a key's markers, merged beforehand so that they don't overlap.
+    """
+    w = Window.partitionBy(*keys).orderBy(start, end)
+    own = markers.withColumns({"_from": F.coalesce(F.lag(end).over(w), F.lit(0)), "_last": F.lead(start).over(w).isNull(), "_total": total})
+    before = F.when(F.col(strength) >= least, F.struct(F.col("_from").alias("s"), F.col(start).alias("e")))
+    tail = F.when(F.col("_last"), F.struct(F.col(end).alias("s"), F.col("_total").alias("e")))
+    takes = own.select(*keys, F.explode(F.array_compact(F.array(before, tail))).alias("_t"))
+    return takes.select(*keys, F.col("_t.s").alias(start), F.col("_t.e").alias(end)).filter(F.col(end) > F.col(start))
+
+
 def collapse_points(points: DataFrame, removed: DataFrame, keys: list[str], at: str, start: str, end: str) -> DataFrame:
     """Moves points to the clock on which the removed intervals take no time; adds ``collapsed`` (0 at least).
 

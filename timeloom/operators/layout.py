@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 
-from collections.abc import Callable, Iterator
-from itertools import groupby
+from collections.abc import Callable, Collection, Iterator
+from itertools import count, groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -155,15 +155,19 @@ def accumulate_targets(df: DataFrame, keys: list[str], duration: str, rate: floa
     return fold(df, keys, order, schema, step)
 
 
-def pack_tracks(df: DataFrame, keys: list[str], start: str, end: str, order: list[str], schema: str) -> DataFrame:
-    """``track``: the lowest track whose last clip ends by this start."""
+def pack_tracks(df: DataFrame, keys: list[str], start: str, end: str, order: list[str], schema: str, base: int = 0, reserved: Collection[int] = ()) -> DataFrame:
+    """``track``: the lowest track from ``base`` on, but none of the reserved ones, whose last clip ends by this start."""
 
     def step(rows: Iterator[dict]) -> Iterator[dict]:
         ends: list[float] = []
+        numbers = (t for t in count(base) if t not in reserved)
+        tracks: list[int] = []
         for r in rows:
-            track = next((i for i, e in enumerate(ends) if e <= r[start]), len(ends))
-            ends[track : track + 1] = [r[end]]
-            yield r | {"track": track}
+            i = next((i for i, e in enumerate(ends) if e <= r[start]), len(ends))
+            if i == len(ends):
+                tracks.append(next(numbers))
+            ends[i : i + 1] = [r[end]]
+            yield r | {"track": tracks[i]}
 
     return fold(df, keys, order, schema, step)
 

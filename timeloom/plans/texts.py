@@ -158,6 +158,20 @@ def html_links(spark, sf_dir):
     return html.html_links(read(spark, sf_dir, "pages"), ["page_id"])
 
 
+@query()
+def links_in_context(spark, sf_dir):
+    """Anchors of the pages with the text around them, and addresses in the text."""
+    return html.links_in_context(read(spark, sf_dir, "pages"), ["page_id"])
+
+
+@query(r"""WITH l AS (SELECT doc_id, i::INT AS line_no, trim(regexp_replace(string_split(text, chr(10))[i + 1], '\s+', ' ', 'g')) AS t FROM documents, range(0, 100000) r(i) WHERE i < len(string_split(text, chr(10))))
+SELECT doc_id, line_no, CASE WHEN regexp_matches(upper(t), '^(?:EXTRAIT|INSERT)') THEN '' ELSE trim(regexp_replace(regexp_replace(t, '(?i)https?://\S+|www\.\S+', ' ', 'g'), '\s+', ' ', 'g')) END AS line FROM l""")
+def script_paragraphs(spark, sf_dir):
+    """Every line of the documents as a paragraph of a script."""
+    d = read(spark, sf_dir, "documents").filter("text IS NOT NULL")
+    return d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "t")).select("doc_id", "line_no", text.script_paragraph(F.col("t")).alias("line"))
+
+
 @query()
 def html_titles(spark, sf_dir):
     """Headings of pages, the first of equal ones."""

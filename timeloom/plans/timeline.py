@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from timeloom.operators import intervals, layout, nearest, sessions
 from timeloom.operators.components import connected_components
@@ -335,6 +336,16 @@ def subset_dedupe(spark, sf_dir):
     return intervals.dominated(ev, ["user_id"], "event_id", "start", "end", "cents", 24 * HOUR).select("event_id", "start", "end", "cents")
 
 
+@query(f"""WITH {_E}, m AS (SELECT user_id, us, event_id % 5 AS strength, us + {HOUR} AS t, coalesce(lag(us + {HOUR}) OVER w, 0) AS f, lead(us) OVER w AS nx, max(us) OVER (PARTITION BY user_id) + {10 * HOUR} AS total FROM (SELECT user_id, us, min(event_id) AS event_id FROM e WHERE event_type = 'click' AND us % 3 = 0 GROUP BY ALL) WINDOW w AS (PARTITION BY user_id ORDER BY us))
+SELECT user_id, f AS start, us AS "end" FROM m WHERE strength >= 3 AND us > f UNION ALL SELECT user_id, t, total FROM m WHERE nx IS NULL AND total > t""")
+def marked_takes(spark, sf_dir):
+    """Times of users before strong marks, and what follows the last one."""
+    e = events(spark, sf_dir).filter("event_type = 'click' AND us % 3 = 0").groupBy("user_id", "us").agg(F.min("event_id").alias("event_id"))
+    total = F.max("start").over(Window.partitionBy("user_id")) + 10 * HOUR
+    marks = e.select("user_id", F.col("us").alias("start"), (F.col("us") + HOUR).alias("end"), (F.col("event_id") % 5).alias("strength"))
+    return intervals.kept_takes(marks, ["user_id"], "start", "end", "strength", total)
+
+
 @query(f"""WITH {_L}, v AS (SELECT l_partkey, l_orderkey, l_linenumber, s // 40 AS span, (l_orderkey % 7)::DOUBLE AS score, l_returnflag = 'R' AS fixed FROM l)
 SELECT l_partkey, l_orderkey, l_linenumber FROM v a WHERE NOT EXISTS (SELECT 1 FROM v b WHERE b.l_partkey = a.l_partkey AND b.span = a.span AND b.l_orderkey * 10 + b.l_linenumber > a.l_orderkey * 10 + a.l_linenumber
  AND (b.score > a.score + 0.5 OR (abs(b.score - a.score) <= 0.5 AND NOT a.fixed AND b.fixed)))""")

@@ -46,6 +46,17 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.input_file_name().alias("file"), F.inline("entries"))
 
 
+def newest_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The entries of the newest JSON file of a folder that has an ``entries`` list; the name decides between files of
+    one time. Folders without such a file give none."""
+    df = spark.read.json(f"{folder}/*.json", multiLine=True)
+    if "entries" not in df.columns or not df.schema["entries"].dataType.simpleString().startswith("array<struct"):
+        return spark.createDataFrame([], "file string")
+    named = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("_at"), "entries").filter("entries IS NOT NULL")
+    newest = named.groupBy().agg(F.max_by("file", F.struct("_at", "file")).alias("file"))
+    return named.join(F.broadcast(newest), "file").select("file", F.inline("entries"))  # one row
+
+
 def valid_spans(entries: DataFrame, start: str, end: str) -> DataFrame:
     """Entries with a positive span, in time order."""
     return entries.filter(F.col(end) > F.col(start)).orderBy("file", start, end)

@@ -256,3 +256,21 @@ def script_blocks(pages: DataFrame, ids: list[str], html: str = "html") -> DataF
     video = html_links(pages, ids, html).filter(links_video(F.col("href"))).select(*ids, "block_no", F.lit(True).alias("_video")).distinct()
     joined = blocks.join(video, [*ids, "block_no"], "left")
     return joined.select(*ids, "block_no", without_times(F.col("text"), F.col("_video").isNotNull()).alias("text")).filter("text <> ''")
+
+
+def links_in_context(pages: DataFrame, ids: list[str], html: str = "html", before: int = 100, after: int = 100) -> DataFrame:
+    """(ids, block_no, kind, href, text, context): anchors, and addresses that stand in the text as they are.
+
+    The context is the block's text from ``before`` characters before the link's words to ``after`` behind them; links
+    outside blocks have their words as context. An address that is an anchor's own text or target of its block isn't
+    listed again.
+    """
+    blocks = html_blocks(pages, ids, html).select(*ids, "block_no", F.col("text").alias("_block"))
+    anchors = html_links(pages, ids, html).join(blocks, [*ids, "block_no"], "left")
+    window = lambda at, size: F.substring(F.col("_block"), F.greatest(at - before, F.lit(1)), F.least(at - 1, F.lit(before)) + size + after)
+    at = F.position(F.col("text"), F.coalesce("_block", F.lit("")))
+    named = anchors.select(*ids, "block_no", F.lit("anchor").alias("kind"), "href", "text", F.when(at > 0, window(at, F.length("text"))).otherwise(F.col("text")).alias("context"))
+    written = blocks.select(*ids, "block_no", "_block", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("_block", F.lit(r"(?i)(?:https?://|www\.)[^\s<>\"']+"), F.lit(0)), lambda x: F.regexp_replace(x, r"[.,;:!?)\]}]+$", "")))).alias("href"))
+    targets = anchors.select(*ids, "block_no", F.explode(F.array("href", "text")).alias("href")).distinct()
+    plain = written.join(targets, [*ids, "block_no", "href"], "left_anti").withColumn("_at", F.position(F.col("href"), F.col("_block")))
+    return named.unionByName(plain.select(*ids, "block_no", F.lit("text").alias("kind"), "href", F.col("href").alias("text"), window(F.col("_at"), F.length("href")).alias("context")))
