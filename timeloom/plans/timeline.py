@@ -320,7 +320,12 @@ def guard_delay(spark, sf_dir):
     return layout.hold_until_free(s, ["l_orderkey"], "start", "end", "blocks", ["start", "end", "l_linenumber"])
 
 
-@query()
+@query(f"""WITH RECURSIVE {_L}, z AS (SELECT l_partkey, (s - min(s) OVER (PARTITION BY l_partkey))::DOUBLE AS s, (e - min(s) OVER (PARTITION BY l_partkey))::DOUBLE AS e FROM l),
+k AS (SELECT l_partkey, list_sort(list(s)) AS ss, list_sort(list(e)) AS es, list_sort(list_distinct(list_concat(list_concat(list(s), list(e)), [0.0::DOUBLE]))) AS ps, max(e) AS stop FROM z GROUP BY l_partkey),
+c AS (SELECT l_partkey, ss, es, ps, stop, -1::BIGINT AS chunk, ps[1] AS a, ps[1] AS b FROM k
+ UNION ALL SELECT l_partkey, ss, es, ps, stop, chunk + 1, b, CASE WHEN over IS NULL THEN close ELSE coalesce(list_max([q FOR q IN ps IF q > b AND q < over]), over) END
+ FROM (SELECT *, list_min([p FOR p IN ps IF p > b AND p <= close AND len([x FOR x IN ss IF x < p]) - len([x FOR x IN es IF x <= b]) > 12]) AS over FROM (SELECT *, least(stop, b + 45) AS close FROM c WHERE b < stop)))
+SELECT l_partkey, chunk, a AS start, b AS "end", (len([x FOR x IN ss IF x < b]) - len([x FOR x IN es IF x <= a]))::BIGINT AS n FROM c WHERE chunk >= 0""")
 def chunk_plan(spark, sf_dir):
     """Render chunks of each part's shipments: at most twelve at once, 45 days long."""
     s = shipments(spark, sf_dir)
