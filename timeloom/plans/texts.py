@@ -55,7 +55,14 @@ def repetition_lookback(spark, sf_dir):
     return pairs.select("conv_id", "turn", F.col("prev_own").alias("other"), text.overlap(F.col("tok"), F.col("prev_tok")).cast("long").alias("common")).filter("common >= 4")
 
 
-@query()
+@query("""WITH t AS (SELECT conv_id, turn, regexp_extract_all(trim(regexp_replace(lower(strip_accents(coalesce(text, ''))), '[^a-z0-9]+', ' ', 'g')), '[a-z0-9]+') AS tok, len([x FOR x IN string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' ') IF x <> '']) AS size FROM conversations),
+u AS (SELECT conv_id, turn, size, tok, unnest(tok) AS w, unnest(range(1, len(tok) + 1)) AS i FROM t),
+m AS (SELECT a.conv_id, a.turn AS left_no, b.turn AS right_no, a.tok, least(a.size, b.size) AS shorter, a.i, a.i - b.i AS d FROM u a JOIN u b ON a.conv_id = b.conv_id AND a.w = b.w AND b.turn - a.turn BETWEEN 1 AND 8),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY conv_id, left_no, right_no, d ORDER BY i) AS g FROM m),
+r AS (SELECT conv_id, left_no, right_no, any_value(tok) AS tok, any_value(shorter) AS shorter, count(*) AS n, min(i) AS s FROM g GROUP BY conv_id, left_no, right_no, d, g),
+b AS (SELECT *, row_number() OVER (PARTITION BY conv_id, left_no, right_no ORDER BY n DESC, s) AS k FROM r)
+SELECT conv_id, left_no, right_no, n::INT AS run, array_to_string(tok[s:s + n - 1], ' ') AS phrase, n / greatest(shorter, 1)::DOUBLE AS coverage FROM b WHERE k = 1
+ AND (n >= 4 OR (shorter BETWEEN 1 AND 3 AND n = shorter) OR (shorter < 4 AND n >= 2 AND n / greatest(shorter, 1) >= 0.4))""")
 def repetition_links(spark, sf_dir):
     """Turns that repeat a long run of an earlier one."""
     return align.repetition_links(read(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), ["conv_id"], "turn", "text")
