@@ -176,7 +176,7 @@ def _located(spark, sf_dir):
 
     c = first_by(read(spark, sf_dir, "conversations").filter("text <> ''"), ["conv_id", "turn"], ["text"])
     whole = c.groupBy("conv_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), "\n").alias("whole"))
-    return align.locate_in_order(c.join(whole, "conv_id").select("conv_id", "turn", "text", "whole"), ["conv_id"], "turn", "text", F.col("whole"))
+    return align.locate_in_order(c.select("conv_id", "turn", "text"), whole, ["conv_id"], "turn", "text", "whole")
 
 
 @query(f'WITH {_SPANS} SELECT conv_id, turn, s::INT AS "at" FROM sp')
