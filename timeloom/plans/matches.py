@@ -92,7 +92,27 @@ def _takes(spark, sf_dir):
     return rows, sentences
 
 
-@query()
+_TOKENS = "list_distinct(regexp_extract_all(trim(regexp_replace(lower(strip_accents({0})), '[^a-z0-9]+', ' ', 'g')), '[a-z0-9]+'))"
+
+
+@query(f"""WITH RECURSIVE c AS (SELECT conv_id, turn, string_split(regexp_replace(text, '([.?!])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS ss, regexp_split_to_array(text, '\\s+') AS w FROM conversations WHERE text IS NOT NULL),
+s AS (SELECT conv_id, turn * 1000 + p AS sentence_no, {_TOKENS.format('ss[p + 1]')} AS t FROM (SELECT *, unnest(range(0, len(ss))) AS p FROM c)),
+r AS (SELECT conv_id, turn * 1000 + i AS row_no, i % 3 = 0 AS keep, {_TOKENS.format("array_to_string(w[i * 5 + 1:i * 5 + 5], ' ')")} AS t FROM (SELECT *, unnest(range(0, (len(w) - 1) // 5 + 1)) AS i FROM c)),
+p AS (SELECT s.conv_id, sentence_no, row_no, keep, len(s.t) AS size, len(r.t) AS n, list_intersect(r.t, s.t) AS shared FROM s JOIN r ON r.conv_id = s.conv_id WHERE len(list_intersect(r.t, s.t)) >= 2),
+b AS (SELECT conv_id, sentence_no, any_value(size) AS size, list({{'row_no': row_no, 'keep': keep, 'shared': shared}}) AS near FROM p GROUP BY conv_id, sentence_no),
+e AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY sentence_no, first DESC, row_no DESC) AS k FROM (SELECT conv_id, sentence_no, size, true AS first, NULL AS row_no, NULL AS keep, 0 AS n, NULL AS shared, near FROM b
+  UNION ALL SELECT conv_id, sentence_no, size, false, row_no, keep, n, shared, NULL FROM p UNION ALL SELECT conv_id, 1000000000, 1, true, NULL, NULL, 0, NULL, [] FROM b GROUP BY conv_id)),
+f AS (SELECT conv_id, 0::BIGINT AS k, 1::BIGINT AS size, NULL::BIGINT AS sentence_no, []::BIGINT[] AS kept, []::VARCHAR[] AS covered, NULL::BIGINT AS anchor, []::BIGINT[] AS picked, true AS done, []::BIGINT[] AS gained, NULL::BIGINT AS gained_by FROM b GROUP BY conv_id
+ UNION ALL SELECT conv_id, k, size, sentence_no, kept, CASE WHEN first THEN held ELSE CASE WHEN takes THEN list_distinct(list_concat(covered, shared)) ELSE covered END END,
+  CASE WHEN first THEN held_from WHEN takes THEN least(coalesce(anchor, row_no), row_no) ELSE anchor END, CASE WHEN first THEN [] WHEN takes THEN list_append(picked, row_no) ELSE picked END,
+  CASE WHEN first THEN len(held) >= 0.85 * size ELSE done OR stops OR (takes AND len(list_distinct(list_concat(covered, shared))) >= 0.85 * size) END, gained, gained_by
+ FROM (SELECT *, NOT first AND usable AND NOT stops AS takes FROM (SELECT *, usable AND anchor IS NOT NULL AND (anchor - row_no) * 2.0 > 10 AND len(covered) >= 0.7 * size AS stops FROM (
+  SELECT h.*, list_distinct(flatten([x.shared FOR x IN near IF (x.keep OR list_contains(kept, x.row_no)) AND len(x.shared) >= greatest(3, floor(0.3::DOUBLE * size))])) AS held, list_min([x.row_no FOR x IN near IF (x.keep OR list_contains(kept, x.row_no)) AND len(x.shared) >= greatest(3, floor(0.3::DOUBLE * size))]) AS held_from,
+   NOT first AND NOT done AND NOT keep AND NOT list_contains(kept, row_no) AND n - len(shared) <= 2 * len(shared) + 1 AND len([x FOR x IN shared IF NOT list_contains(covered, x)]) >= 2 AS usable
+  FROM (SELECT e.conv_id, e.k, e.size, e.sentence_no, e.first, e.row_no, e.keep, e.n, e.shared, e.near, f.covered, f.anchor, f.picked, f.done,
+    CASE WHEN e.first AND len(f.covered) >= 0.7 * f.size THEN list_concat(f.kept, f.picked) ELSE f.kept END AS kept, CASE WHEN e.first AND len(f.covered) >= 0.7 * f.size THEN f.picked ELSE [] END AS gained, f.sentence_no AS gained_by
+   FROM f JOIN e ON e.conv_id = f.conv_id AND e.k = f.k + 1) h))))
+SELECT conv_id, unnest(gained) AS row_no, gained_by AS sentence_no FROM f""")
 def stitched_takes(spark, sf_dir):
     """Dropped pieces of the turns that are taken back to cover sentences, in the order of the script."""
     rows, sentences = _takes(spark, sf_dir)
