@@ -21,6 +21,8 @@ BOLD, ITALIC, UNDERLINE = frozenset(("b", "strong")), frozenset(("i", "em")), fr
 #: Fixed signs of list items, and the prefix of classes that mark bullets.
 BULLET_SIGNS, CHECK_SIGNS, BULLET_CLASS = frozenset("•◦▪▫◾◽◉○◯◆◇"), frozenset("☐☑☒✅✔✓"), "li-bullet"
 STYLE_KINDS = ("bold", "italic", "underline")
+_PLAIN: frozenset[str] = frozenset()
+STYLED = {tag: frozenset((kind,)) for kind, tags in zip(STYLE_KINDS, (BOLD, ITALIC, UNDERLINE), strict=True) for tag in tags}
 #: Characters of a styled part at least.
 PART_CHARS = 2
 
@@ -38,6 +40,8 @@ def class_rules(source: str) -> dict[str, tuple[set[str], str]]:
     """Per class of the page's style rules the kinds of style it sets and the text of its ``content``; of several
     rules the last one counts."""
     rules = {}
+    if "{" not in source:
+        return rules
     for name, body in re.findall(r"\.([a-zA-Z0-9_-]+)\{([^}]*)\}", source):
         content = re.search(r'(?i)content\s*:\s*"([^"]*)"', body)
         rules[name] = (style_kinds(body.lower()), css_text(content[1]) if content else "")
@@ -100,18 +104,19 @@ class _Reader(HTMLParser):
         at = dict(attrs)
         classes = (at.get("class") or "").split()
         ruled = [self.rules[c] for c in classes if c in self.rules]
-        marker = " ".join(dict.fromkeys(m for _, m in ruled if m.strip()))
-        own = set().union(style_kinds((at.get("style") or "").lower()), *(k for k, _ in ruled))
-        own |= {kind for kind, tags in zip(STYLE_KINDS, (BOLD, ITALIC, UNDERLINE), strict=True) if tag in tags}
+        marker = " ".join(dict.fromkeys(m for _, m in ruled if m.strip())) if ruled else ""
+        kinds = self.styles[-1][1] if self.styles else _PLAIN
+        if ruled or at.get("style") or tag in STYLED:
+            kinds = kinds.union(STYLED.get(tag, _PLAIN), style_kinds((at.get("style") or "").lower()), *(k for k, _ in ruled))
         if tag not in VOID:
-            self.styles.append((tag, frozenset(own) | (self.styles[-1][1] if self.styles else frozenset())))
+            self.styles.append((tag, kinds))
         if tag in ("ul", "ol"):
             self.lists.append((tag, marker))
         if tag in BLOCKS:
             self._close()
             item = self.lists[-1] if self.lists and tag == "li" else (None, "")
             marker = " ".join(x for x in (item[1], marker) if x) if tag == "li" else ""
-            self.open = {"tag": tag, "text": [], "bold": [], "italic": [], "underline": [], "since": dict.fromkeys(STYLE_KINDS, True), "list_type": item[0], "list_kind": list_kind(item[0], classes, marker) if tag == "li" else None, "marker": marker}
+            self.open = {"tag": tag, "text": [], "bold": [], "italic": [], "underline": [], "last": _PLAIN, "list_type": item[0], "list_kind": list_kind(item[0], classes, marker) if tag == "li" else None, "marker": marker}
         if tag == "input" and (at.get("type") or "").lower() == "checkbox" and self.open:
             self.open["list_kind"] = "check"
         if tag == "br" and self.open:
@@ -123,7 +128,9 @@ class _Reader(HTMLParser):
         if tag in HIDDEN:
             self.hidden = max(0, self.hidden - 1)
             return
-        if any(t == tag for t, _ in self.styles):  # elements left open inside end too
+        if self.styles and self.styles[-1][0] == tag:
+            self.styles.pop()
+        elif any(t == tag for t, _ in self.styles):  # elements left open inside end too
             while self.styles.pop()[0] != tag:
                 pass
         if tag in ("ul", "ol") and self.lists:
@@ -139,13 +146,13 @@ class _Reader(HTMLParser):
             return
         if self.open:
             self.open["text"].append(data)
-            kinds = self.styles[-1][1] if self.styles and data.strip() else frozenset()
-            for kind in STYLE_KINDS:
-                if kind in kinds:
-                    if self.open["since"][kind]:
-                        self.open[kind].append("")
+            kinds = self.styles[-1][1] if self.styles and data.strip() else _PLAIN
+            for kind in kinds:
+                if kind in self.open["last"]:
                     self.open[kind][-1] += data
-                self.open["since"][kind] = kind not in kinds
+                else:
+                    self.open[kind].append(data)
+            self.open["last"] = kinds
         if self.link:
             self.link["text"].append(data)
 
