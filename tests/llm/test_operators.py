@@ -479,6 +479,44 @@ def test_near_duplicates_are_exact(spark, monkeypatch, hot):
     assert sorted(x[0] for x in out.select("doc_id").collect()) == plain_survivors(data)
 
 
+def test_common_shingles_are_looked_up():
+    """Many common shingles cost a bisection each, not a pass over all of them for every text."""
+    import time
+
+    import pyarrow as pa
+
+    hot = np.sort(np.random.default_rng(5).integers(0, 1 << 63, 200_000).astype(np.uint64))
+    texts = pa.array([prose(60, i).encode() for i in range(100)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array(range(100)), pa.array(range(100)), texts], names=["row_a", "row_b", "did", "text"])
+    began = time.process_time()
+    (out,) = simhash._prefixes(hot)([batch])
+    assert out.num_rows == 100 and time.process_time() - began < 1
+    s = next(simhash._shingle_sets(texts))
+    (out,) = simhash._prefixes(np.sort(s[:-1]))([batch.slice(0, 1)])
+    assert out["prefix"][0][0].as_py() == int(s[-1:].view(np.int64)[0])  # the one that isn't common stands first
+
+
+def test_a_joint_passage_compares_no_texts(spark, monkeypatch):
+    """Texts that share one short passage aren't compared: pairs that are read grow with near copies only."""
+    seen, cut = [], simhash.durable
+    monkeypatch.setattr(simhash, "durable", lambda df: (seen.append(x.count()) if (x := cut(df)).columns == ["a", "b"] else None, x)[1])
+    passage = "every text of these holds these words"
+    data = [(i, " ".join([prose(50, 2000 + i), passage, prose(50, 3000 + i)]), "en", "s") for i in range(60)]
+    out = simhash.drop_near_duplicates(spark.createDataFrame(data, "doc_id bigint, text string, lang string, source string"))
+    assert out.count() == 60 and seen and sum(seen) == 0
+
+
+def test_short_near_duplicates_are_exact(spark):
+    """Sets of a few shingles, where similar ones share fewer than the prefixes are asked for."""
+    r = random.Random(31)
+    data = []
+    for _ in range(60):
+        w = [r.choice(VOCABULARY) for _ in range(r.randrange(1, 40))]
+        data += [(len(data) + k, " ".join(x)) for k, x in enumerate((w, w[:-1], w[1:], [*w, "more"], w[:-2], [*w[:20], "else", *w[21:]]))]
+    out = simhash.drop_near_duplicates(spark.createDataFrame([(*d, "en", "s") for d in data], "doc_id bigint, text string, lang string, source string"))
+    assert sorted(x[0] for x in out.select("doc_id").collect()) == plain_survivors(data)
+
+
 # ---------------------------------------------------------------------------------------------------- bpe
 P = pytest.importorskip("public_tokenizers")
 

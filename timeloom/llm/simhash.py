@@ -222,6 +222,9 @@ def simhash_components(rows: DataFrame, budget: int = 4) -> DataFrame:
 # ------------------------------------------------------------------- near duplicates by word-shingle similarity
 #: Words of a shingle, and the similarity of shingle sets (a fraction) from which two texts are near copies.
 SHINGLE, SIMILAR = 5, (4, 5)
+#: The prefixes of two texts must share JOINT shingles and one more for each JOINT_STEP of the smaller set before
+#: the texts are compared, or all that similar sets of their sizes are sure to share where these are fewer.
+JOINT, JOINT_STEP = 3, 32
 #: Common shingles: one in SAMPLE rows is counted, shingles of HOT rows of it or more stand last in the order
 #: of prefixes. Any order gives the same links; this one keeps common passages out of the prefixes.
 SAMPLE, HOT = 16, 8
@@ -236,7 +239,8 @@ def _shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
         h, firsts = word_hashes(data, offsets, _TOKEN)
         for i in range(len(offsets) - 1):
             words = h[firsts[i] : firsts[i + 1]]
-            yield np.unique(gram_hashes(words, min(SHINGLE, len(words)))) if len(words) else words
+            grams = np.sort(gram_hashes(words, min(SHINGLE, len(words)))) if len(words) else words
+            yield grams[np.concatenate(([True], grams[1:] != grams[:-1]))] if len(grams) else grams
 
 
 def _longs(arrays: list[np.ndarray]) -> pa.Array:
@@ -250,9 +254,14 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], names=["token"])
 
 
+def _joint(n):
+    return JOINT + n // JOINT_STEP
+
+
 def _prefixes(hot: np.ndarray):
-    """Rows with the hash and size of their shingle set and its prefix: a set that shares the part SIMILAR of
-    the union of both shares a member of both prefixes, in any fixed order of shingles."""
+    """Rows with the hash and size of their shingle set and its prefix: sets
+    that share the part SIMILAR of their union share members of both prefixes, as many as the smaller set's
+    _joint, or all that they share, in any fixed order of shingles. ``hot`` is sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
@@ -260,10 +269,10 @@ def _prefixes(hot: np.ndarray):
         for batch in batches:
             fids, sizes, firsts = [], [], []
             for s in _shingle_sets(batch.column(3)):
-                common = np.isin(s, hot) if len(hot) else np.zeros(len(s), bool)
+                common = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s if len(hot) else np.zeros(len(s), bool)
                 fids.append(xxh64_intdigest(s.tobytes(), 5))
                 sizes.append(len(s))
-                firsts.append(np.concatenate((s[~common], s[common]))[: len(s) + 1 + -len(s) * SIMILAR[0] // SIMILAR[1]])
+                firsts.append(np.concatenate((s[~common], s[common]))[: len(s) + _joint(len(s)) + -len(s) * SIMILAR[0] // SIMILAR[1]])
             columns = [pa.array(np.array(fids, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), _longs(firsts)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["row_a", "row_b", "did", "fid", "n", "prefix"])
 
@@ -304,43 +313,43 @@ def _shared(token, fid, n, pos) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(c[take]) for c in (token, fid, n, pos)], names=["token", "fid", "n", "pos"])
 
 
-def _possible(n: np.ndarray, pos: np.ndarray, i, j) -> np.ndarray:
-    """Whether sets whose first joint shingle stands at these places can be similar enough."""
-    most = np.minimum(n[i] - pos[i], n[j] - pos[j]).astype(np.int64)
-    return most * (SIMILAR[0] + SIMILAR[1]) >= (n[i].astype(np.int64) + n[j]) * SIMILAR[0]
-
-
-def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    out = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], names=["a", "b"])
+def _proposed(fid: np.ndarray, n: np.ndarray, pos: np.ndarray, component: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    """Pairs that aren't connected and can be similar with this as one of the joint shingles that they need: how
+    many they share here, and how many they need."""
+    least = -(-(n[i].astype(np.int64) + n[j]) * SIMILAR[0] // (SIMILAR[0] + SIMILAR[1]))
+    need = np.minimum(least, _joint(np.minimum(n[i], n[j])))
+    ok = (component[i] != component[j]) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) + need - 1 >= least)
+    a, b, need = fid[i[ok]], fid[j[ok]], need[ok]
+    out, first, joint = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1, return_index=True, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (out[0], out[1], joint, need[first])], names=["a", "b", "joint", "need"])
 
 
-def _star_pairs(token, fid, n, pos) -> Iterator[pa.RecordBatch]:
+def _star_pairs(token, fid, n, pos, component) -> Iterator[pa.RecordBatch]:
     """The first member of each token with the others."""
     first, sizes = _groups(token)
     hub, other = np.repeat(first, sizes), np.arange(len(token))
-    ok = (hub != other) & _possible(n, pos, hub, other)
-    yield _pairs(fid[hub[ok]], fid[other[ok]])
+    yield _proposed(fid, n, pos, component, hub, other)
 
 
 def _cross_pairs(token, fid, n, pos, component) -> Iterator[pa.RecordBatch]:
-    """All pairs of members of a token that aren't connected yet."""
-    left, right, held = [], [], 0
-    for start, size in zip(*_groups(token), strict=True):
-        end = start + size
-        if (component[start:end] == component[start]).all():
-            continue
-        for i in range(start, end - 1):
-            j = np.arange(i + 1, end)
-            j = j[(component[j] != component[i]) & _possible(n, pos, i, j)]
-            left.append(np.full(len(j), fid[i]))
-            right.append(fid[j])
-            held += len(j)
-            if held > COMPARED:
-                yield _pairs(np.concatenate(left), np.concatenate(right))
-                left, right, held = [], [], 0
-    if held:
-        yield _pairs(np.concatenate(left), np.concatenate(right))
+    """All pairs of members of a token."""
+    first, sizes = _groups(token)
+    mixed = np.minimum.reduceat(component, first) != np.maximum.reduceat(component, first)
+    token, fid, n, pos, component = (c[np.repeat(mixed, sizes)] for c in (token, fid, n, pos, component))
+    left, right, held, step = [], [], 0, 1
+    i = np.arange(len(token))
+    while True:  # each member with the one that stands so many places behind it
+        i = i[i < len(token) - step]
+        i = i[token[i] == token[i + step]]
+        if held and (held > COMPARED or not len(i)):
+            yield _proposed(fid, n, pos, component, np.concatenate(left), np.concatenate(right))
+            left, right, held = [], [], 0
+        if not len(i):
+            return
+        left.append(i)
+        right.append(i + step)
+        held += len(i)
+        step += 1
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,30 +371,32 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def similar_links(named: DataFrame, rows: DataFrame) -> DataFrame:
     """(a, b): pairs of ``fid`` of similar shingle sets, enough of them to connect all that are connected.
 
-    ``rows`` are the prefix rows of ``named``. Candidates share a shingle of both prefixes, so no similar pair is
-    missed, and each is verified. First every shingle proposes its smallest member with the others, which
-    connects dense groups by few pairs; then all pairs of members that are still apart are proposed.
+    ``rows`` are the prefix rows of ``named``. Similar texts share shingles of both prefixes: first every shingle
+    proposes its smallest member with the others, then all pairs of members, each time of those that are still
+    apart. So no similar pair is missed; each is verified.
     """
     postings = rows.select("fid", "n", F.posexplode("prefix").alias("pos", "token")).select("token", "fid", "n", "pos")
     dealt = lambda df: df.repartition("token").sortWithinPartitions("token", "fid")
-    shared = durable(dealt(postings).mapInArrow(_by_token(_shared), "token bigint, fid bigint, n int, pos int"))
-    places = rows.groupBy("fid").agg(F.min(F.struct("row_a", "row_b")).alias("place"))
+    members = durable(rows.groupBy("fid").agg(F.min(F.struct("row_a", "row_b")).alias("place")))
 
     def verified(pairs: DataFrame) -> DataFrame:
         meet = pairs.select("a", F.explode(F.array("a", "b")).alias("fid")).groupBy("fid").agg(F.collect_set("a").alias("at"))
-        meet = durable(meet.join(places, "fid").select("place.row_a", "place.row_b", "fid", "at"))
+        meet = durable(meet.join(members, "fid").select("place.row_a", "place.row_b", "fid", "at"))
         texts = named.select("row_a", "row_b", F.col("text").cast("binary").alias("text"))
         met = texts.join(F.broadcast(meet) if meet.count() <= BROADCAST_ROWS else meet.hint("shuffle_hash"), ["row_a", "row_b"])
         met = met.select(F.explode("at").alias("a"), "fid", "text").repartition("a").sortWithinPartitions("a", F.col("fid") != F.col("a"))
         return durable(met.mapInArrow(_similar, "a bigint, b bigint"))
 
-    stars = durable(shared.mapInArrow(_by_token(_star_pairs), "a bigint, b bigint").distinct())
-    links = verified(stars)
-    known = durable(connected_components(links, "a", "b").withColumnRenamed("node", "fid"))
-    apart = small_join(shared, known, ["fid"], "left").select("token", "fid", "n", "pos", F.coalesce("component", "fid").alias("component"))
-    cross = dealt(apart).mapInArrow(_by_token(_cross_pairs), "a bigint, b bigint").distinct()
-    cross = durable(cross.join(stars, ["a", "b"], "left_anti"))
-    return links.unionByName(verified(cross))
+    links = tried = rows.sparkSession.createDataFrame([], "a bigint, b bigint")
+    shared = durable(dealt(postings).mapInArrow(_by_token(_shared), "token bigint, fid bigint, n int, pos int"))
+    for propose in (_star_pairs, _cross_pairs):
+        known = durable(connected_components(links, "a", "b").withColumnRenamed("node", "fid"))
+        apart = small_join(shared, known, ["fid"], "left").select("token", "fid", "n", "pos", F.coalesce("component", "fid").alias("component"))
+        pairs = dealt(apart).mapInArrow(_by_token(propose), "a bigint, b bigint, joint bigint, need bigint").groupBy("a", "b")
+        pairs = pairs.agg(F.sum("joint").alias("joint"), F.max("need").alias("need")).filter("joint >= need").select("a", "b")
+        pairs = durable(pairs.join(tried, ["a", "b"], "left_anti"))
+        links, tried = links.unionByName(verified(pairs)), tried.unionByName(pairs)
+    return links
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
@@ -405,10 +416,11 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
         .mapInArrow(_prefixes(hot), "row_a bigint, row_b bigint, did bigint, fid bigint, n int, prefix array<bigint>")
     )
     groups = connected_components(similar_links(named, rows), "a", "b")
-    grouped = rows.join(groups, rows["fid"] == groups["node"], "left").select("row_a", "row_b", "did", F.coalesce("component", "fid").alias("component"))
+    grouped = small_join(rows, durable(groups.withColumnRenamed("node", "fid")), ["fid"], "left").select("row_a", "row_b", "did", F.coalesce("component", "fid").alias("component"))
     by_row = grouped.groupBy("component", "row_a", "row_b").agg(F.min("did").alias("did"), F.count("*").alias("n"))
     best = by_row.groupBy("component").agg(F.min(F.struct("did", "row_a", "row_b")).alias("best"))
-    judged = durable(by_row.join(best, "component").withColumn("stays", F.struct("did", "row_a", "row_b") == F.col("best")).select("row_a", "row_b", "stays", "n"))
+    stays = best.select("best.row_a", "best.row_b", F.lit(True).alias("stays"))
+    judged = durable(by_row.join(stays, ["row_a", "row_b"], "left").select("row_a", "row_b", F.coalesce("stays", F.lit(False)).alias("stays"), "n"))
     lost = judged.filter(~F.col("stays")).select("row_a", "row_b")
     n_lost, most = judged.agg(F.count_if(~F.col("stays")), F.max(F.when(F.col("stays"), F.col("n")))).first()
     kept = named.join(F.broadcast(lost) if n_lost <= BROADCAST_ROWS else lost.hint("shuffle_hash"), ["row_a", "row_b"], "left_anti")
