@@ -506,6 +506,20 @@ def test_a_joint_passage_compares_no_texts(spark, monkeypatch):
     assert out.count() == 60 and seen and sum(seen) == 0
 
 
+def test_near_duplicates_come_through_the_trie(spark, monkeypatch):
+    """Fingerprints within four bits link near copies without any shingle pair; unlike texts with such fingerprints stay."""
+    monkeypatch.setattr(simhash, "_star_pairs", lambda *columns: iter(()))
+    monkeypatch.setattr(simhash, "_cross_pairs", lambda *columns: iter(()))
+    data = []
+    for i in range(30):
+        base = prose(300, 4000 + i)
+        data += [(len(data), base, "en", "s"), (len(data) + 1, base.rsplit(" ", 1)[0] + " changed", "en", "s")]
+    data += [(len(data), "one two three", "en", "s"), (len(data) + 1, "one two three " * 3, "en", "s")]
+    near = {j for i in range(0, 60, 2) for j in [i + 1] if (plain_fingerprint(data[i][1]) ^ plain_fingerprint(data[j][1])).bit_count() <= 4}
+    out = simhash.drop_near_duplicates(spark.createDataFrame(data, "doc_id bigint, text string, lang string, source string"))
+    assert len(near) > 20 and sorted(x[0] for x in out.select("doc_id").collect()) == [d[0] for d in data if d[0] not in near]
+
+
 def test_short_near_duplicates_are_exact(spark):
     """Sets of a few shingles, where similar ones share fewer than the prefixes are asked for."""
     r = random.Random(31)

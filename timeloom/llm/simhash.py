@@ -259,7 +259,7 @@ def _joint(n):
 
 
 def _prefixes(hot: np.ndarray):
-    """Rows with the hash and size of their shingle set and its prefix: sets
+    """Rows with the hash and size of their shingle set, the fingerprint of the text and the set's prefix: sets
     that share the part SIMILAR of their union share members of both prefixes, as many as the smaller set's
     _joint, or all that they share, in any fixed order of shingles. ``hot`` is sorted."""
 
@@ -267,14 +267,15 @@ def _prefixes(hot: np.ndarray):
         from xxhash import xxh64_intdigest
 
         for batch in batches:
-            fids, sizes, firsts = [], [], []
-            for s in _shingle_sets(batch.column(3)):
+            fids, sizes, fps, firsts = [], [], [], []
+            for s, text in zip(_shingle_sets(batch.column(3)), batch.column(3), strict=True):
                 common = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s if len(hot) else np.zeros(len(s), bool)
                 fids.append(xxh64_intdigest(s.tobytes(), 5))
                 sizes.append(len(s))
+                fps.append(fingerprint(text.as_py()))
                 firsts.append(np.concatenate((s[~common], s[common]))[: len(s) + _joint(len(s)) + -len(s) * SIMILAR[0] // SIMILAR[1]])
-            columns = [pa.array(np.array(fids, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), _longs(firsts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["row_a", "row_b", "did", "fid", "n", "prefix"])
+            columns = [pa.array(np.array(fids, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(np.array(fps, np.uint64).view(np.int64)), _longs(firsts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["row_a", "row_b", "did", "fid", "n", "fp", "prefix"])
 
     return run
 
@@ -371,13 +372,14 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def similar_links(named: DataFrame, rows: DataFrame) -> DataFrame:
     """(a, b): pairs of ``fid`` of similar shingle sets, enough of them to connect all that are connected.
 
-    ``rows`` are the prefix rows of ``named``. Similar texts share shingles of both prefixes: first every shingle
-    proposes its smallest member with the others, then all pairs of members, each time of those that are still
-    apart. So no similar pair is missed; each is verified.
+    ``rows`` are the prefix rows of ``named``. The trie join of the fingerprints proposes the near copies, the
+    smallest member of each of its components with the others. Similar texts whose fingerprints are further apart
+    share shingles of both prefixes: first every shingle proposes its smallest member with the others, then all
+    pairs of members, each time of those that are still apart. So no similar pair is missed; each is verified.
     """
     postings = rows.select("fid", "n", F.posexplode("prefix").alias("pos", "token")).select("token", "fid", "n", "pos")
     dealt = lambda df: df.repartition("token").sortWithinPartitions("token", "fid")
-    members = durable(rows.groupBy("fid").agg(F.min(F.struct("row_a", "row_b")).alias("place")))
+    members = durable(rows.groupBy("fid").agg(F.min(F.struct("row_a", "row_b")).alias("place"), F.min("fp").alias("fp")))
 
     def verified(pairs: DataFrame) -> DataFrame:
         meet = pairs.select("a", F.explode(F.array("a", "b")).alias("fid")).groupBy("fid").agg(F.collect_set("a").alias("at"))
@@ -387,7 +389,10 @@ def similar_links(named: DataFrame, rows: DataFrame) -> DataFrame:
         met = met.select(F.explode("at").alias("a"), "fid", "text").repartition("a").sortWithinPartitions("a", F.col("fid") != F.col("a"))
         return durable(met.mapInArrow(_similar, "a bigint, b bigint"))
 
-    links = tried = rows.sparkSession.createDataFrame([], "a bigint, b bigint")
+    near = small_join(members, fingerprint_components(members.select("fp").distinct()), ["fp"], "left").select("fid", F.coalesce("component", "fp").alias("component"))
+    hubs = durable(near.groupBy("component").agg(F.min("fid").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n"))
+    tried = durable(small_join(near, hubs, ["component"]).filter("fid > a").select("a", F.col("fid").alias("b")))
+    links = verified(tried)
     shared = durable(dealt(postings).mapInArrow(_by_token(_shared), "token bigint, fid bigint, n int, pos int"))
     for propose in (_star_pairs, _cross_pairs):
         known = durable(connected_components(links, "a", "b").withColumnRenamed("node", "fid"))
@@ -403,7 +408,8 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each group of near copies, the one with the smallest doc_id; all columns unchanged.
 
     Near copies share five-word shingles with similarity 0.8 or more, counted exactly (shingles are compared by
-    64-bit hashes); groups are connected through such links. Equal shingle sets are one member, texts without
+    64-bit hashes); groups are connected through such links, found by the trie join of the fingerprints and, beyond
+    its four bits, by shingles. Equal shingle sets are one member, texts without
     words too.
     """
     named = docs.withColumns(dict(zip(("row_a", "row_b"), row_identity("doc_id", "text", "lang", "source"), strict=True)))
@@ -413,7 +419,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     last = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("did")
     rows = durable(
         named.select("row_a", "row_b", last, F.col("text").cast("binary").alias("text"))
-        .mapInArrow(_prefixes(hot), "row_a bigint, row_b bigint, did bigint, fid bigint, n int, prefix array<bigint>")
+        .mapInArrow(_prefixes(hot), "row_a bigint, row_b bigint, did bigint, fid bigint, n int, fp bigint, prefix array<bigint>")
     )
     groups = connected_components(similar_links(named, rows), "a", "b")
     grouped = small_join(rows, durable(groups.withColumnRenamed("node", "fid")), ["fid"], "left").select("row_a", "row_b", "did", F.coalesce("component", "fid").alias("component"))
