@@ -577,6 +577,24 @@ def test_byte_bpe_long_pieces():
         assert [int(x) for x in ids.split(",")] == enc.encode_ordinary(text) and raw == text.encode() and n == len(enc.encode_ordinary(text))
 
 
+def test_byte_bpe_caches(monkeypatch):
+    """Generations turn and long entries go without a pass over what is remembered; ids stay those of the library."""
+    tiktoken = pytest.importorskip("tiktoken")
+    P = pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(bpe, "CHUNKS", 60)
+    monkeypatch.setattr(bpe, "PIECES", 60)
+    coder = bpe.Coder.__wrapped__(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    for i in (1, 2, 3, 1, 4, 2):
+        some = [prose(80, i), prose(40, i + 10), "z" * 500 + " x", "tab\t" * 80, ""]
+        for text, (n, ids, raw) in zip(some, coder.code(some), strict=True):
+            want = enc.encode_ordinary(text)
+            assert (n, ids, raw) == (len(want), ",".join(map(str, want)), text.encode())
+        assert {len(x) > bpe.CACHED_CHARS for x in coder.long} == {True}
+    coder._turn()
+    assert not coder.long and all(len(x) <= bpe.CACHED_CHARS for kind in (coder.chunks, coder.pieces) for caches in kind for cache in caches for x in cache)
+
+
 def test_byte_bpe_one_window_over_all(monkeypatch):
     """Where windows share no token the window that reaches back, and queries of few rounds, give the same ids."""
     import tiktoken

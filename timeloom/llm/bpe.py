@@ -22,12 +22,13 @@ length; other columns are ignored by the query and kept by the operator in a str
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -84,8 +85,10 @@ class Coder:
         self.other_space = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
         self.size = {n: len(t) for t, n in self.ranks.items()}
         self.bytes_to_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.chunks: list[dict[str, tuple[str, bytes]]] = [{"": ("", b"")}, {}]
-        self.pieces: list[dict[bytes, tuple[str, bytes]]] = [{}, {}]
+        #: Ids joined by commas and decoded bytes, by generation; entries of plain strings cost the collector nothing.
+        self.chunks: list[tuple[dict[str, str], dict[str, bytes]]] = [({}, {}), ({}, {})]
+        self.pieces: list[tuple[dict[bytes, str], dict[bytes, bytes]]] = [({}, {}), ({}, {})]
+        self.long: list[str | bytes] = []
         splits = [(self.ranks[t[:i]], self.ranks[t[i:]], n) for t, n in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1; SET memory_limit = '300MB'; SET temp_directory = ''; SET preserve_insertion_order = true")
@@ -115,17 +118,18 @@ class Coder:
     def _short(self, pieces: list[bytes]) -> None:
         """Encodes and decodes pieces of fewer than LONG bytes in one query."""
         out = self._query(self._base(pieces), CONTRACT.format(positions=LONG, kind="INTEGER", rounds=LONG) + DECODE.format(source="done"))
-        known = self.pieces[0]
-        for i, ids, text in zip(out["w"].to_pylist(), out["ids"].to_pylist(), out["hex"].to_pylist(), strict=True):
-            piece, raw = pieces[i], bytes.fromhex(text)
-            known[piece] = (ids, piece if raw == piece else raw)  # equal bytes are held once
+        found = [pieces[i] for i in out["w"].to_pylist()]
+        ids, raw = self.pieces[0]
+        ids.update(zip(found, out["ids"].to_pylist(), strict=True))
+        raw.update((p, p if p == x else x) for p, x in zip(found, map(bytes.fromhex, out["hex"].to_pylist()), strict=True))  # equal bytes are held once
 
     def _tokens(self, raw: bytes) -> list[int]:
         """The ids of one window."""
         if len(raw) < LONG:
-            if raw not in self.pieces[0]:
+            known = self.pieces[0][0]
+            if raw not in known:
                 self._short([raw])
-            return list(map(int, self.pieces[0][raw][0].split(",")))
+            return list(map(int, known[raw].split(",")))
         positions = 1 << len(raw).bit_length()
         rounds = max(1, QUERY_ROWS // len(raw))
         base, step = self._base([raw]), rounds
@@ -167,7 +171,7 @@ class Coder:
         windows = {p[i : i + LONG - 1] for p in long for i in range(0, len(p), STRIDE)}
         fresh = [p for p in pieces if len(p) < LONG or p in self.ranks]
         todo, rows = [], 0
-        for p in [*fresh, *windows.difference(fresh, self.pieces[0])]:
+        for p in [*fresh, *windows.difference(fresh, self.pieces[0][0])]:
             cost = 1 if p in self.ranks else len(p) * len(p) // 2
             if todo and rows + cost > QUERY_ROWS:
                 self._short(todo)
@@ -180,40 +184,42 @@ class Coder:
             ids = pa.array(self._joined(p), pa.int32())
             base = pa.table({"w": pa.array(np.zeros(len(ids), np.int32)), "pos": pa.array(np.arange(len(ids), dtype=np.int32)), "tok": ids})
             out = self._query(base, DECODE.format(source="base"))
-            self.pieces[0][p] = (out["ids"][0].as_py(), bytes.fromhex(out["hex"][0].as_py()))
+            self.pieces[0][0][p], self.pieces[0][1][p] = out["ids"][0].as_py(), bytes.fromhex(out["hex"][0].as_py())
 
     def _turn(self) -> None:
         """Forgets long entries and starts a new generation of a cache that is full."""
         for caches, most in ((self.chunks, CHUNKS), (self.pieces, PIECES)):
-            for long in [x for x in caches[0] if len(x) > CACHED_CHARS]:
-                del caches[0][long]
-            if len(caches[0]) > most:
-                caches[:] = [{}, caches[0]]
-
-    def _recall(self, chunks: set[str]) -> dict[str, tuple[str, bytes]]:
+            for long in self.long:
+                for cache in caches[0]:
+                    cache.pop(long, None)
+            if len(caches[0][0]) > most:
+                caches[:] = [({}, {}), caches[0]]
+        self.long.clear()
+
+    def _recall(self, chunks: set[str]) -> tuple[dict[str, str], dict[str, bytes]]:
         """Ids joined by commas and decoded bytes of chunks."""
         self._turn()
-        young, old = self.chunks
-        split = {}
-        for c in chunks - young.keys():
-            if (known := old.get(c)) is None:
-                split[c] = [p.encode() for p in self.pieces_of(c)]
-            else:
-                young[c] = known
-        have, had = self.pieces
-        fresh = []
-        for p in set().union(*split.values()) - have.keys():
-            if (known := had.get(p)) is None:
-                fresh.append(p)
-            else:
-                have[p] = known
-        self._contract(fresh)
-        for c, pieces in split.items():
+        (ids, raw), (old_ids, old_raw) = self.chunks
+        (have_ids, have_raw), (had_ids, had_raw) = self.pieces
+        missing = chunks.difference(ids)
+        new = missing.difference(old_ids)
+        again = missing - new
+        ids.update(zip(again, map(old_ids.__getitem__, again)))
+        raw.update(zip(again, map(old_raw.__getitem__, again)))
+        split = [[p.encode() for p in pieces] for pieces in map(self.pieces_of, new)]
+        missing = set(chain.from_iterable(split)).difference(have_ids)
+        fresh = missing.difference(had_ids)
+        again = missing - fresh
+        have_ids.update(zip(again, map(had_ids.__getitem__, again)))
+        have_raw.update(zip(again, map(had_raw.__getitem__, again)))
+        self._contract(list(fresh))
+        for c, pieces in zip(new, split, strict=True):
             if len(pieces) == 1:
-                young[c] = have[pieces[0]]
+                ids[c], raw[c] = have_ids[pieces[0]], have_raw[pieces[0]]
             else:
-                young[c] = (",".join([have[p][0] for p in pieces]), b"".join([have[p][1] for p in pieces]))
-        return young
+                ids[c], raw[c] = ",".join([have_ids[p] for p in pieces]), b"".join([have_raw[p] for p in pieces])
+        self.long += [x for some in (new, fresh) for x in some if len(x) > CACHED_CHARS]
+        return ids, raw
 
     def cut(self, text: str) -> list[str]:
         """Chunks that join to the text and split into pieces independently of each other."""
@@ -224,20 +230,28 @@ class Coder:
             first, *rest = line.split(" ")
             if i:
                 out.append("\n")
-            out.append(first)
+            if first:
+                out.append(first)
             out += map(" ".__add__, rest)
         return out
 
     def code(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
         """(number of ids, ids joined by commas, decoded bytes) of each text."""
+        collects = gc.isenabled()
+        gc.disable()  # nothing here refers to itself, and passes over so many short-lived lists are dear
+        try:
+            return self._coded(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _coded(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
         cuts = [self.cut(t) for t in texts]
-        known = self._recall(set().union(*cuts))
+        ids, raw = self._recall(set(chain.from_iterable(cuts)))
         out = []
         for cut in cuts:
-            found = [known[c] for c in cut if c]
-            ids, raw = zip(*found, strict=True) if found else ((), ())
-            joined = ",".join(ids)
-            out.append((joined.count(",") + 1 if joined else 0, joined, b"".join(raw)))
+            joined = ",".join(map(ids.__getitem__, cut))
+            out.append((joined.count(",") + 1 if joined else 0, joined, b"".join(map(raw.__getitem__, cut))))
         return out
 
 
