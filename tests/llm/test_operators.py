@@ -595,6 +595,47 @@ def test_byte_bpe_caches(monkeypatch):
     assert not coder.long and all(len(x) <= bpe.CACHED_CHARS for kind in (coder.chunks, coder.pieces) for caches in kind for cache in caches for x in cache)
 
 
+def test_byte_bpe_looks_up_different_chunks_only():
+    """A word is looked up once in a group of texts, however often it stands there."""
+    import tiktoken
+
+    class Counting(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counting.asked += 1
+            return super().__getitem__(key)
+
+    coder = bpe.Coder.__wrapped__(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    coder.chunks[0] = (Counting(), Counting())
+    some = [" ".join(["one", "more", "wörd,"] * 500), "more " * 700 + "x", "wörd,\none"]
+    for text, (n, ids, raw) in zip(some, coder.code(some), strict=True):
+        assert [int(x) for x in ids.split(",")] == enc.encode_ordinary(text) and raw == text.encode() and n == len(enc.encode_ordinary(text))
+    assert 0 < Counting.asked <= 2 * len(coder.chunks[0][0]) < 20
+
+
+def test_byte_bpe_groups_of_texts():
+    """Slices of a column, its first and last texts, empty texts and white space at their ends: texts stay apart."""
+    import pyarrow as pa
+    import tiktoken
+
+    coder = bpe.Coder(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    r = random.Random(14)
+    parts = ["a", " ", "\n", "né", " wo", "日本", "'s", "12", ".\n", "  ", "\t", "\u2028", "\0"]
+    some = ["".join(r.choice(parts[: r.choice((4, 9, 13))]) for _ in range(r.choice((0, 0, 1, 2, 9)))) for _ in range(3000)]
+    column = pa.array(["", *some, ""], pa.large_string())
+    for most in (1, 7, 50, 100_000):
+        groups = list(bpe._groups(column.slice(1, len(some)), most))
+        assert [x for g in groups for x in g.to_pylist()] == some and all(len(g) == 1 or sum(map(len, g.to_pylist())) <= most for g in groups)
+        got = [x for g in groups[: 400 if most < 50 else None] for x in zip(*coder.encode(g), strict=True)]
+        for text, (n, ids, raw) in zip(some, got, strict=False):
+            want = enc.encode_ordinary(text)
+            assert (n, bytes(ids).decode(), bytes(raw)) == (len(want), ",".join(map(str, want)), text.encode())
+    assert list(bpe._groups(column.slice(0, 0), 5)) == [] and [len(x) for x in coder.encode(pa.array(["", ""], pa.large_string()))] == [2, 2, 2]
+
+
 def test_byte_bpe_one_window_over_all(monkeypatch):
     """Where windows share no token the window that reaches back, and queries of few rounds, give the same ids."""
     import tiktoken

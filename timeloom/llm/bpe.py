@@ -1,7 +1,8 @@
 """Operator 6, byte-level BPE: encoding and decoding by DuckDB recursive queries in each partition.
 
-A text is cut at its spaces and line ends into chunks that split into the same pieces wherever they stand;
-texts with other white space are split whole. Pieces not met before in this worker go to DuckDB as rows
+Texts are cut at their spaces and line ends into chunks that split into the same pieces wherever they stand;
+texts with other white space are split whole. Arrow numbers the different chunks of a group of texts, so that
+only those are looked up, and lays their ids and bytes side by side again. Pieces not met before in this worker go to DuckDB as rows
 (piece, position, token). A recursive query joins neighbouring tokens with the merge table and contracts, in
 each piece, the leftmost pair of the smallest rank, until no pair merges. Ordered aggregation then gives the
 ids of each piece and, through the vocabulary, the bytes that these ids decode to; a piece that is a token
@@ -24,19 +25,19 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, text_groups
+from .common import table
 
 #: Chunks and pieces that a worker remembers in the younger of two generations, and the length from which they
 #: are forgotten after use.
@@ -46,6 +47,9 @@ GROUP_CHARS, QUERY_ROWS = 4_000_000, 3_000_000
 #: Pieces from LONG bytes on are contracted in windows of LONG - 1 bytes, STRIDE bytes apart.
 LONG, STRIDE = 128, 64
 
+#: Texts that are split whole: with white space side by side, or other than spaces and line ends.
+WHOLE = "[ \n][ \n]|[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
 #: Contracts the pieces of ``base`` for {rounds} rounds; rank and position share one number of {kind}.
 CONTRACT = """
 WITH RECURSIVE s AS (
@@ -81,11 +85,9 @@ class Coder:
         with open(ranks_path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pieces_of = regex.compile(pattern).findall
-        #: White space other than spaces and line ends.
-        self.other_space = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
         self.size = {n: len(t) for t, n in self.ranks.items()}
         self.bytes_to_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        #: Ids joined by commas and decoded bytes, by generation; entries of plain strings cost the collector nothing.
+        #: Ids, each followed by a comma, and decoded bytes, by generation; entries of plain strings cost the collector nothing.
         self.chunks: list[tuple[dict[str, str], dict[str, bytes]]] = [({}, {}), ({}, {})]
         self.pieces: list[tuple[dict[bytes, str], dict[bytes, bytes]]] = [({}, {}), ({}, {})]
         self.long: list[str | bytes] = []
@@ -118,10 +120,10 @@ class Coder:
     def _short(self, pieces: list[bytes]) -> None:
         """Encodes and decodes pieces of fewer than LONG bytes in one query."""
         out = self._query(self._base(pieces), CONTRACT.format(positions=LONG, kind="INTEGER", rounds=LONG) + DECODE.format(source="done"))
-        found = [pieces[i] for i in out["w"].to_pylist()]
+        found = [pieces[i] for i in _values(out["w"])]
         ids, raw = self.pieces[0]
-        ids.update(zip(found, out["ids"].to_pylist(), strict=True))
-        raw.update((p, p if p == x else x) for p, x in zip(found, map(bytes.fromhex, out["hex"].to_pylist()), strict=True))  # equal bytes are held once
+        ids.update(zip(found, _values(pc.binary_join_element_wise(out["ids"], "", ",")), strict=True))
+        raw.update(zip(found, [p if p == x else x for p, x in zip(found, map(bytes.fromhex, _values(out["hex"])), strict=True)], strict=True))  # equal bytes are held once
 
     def _tokens(self, raw: bytes) -> list[int]:
         """The ids of one window."""
@@ -129,7 +131,7 @@ class Coder:
             known = self.pieces[0][0]
             if raw not in known:
                 self._short([raw])
-            return list(map(int, known[raw].split(",")))
+            return list(map(int, known[raw][:-1].split(",")))
         positions = 1 << len(raw).bit_length()
         rounds = max(1, QUERY_ROWS // len(raw))
         base, step = self._base([raw]), rounds
@@ -184,7 +186,7 @@ class Coder:
             ids = pa.array(self._joined(p), pa.int32())
             base = pa.table({"w": pa.array(np.zeros(len(ids), np.int32)), "pos": pa.array(np.arange(len(ids), dtype=np.int32)), "tok": ids})
             out = self._query(base, DECODE.format(source="base"))
-            self.pieces[0][0][p], self.pieces[0][1][p] = out["ids"][0].as_py(), bytes.fromhex(out["hex"][0].as_py())
+            self.pieces[0][0][p], self.pieces[0][1][p] = f"{out["ids"][0]},", bytes.fromhex(out["hex"][0].as_py())
 
     def _turn(self) -> None:
         """Forgets long entries and starts a new generation of a cache that is full."""
@@ -196,15 +198,16 @@ class Coder:
                 caches[:] = [({}, {}), caches[0]]
         self.long.clear()
 
-    def _recall(self, chunks: set[str]) -> tuple[dict[str, str], dict[str, bytes]]:
-        """Ids joined by commas and decoded bytes of chunks."""
+    def _recall(self, chunks: list[str]) -> tuple[dict[str, str], dict[str, bytes]]:
+        """Ids, each followed by a comma, and decoded bytes of different chunks."""
         self._turn()
         (ids, raw), (old_ids, old_raw) = self.chunks
         (have_ids, have_raw), (had_ids, had_raw) = self.pieces
-        missing = chunks.difference(ids)
-        new = missing.difference(old_ids)
-        again = missing - new
-        ids.update(zip(again, map(old_ids.__getitem__, again)))
+        missing = [c for c in chunks if c not in ids]
+        found = list(map(old_ids.get, missing))
+        new = [c for c, x in zip(missing, found, strict=True) if x is None]
+        again = [c for c, x in zip(missing, found, strict=True) if x is not None]
+        ids.update(zip(again, [x for x in found if x is not None], strict=True))
         raw.update(zip(again, map(old_raw.__getitem__, again)))
         split = [[p.encode() for p in pieces] for pieces in map(self.pieces_of, new)]
         missing = set(chain.from_iterable(split)).difference(have_ids)
@@ -213,46 +216,71 @@ class Coder:
         have_ids.update(zip(again, map(had_ids.__getitem__, again)))
         have_raw.update(zip(again, map(had_raw.__getitem__, again)))
         self._contract(list(fresh))
-        for c, pieces in zip(new, split, strict=True):
-            if len(pieces) == 1:
-                ids[c], raw[c] = have_ids[pieces[0]], have_raw[pieces[0]]
-            else:
-                ids[c], raw[c] = ",".join([have_ids[p] for p in pieces]), b"".join([have_raw[p] for p in pieces])
+        ids.update(zip(new, ["".join(map(have_ids.__getitem__, x)) if len(x) > 1 else have_ids[x[0]] for x in split], strict=True))
+        raw.update(zip(new, [b"".join(map(have_raw.__getitem__, x)) if len(x) > 1 else have_raw[x[0]] for x in split], strict=True))
         self.long += [x for some in (new, fresh) for x in some if len(x) > CACHED_CHARS]
         return ids, raw
 
-    def cut(self, text: str) -> list[str]:
-        """Chunks that join to the text and split into pieces independently of each other."""
-        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or self.other_space(text):
-            return [text]
-        out: list[str] = []
-        for i, line in enumerate(text.split("\n")):
-            first, *rest = line.split(" ")
-            if i:
-                out.append("\n")
-            if first:
-                out.append(first)
-            out += map(" ".__add__, rest)
-        return out
-
-    def code(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
-        """(number of ids, ids joined by commas, decoded bytes) of each text."""
+    def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Chunks that join to the texts and split into pieces independently of each other, and the place of each text's first."""
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        first, last = int(bounds[0]), int(bounds[-1])
+        if first == last:
+            return pa.array([], pa.large_string()), np.zeros(len(texts) + 1, np.int64)
+        octets = np.frombuffer(texts.buffers()[2], np.uint8)[first:last]
+        line = octets == 10
+        starts = line | (octets == 32)
+        starts[1:] |= line[:-1]
+        for i in np.flatnonzero(pc.match_substring_regex(texts, WHOLE)):
+            starts[bounds[i] - first : bounds[i + 1] - first] = False
+        starts[bounds[:-1][np.diff(bounds) > 0] - first] = True
+        offsets = np.append(np.flatnonzero(starts) + first, last)
+        return pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets), texts.buffers()[2]]), np.searchsorted(offsets, bounds)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, list[memoryview], list[memoryview]]:
+        """Number of ids, ids joined by commas and decoded bytes of each text (``large_string`` without nulls)."""
+        cut, bounds = self.cut(texts)
+        cut = cut.dictionary_encode()
+        chunks = _values(cut.dictionary)
         collects = gc.isenabled()
         gc.disable()  # nothing here refers to itself, and passes over so many short-lived lists are dear
         try:
-            return self._coded(texts)
+            known = self._recall(chunks)
         finally:
             if collects:
                 gc.enable()
+        ids, raw = (pa.array(map(cache.__getitem__, chunks), kind, size=len(chunks)) for cache, kind in zip(known, (pa.large_string(), pa.large_binary()), strict=True))
+        count = np.append(0, np.cumsum(pc.count_substring(ids, ",").to_numpy()[cut.indices.to_numpy()]))[bounds]
+        return np.diff(count), _joined(ids.take(cut.indices), bounds, 1), _joined(raw.take(cut.indices), bounds, 0)
 
-    def _coded(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
-        cuts = [self.cut(t) for t in texts]
-        ids, raw = self._recall(set(chain.from_iterable(cuts)))
-        out = []
-        for cut in cuts:
-            joined = ",".join(map(ids.__getitem__, cut))
-            out.append((joined.count(",") + 1 if joined else 0, joined, b"".join(map(raw.__getitem__, cut))))
-        return out
+    def code(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
+        """(number of ids, ids joined by commas, decoded bytes) of each text."""
+        return [(int(n), str(ids, "ascii"), bytes(raw)) for n, ids, raw in zip(*self.encode(pa.array(texts, pa.large_string())), strict=True)]
+
+
+def _values(column: pa.Array | pa.ChunkedArray) -> list:
+    """Python values, without a scalar for each on the way."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _joined(values: pa.Array, bounds: np.ndarray, without: int) -> list[memoryview]:
+    """The bytes of neighbouring values between bounds, without some at the end."""
+    if not len(values):
+        return [memoryview(b"")] * (len(bounds) - 1)
+    _, offsets, data = values.buffers()
+    data = memoryview(data)
+    at = np.frombuffer(offsets, np.int64)[bounds].tolist()
+    return [data[a : max(a, b - without)] for a, b in pairwise(at)]
+
+
+def _groups(texts: pa.Array, chars: int) -> Iterator[pa.Array]:
+    """Slices of at most ``chars`` characters, or one text."""
+    ends = np.append(0, np.cumsum(pc.utf8_length(texts).to_numpy(), dtype=np.int64))
+    start = 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(ends, ends[start] + chars, "right")) - 1)
+        yield texts.slice(start, end - start)
+        start = end
 
 
 _OUT = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
@@ -270,16 +298,16 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str
         coder = Coder(ranks_path, pattern)
         for batch in batches:
             start = 0
-            for texts in text_groups(batch.column(1), GROUP_CHARS):
-                coded = coder.code(texts)
+            for texts in _groups(batch.column(1).fill_null("").cast(pa.large_string()), GROUP_CHARS):
+                count, ids, raw = coder.encode(texts)
                 columns = [
                     batch.column(0).slice(start, len(texts)),
-                    pa.array([n for n, _, _ in coded], pa.int64()),
-                    pa.array([hashlib.sha256(ids.encode()).hexdigest() for _, ids, _ in coded]),
-                    pa.array([hashlib.sha256(raw).hexdigest() for _, _, raw in coded]),
+                    pa.array(count, pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in raw]),
                 ]
                 if with_ids:
-                    columns += [pa.array([[int(x) for x in ids.split(",")] if ids else [] for _, ids, _ in coded], pa.list_(pa.int32())), pa.array([raw.decode(errors="replace") for _, _, raw in coded])]
+                    columns += [pa.array([[int(n) for n in bytes(x).split(b",")] if x else [] for x in ids], pa.list_(pa.int32())), pa.array([str(x, errors="replace") for x in raw])]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", *out])
                 start += len(texts)
 
