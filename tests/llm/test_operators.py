@@ -636,6 +636,18 @@ def test_byte_bpe_groups_of_texts():
     assert list(bpe._groups(column.slice(0, 0), 5)) == [] and [len(x) for x in coder.encode(pa.array(["", ""], pa.large_string()))] == [2, 2, 2]
 
 
+def test_byte_bpe_rests_between_tasks():
+    """A worker that waits keeps what it remembers, not the memory of its queries; the next task opens them again."""
+    coder = bpe.Coder.__wrapped__(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    first = coder.code(["qwzxv orthonwh"])
+    coder.rest()
+    assert "db" not in vars(coder) and " orthonwh" in coder.chunks[0][0]
+    assert coder.code(["qwzxv orthonwh"]) == first and "db" not in vars(coder)
+    assert coder.code(["thnd haea 1"])[0][2] == b"thnd haea 1" and "db" in vars(coder)
+    coder.rest()
+    coder.rest()
+
+
 def test_byte_bpe_one_window_over_all(monkeypatch):
     """Where windows share no token the window that reaches back, and queries of few rounds, give the same ids."""
     import tiktoken

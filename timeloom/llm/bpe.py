@@ -27,7 +27,7 @@ import gc
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import accumulate, chain, pairwise
 
 import numpy as np
@@ -79,7 +79,6 @@ class Coder:
     """The merge table of one rank file in a DuckDB of this worker, and what it has encoded so far."""
 
     def __init__(self, ranks_path: str, pattern: str):
-        import duckdb
         import regex
 
         with open(ranks_path, "rb") as f:
@@ -92,11 +91,27 @@ class Coder:
         self.pieces: list[tuple[dict[bytes, str], dict[bytes, bytes]]] = [({}, {}), ({}, {})]
         self.long: list[str | bytes] = []
         splits = [(self.ranks[t[:i]], self.ranks[t[i:]], n) for t, n in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
-        self.db = duckdb.connect()
-        self.db.execute("SET threads = 1; SET memory_limit = '300MB'; SET temp_directory = ''; SET preserve_insertion_order = true")
-        self.db.register("splits", pa.table(dict(zip(("a", "b", "merged"), (pa.array(x, pa.int32()) for x in zip(*splits, strict=True)), strict=True))))
-        self.db.register("tokens", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]}))
-        self.db.execute("CREATE TABLE merges AS FROM splits; CREATE TABLE vocabulary AS FROM tokens")
+        self.splits = pa.table(dict(zip(("a", "b", "merged"), (pa.array(x, pa.int32()) for x in zip(*splits, strict=True)), strict=True)))
+        self.vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]})
+
+    @cached_property
+    def db(self):
+        """A connection with the merge table and the vocabulary."""
+        import duckdb
+
+        db = duckdb.connect()
+        db.execute("SET threads = 1; SET memory_limit = '300MB'; SET temp_directory = ''; SET preserve_insertion_order = true")
+        db.register("splits", self.splits)
+        db.register("tokens", self.vocabulary)
+        db.execute("CREATE TABLE merges AS FROM splits; CREATE TABLE vocabulary AS FROM tokens")
+        return db
+
+    def rest(self) -> None:
+        """Gives back the memory of queries and columns when a task ends: a worker may wait long for its next one. What is remembered stays."""
+        if "db" in vars(self):
+            self.db.close()
+            del self.db
+        pa.default_memory_pool().release_unused()
 
     # ------------------------------------------------------------------------------------------- contraction
     def _base(self, pieces: list[bytes]) -> pa.Table:
@@ -294,8 +309,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str
     rows = docs.select(F.struct(*(["doc_id"] if keep is None else keep)).alias("row"), F.col("text").cast("string").alias("text"))
     out = _OUT | ({"ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType()} if with_ids else {})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(ranks_path, pattern)
+    def coded(coder: Coder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             start = 0
             for texts in _groups(batch.column(1).fill_null("").cast(pa.large_string()), GROUP_CHARS):
@@ -311,6 +325,13 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str
                 yield pa.RecordBatch.from_arrays(columns, names=["row", *out])
                 start += len(texts)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder(ranks_path, pattern)
+        try:
+            yield from coded(coder, batches)
+        finally:
+            coder.rest()
+
     return rows.mapInArrow(run, T.StructType([rows.schema["row"], *(T.StructField(n, t) for n, t in out.items())]))
 
 
