@@ -77,17 +77,21 @@ def display_date(date: Column, precision: Column, language: Column) -> Column:
 
 def currency_symbol(c: Column) -> Column:
     """The symbol in the text, longer ones first, else that of its first currency word; null without."""
-    text = F.coalesce(c, F.lit(""))
-    out = F.lit(None).cast("string")
-    words = F.split(normalize(text), " ")
-    first = lambda kws: F.array_position(F.transform(words, lambda w: w.isin(*kws.split())), F.lit(True))
-    places = {s: F.when(first(k) > 0, first(k)).otherwise(1 << 30) for s, k in CURRENCIES.items()}
-    least = F.least(*places.values())
-    for s in reversed(CURRENCIES):
-        out = F.when((places[s] == least) & (least < 1 << 30), F.lit(s)).otherwise(out)
-    for s in sorted(CURRENCIES, key=len):
-        out = F.when(text.rlike(rf"\b{s}\b") if s.isalpha() else text.contains(s), F.lit(s)).otherwise(out)
-    return out
+
+    def of_word(w: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for s, kws in CURRENCIES.items():
+            out = F.when(w.isin(*kws.split()), F.lit(s)).otherwise(out)
+        return out
+
+    def read(text: Column) -> Column:
+        out = F.get(F.array_compact(F.transform(F.split(normalize(text), " "), of_word)), F.lit(0))
+        for s in sorted(CURRENCIES, key=len):
+            out = F.when(text.rlike(rf"\b{s}\b") if s.isalpha() else text.contains(s), F.lit(s)).otherwise(out)
+        return out
+
+    # the text is bound and its words are looked up once, else each symbol would read it anew
+    return F.get(F.transform(F.array(F.coalesce(c, F.lit(""))), read), F.lit(0))
 
 
 def percent_value(c: Column) -> Column:
