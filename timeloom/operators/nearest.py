@@ -42,12 +42,10 @@ def containing(points: DataFrame, spans: DataFrame, keys: list[str], at: str, st
 
 def with_neighbours(df: DataFrame, keys: list[str], order: list[str], known: str, value: str) -> DataFrame:
     """Adds prev_known and next_known: the value in the nearest earlier and later rows where ``known`` holds."""
-    w = Window.partitionBy(*keys).orderBy(*order)
     v = F.when(F.col(known), F.col(value))
-    return df.withColumns({
-        "prev_known": F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-        "next_known": F.first(v, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)),
-    })
+    # later rows come first in the reversed order: a frame that ends with the key is read anew for each of its rows
+    behind = lambda by: F.last(v, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1))
+    return df.withColumns({"prev_known": behind(order), "next_known": behind([F.desc(c) for c in order])})
 
 
 def merge_tolerance(left: DataFrame, right: DataFrame, keys: list[str], at: str, left_id: str, right_id: str, tolerance: float) -> DataFrame:
