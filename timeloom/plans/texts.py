@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from timeloom.functions import extract, text, urls
 from timeloom.operators import align, regions
+from timeloom.operators.dealing import dealt
 from timeloom.operators.durable import durable
 from timeloom.sources import articles, html
 
@@ -78,7 +79,7 @@ def weighted_score(spark, sf_dir):
 @query()
 def token_align(spark, sf_dir):
     """Token alignment of consecutive turns, one row per step."""
-    t = _turns(spark, sf_dir).filter("prev_turn IS NOT NULL").select("conv_id", "turn", align.token_steps("text", "prev_text").alias("s"))
+    t = dealt(_turns(spark, sf_dir).filter("prev_turn IS NOT NULL").select("conv_id", "turn", "text", "prev_text"), "conv_id", "turn").select("conv_id", "turn", align.token_steps("text", "prev_text").alias("s"))
     return t.select("conv_id", "turn", F.posexplode("s").alias("step_no", "s")).select("conv_id", "turn", "step_no", "s.*")
 
 
